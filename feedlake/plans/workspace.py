@@ -1,0 +1,34 @@
+"""Where intermediate tables go: the shared folder that the session names for checkpoints."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder. A local session without one gets a temporary folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir():
+        return context.getCheckpointDir().rstrip("/")
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="feedlake-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A path under the shared folder that no other run uses."""
+    return f"{shared_folder(spark)}/feedlake/{label}-{uuid.uuid4().hex}"
+
+
+def scratch_database(spark: SparkSession, label: str = "scratch") -> str:
+    """A new database whose tables live under the shared folder."""
+    name = f"feedlake_{label}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, label)}'")
+    return name
