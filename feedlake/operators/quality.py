@@ -19,15 +19,14 @@ def missing_days(
     rows: DataFrame, start: datetime.date, stop: datetime.date, by: list[str] | None = None
 ) -> DataFrame:
     """Days of `[start, stop)` without a row; with `by`, per value that occurs in `rows`."""
-    by = by or []
+    if stop <= start:
+        return rows.select(*(by or []), "date").limit(0)
     last = stop - datetime.timedelta(days=1)
     days = F.explode(F.sequence(F.lit(start), F.lit(last))).alias("date")
-    if last < start:
-        return rows.select(*by, "date").limit(0)
+    inside = rows.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(stop)))
+    present = inside.select(*(by or []), "date").distinct()
     if by:
         expected = rows.select(*by).distinct().select(*by, days)
     else:
         expected = rows.sparkSession.range(1).select(days)
-    inside = rows.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(stop)))
-    present = inside.select(*by, "date").distinct()
-    return expected.join(present, [*by, "date"], "left_anti")
+    return expected.join(present, [*(by or []), "date"], "left_anti")

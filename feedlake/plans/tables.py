@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from feedlake.operators.ranges import day_range, in_window
-from feedlake.plans.workspace import scratch_database
 from feedlake.schema import TYPED_SCHEMA, YEAR_COLUMN
 
 
@@ -140,6 +139,8 @@ def replace_window(
 
     Running it again changes nothing. Days of the window without new rows end up empty.
     """
+    if stop <= start:
+        raise ValueError(f"no days from {start} to {stop}")
     new = in_window(rows, start, stop)
     if table.is_iceberg:
         counted = Observation()
@@ -170,30 +171,27 @@ def _replace_days(spark, table, new, start, stop) -> int:
 
 
 def _replace_in_years(spark, table, new, start, stop) -> int:
-    """A year partition also holds days outside the window, which are written back with it."""
+    """A year partition also holds days outside the window, which are written back with it.
+
+    A dynamic overwrite may read what it replaces: it moves its files in when all are written.
+    """
     years = range(start.year, (stop - datetime.timedelta(days=1)).year + 1)
     current = spark.table(table.name).where(F.col(YEAR_COLUMN).between(years[0], years[-1]))
     kept = current.where((F.col("date") < F.lit(start)) | (F.col("date") >= F.lit(stop)))
     counted = Observation()
-    is_new = F.count_if("_is_new").alias("n_rows")
-    merged = arranged(
-        table,
+    metrics = F.count_if("_is_new").alias("n_rows"), F.collect_set(YEAR_COLUMN).alias("years")
+    merged = (
         kept.drop(YEAR_COLUMN)
         .withColumn("_is_new", F.lit(False))
-        .unionByName(new.withColumn("_is_new", F.lit(True)), allowMissingColumns=True),
-    ).observe(counted, is_new, F.collect_set(YEAR_COLUMN).alias("years"))
-
-    # Spark refuses to overwrite what it reads, so the years are written next to the table first
-    database = scratch_database(spark, "replace")
-    staged = FeedTable(f"{database}.merged", table.by, table.provider, table.schema)
-    create_if_absent(spark, staged)
-    insert(spark, staged, merged.drop("_is_new"))
-    # the staged files already hold few partitions each, so they are copied without a shuffle
-    _overwrite_partitions(spark, table, spark.table(staged.name))
-    written = {str(year) for year in counted.get["years"]}
-    touched = [y for y in _partition_values(spark, table) if y in {str(y) for y in years}]
-    _drop_partitions(spark, table, [y for y in touched if y not in written])
-    spark.sql(f"DROP DATABASE {database} CASCADE")
+        .unionByName(new.withColumn("_is_new", F.lit(True)), allowMissingColumns=True)
+    )
+    ready = arranged(table, merged).observe(counted, *metrics).drop("_is_new")
+    _overwrite_partitions(spark, table, ready)
+    written = set(counted.get["years"])
+    existing = _partition_values(spark, table)
+    _drop_partitions(
+        spark, table, [str(y) for y in years if str(y) in existing and y not in written]
+    )
     return counted.get["n_rows"]
 
 

@@ -89,10 +89,8 @@ def write_layout(
     return layout
 
 
-def _located(spark: SparkSession, layout: Layout, paths: list[str]) -> DataFrame:
-    """Rows of the given files with their `row_offset`; the file index joins by file."""
-    files = spark.read.parquet(layout.files_path)
-    rows = spark.read.schema(layout.schema).parquet(*paths)
+def _located(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows read from files, with the `row_offset` that the index of these files gives them."""
     placed = rows.select(
         "*",
         F.col("_metadata.file_path").alias("file"),
@@ -107,7 +105,8 @@ def _located(spark: SparkSession, layout: Layout, paths: list[str]) -> DataFrame
 
 def with_offsets(spark: SparkSession, layout: Layout) -> DataFrame:
     """Every row of the layout with its `row_offset`, counted from 0."""
-    return _located(spark, layout, [layout.rows_path])
+    rows = spark.read.schema(layout.schema).parquet(layout.rows_path)
+    return _located(rows, spark.read.parquet(layout.files_path))
 
 
 def rows_between(spark: SparkSession, layout: Layout, lo: int, hi: int) -> DataFrame:
@@ -116,10 +115,9 @@ def rows_between(spark: SparkSession, layout: Layout, lo: int, hi: int) -> DataF
     wanted = files.where((F.col("first_row") < hi) & (F.col("first_row") + F.col("n_rows") > lo))
     # names of the files that hold the asked-for rows
     paths = [r.file for r in wanted.select("file").collect()]
-    if not paths:
-        empty = spark.read.schema(layout.schema).parquet(layout.rows_path)
-        return empty.withColumn("row_offset", F.lit(0).cast("long")).limit(0)
-    located = _located(spark, layout, paths)
+    reader = spark.read.schema(layout.schema)
+    rows = reader.parquet(*paths) if paths else reader.parquet(layout.rows_path).limit(0)
+    located = _located(rows, wanted)
     return located.where((F.col("row_offset") >= lo) & (F.col("row_offset") < hi))
 
 

@@ -10,12 +10,13 @@ from __future__ import annotations
 import datetime
 import json
 import math
+import sys
 from abc import ABC, abstractmethod
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
@@ -38,6 +39,9 @@ DEFAULT_PAGE_SIZE = 100_000
 ROWS_PER_RUN = 1_000_000
 MAX_RUNS = 20_000
 
+# Lets a range on the day column reach the feed; without it Spark filters after the scan.
+PUSHDOWN_SETTING = "spark.sql.python.filterPushdown.enabled"
+
 ONE_DAY = datetime.timedelta(days=1)
 
 
@@ -114,20 +118,12 @@ def _record_batch(page: list[dict], arrow: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
 
-@dataclass
-class PageRun(InputPartition):
-    """Consecutive rows for one task, starting at a page boundary."""
-
-    offset: int
-    n_rows: int
-
-
-def page_runs(total: int, page_size: int, min_runs: int) -> list[PageRun]:
-    """Cut `total` rows into runs of whole pages, one run per task."""
+def page_runs(total: int, page_size: int, min_runs: int) -> list[tuple[int, int]]:
+    """Cut `total` rows into runs `(offset, rows)` of whole pages, one run per task."""
     pages = math.ceil(total / page_size)
     wanted = max(math.ceil(total / ROWS_PER_RUN), min_runs, 1)
     per_run = max(1, math.ceil(pages / min(wanted, MAX_RUNS))) * page_size
-    return [PageRun(at, min(per_run, total - at)) for at in range(0, total, per_run)]
+    return [(at, min(per_run, total - at)) for at in range(0, total, per_run)]
 
 
 class PagedReader(DataSourceReader):
@@ -142,11 +138,42 @@ class PagedReader(DataSourceReader):
         if self.page_size < 1:
             raise ValueError(f"page size must be positive, not {self.page_size}")
 
+    def partitions(self) -> list[InputPartition]:
+        no_days = self.start is not None and self.stop is not None and self.start >= self.stop
+        total = 0 if no_days else self.feed.count(self.start, self.stop)
+        # Spark wants at least one partition
+        runs = page_runs(total, self.page_size, self.min_runs) or [(0, 0)]
+        return [InputPartition(run) for run in runs]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(self.schema)
+        columns = [name for name in self.schema.names if name != self.page_column]
+        at, n_rows = partition.value
+        end = at + n_rows
+        if n_rows == 0:
+            return
+        for batch in self.feed.rows(self.start, self.stop, at, n_rows, self.page_size, columns):
+            arrays = [batch.column(batch.schema.get_field_index(c)) for c in columns]
+            if self.page_column:
+                pages = np.arange(at, at + batch.num_rows, dtype="int64") // self.page_size
+                arrays.append(pa.array(pages))
+            at += batch.num_rows
+            arrays = [a.cast(f.type) for a, f in zip(arrays, arrow)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
+        if at != end:
+            raise ValueError(f"feed ended {end - at} rows before the end of the run of {n_rows}")
+
+
+class PushingReader(PagedReader):
+    """A reader that asks the feed for the days a query is filtered to.
+
+    Not used with a page column: page numbers belong to the window the options ask for.
+    """
+
     def pushFilters(self, filters: list[Filter]):
-        # Page numbers belong to the window the options ask for, so with a page column the
-        # filters stay with Spark. Spark does not look again at a filter accepted here.
+        # Spark does not look again at a filter that is not handed back
         for item in filters:
-            if self.page_column or not self._narrow(item):
+            if not self._narrow(item):
                 yield item
 
     def _narrow(self, item: Filter) -> bool:
@@ -166,30 +193,6 @@ class PagedReader(DataSourceReader):
             item, (GreaterThanOrEqual, GreaterThan, LessThan, LessThanOrEqual, EqualTo)
         )
 
-    def partitions(self) -> list[PageRun]:
-        if self.start is not None and self.stop is not None and self.start >= self.stop:
-            return []
-        total = self.feed.count(self.start, self.stop)
-        return page_runs(total, self.page_size, self.min_runs)
-
-    def read(self, partition: PageRun) -> Iterator[pa.RecordBatch]:
-        arrow = to_arrow_schema(self.schema)
-        columns = [name for name in self.schema.names if name != self.page_column]
-        at, end = partition.offset, partition.offset + partition.n_rows
-        batches = self.feed.rows(
-            self.start, self.stop, at, partition.n_rows, self.page_size, columns
-        )
-        for batch in batches:
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in columns]
-            if self.page_column:
-                pages = np.arange(at, at + batch.num_rows, dtype="int64") // self.page_size
-                arrays.append(pa.array(pages))
-            at += batch.num_rows
-            arrays = [a.cast(f.type) for a, f in zip(arrays, arrow)]
-            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
-        if at != end:
-            raise ValueError(f"feed gave {at - partition.offset} rows instead of {partition.n_rows}")
-
 
 def _day(text: str | None) -> datetime.date | None:
     return datetime.date.fromisoformat(text) if text else None
@@ -199,7 +202,8 @@ def register_feed(spark: SparkSession, name: str, feed: PagedFeed) -> None:
     """Make `feed` readable as `spark.read.format(name)`.
 
     Options: `start`, `stop` (days), `pageSize`, `columns` (comma-separated), `pageColumn` (adds
-    the page number under that name) and `minRuns` (least number of tasks, if there are pages).
+    the page number under that name), `minRuns` (least number of tasks, if there are pages) and
+    `pushdown` (`false` where `spark.sql.python.filterPushdown.enabled` is off).
     """
 
     class RegisteredFeed(DataSource):
@@ -217,10 +221,12 @@ def register_feed(spark: SparkSession, name: str, feed: PagedFeed) -> None:
 
         def reader(self, schema):
             options = {key.lower(): value for key, value in self.options.items()}
-            return PagedReader(feed, options, schema)
+            pushes = options.get("pushdown", "true") == "true" and not options.get("pagecolumn")
+            return (PushingReader if pushes else PagedReader)(feed, options, schema)
 
-    # lets a range on the day column reach the feed; without it Spark filters after the scan
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    # tasks get this package with the feed, so that it need not be installed on the executors
+    cloudpickle.register_pickle_by_value(sys.modules["feedlake"])
+    spark.conf.set(PUSHDOWN_SETTING, "true")
     spark.dataSource.register(RegisteredFeed)
 
 
@@ -236,6 +242,7 @@ def read_feed(
     """Rows of a registered feed; the window goes to the feed with the request."""
     reader = spark.read.format(name).option("pageSize", page_size)
     reader = reader.option("minRuns", spark.sparkContext.defaultParallelism)
+    reader = reader.option("pushdown", spark.conf.get(PUSHDOWN_SETTING, "false"))
     if start is not None:
         reader = reader.option("start", start.isoformat())
     if stop is not None:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WIRE_DATE = "yyyy-MM-dd'T'00:00:00.000"
+from feedlake.operators import in_window
+
+MIDNIGHT = "T00:00:00.000"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def wire_date(moment: str):
-    return F.date_format(moment, WIRE_DATE)
+    return F.concat(F.to_date(moment).cast("string"), F.lit(MIDNIGHT))
 
 
 def plaza(number: str):
@@ -47,28 +49,33 @@ def month_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def years_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per row of `lineitem`; its keys repeat."""
-    return table(spark, sf_dir, "lineitem").select(
+def _from_lineitem(lineitem: DataFrame, tolls) -> DataFrame:
+    return lineitem.select(
         plaza("l_suppkey").alias("plaza_id"),
         wire_date("l_shipdate").alias("date"),
         (F.col("l_partkey") % 24).cast("string").alias("hour"),
         direction("l_orderkey").alias("direction"),
         F.col("l_quantity").cast("int").cast("string").alias("vehicles_e_zpass"),
-        F.round(F.col("l_discount") * 100).cast("int").cast("string").alias("vehicles_vtoll"),
+        tolls.alias("vehicles_vtoll"),
     )
 
 
+def _tolls():
+    return F.round(F.col("l_discount") * 100).cast("int").cast("string")
+
+
+def years_feed(spark: SparkSession, sf_dir: str, start=None, stop=None) -> DataFrame:
+    """One row per row of `lineitem` in the window; its keys repeat.
+
+    As with a request to the feed, the window is applied where the rows are, before they
+    become text.
+    """
+    lineitem = in_window(table(spark, sf_dir, "lineitem"), start, stop, "l_shipdate")
+    return _from_lineitem(lineitem, _tolls())
+
+
 def years_feed_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`years_feed` in which some toll counts read `n/a`."""
-    lineitem = table(spark, sf_dir, "lineitem")
     unknown = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 97 == 0
-    tolls = F.round(F.col("l_discount") * 100).cast("int").cast("string")
-    return lineitem.select(
-        plaza("l_suppkey").alias("plaza_id"),
-        wire_date("l_shipdate").alias("date"),
-        (F.col("l_partkey") % 24).cast("string").alias("hour"),
-        direction("l_orderkey").alias("direction"),
-        F.col("l_quantity").cast("int").cast("string").alias("vehicles_e_zpass"),
-        F.when(unknown, "n/a").otherwise(tolls).alias("vehicles_vtoll"),
-    )
+    tolls = F.when(unknown, "n/a").otherwise(_tolls())
+    return _from_lineitem(table(spark, sf_dir, "lineitem"), tolls)

@@ -23,7 +23,6 @@ from feedlake.operators import (
 from feedlake.plans import (
     FeedTable,
     append_stage,
-    create_if_absent,
     create_raw,
     footprint,
     load_feed,
@@ -96,7 +95,7 @@ def paged_scan_range(spark, sf_dir):
 
 def paged_scan_filter(spark, sf_dir):
     name = _registered(spark, _event_layout(spark, sf_dir))
-    rows = read_feed(spark, name, page_size=PAGE_SIZE)
+    rows = read_feed(spark, name, page_size=PAGE_SIZE, columns=["date", "event_type"])
     return in_window(rows, *WEEK).groupBy("date", "event_type").agg(F.count("*").alias("n_rows"))
 
 
@@ -148,7 +147,8 @@ def storage_footprint(spark, sf_dir):
     as_json, as_parquet = scratch_path(spark, "json"), scratch_path(spark, "parquet")
     write_stage(feed, as_json)
     feed.write.mode("overwrite").parquet(as_parquet)
-    loaded = _years_table(spark, sf_dir)
+    loaded = FeedTable(f"{scratch_database(spark)}.traffic_hourly", by="year")
+    append_stage(spark, as_json, loaded)
     location = spark.sql(f"DESCRIBE EXTENDED {loaded.name}").where("col_name = 'Location'")
     as_table = location.select("data_type").first()[0]
     return footprint(
@@ -169,12 +169,12 @@ def typed_feed(spark, sf_dir):
 
 
 def date_range(spark, sf_dir):
-    rows = typed_rows(years_feed(spark, sf_dir))
-    return in_window(rows, datetime.date(1997, 1, 1), datetime.date(1998, 1, 1))
+    start, stop = datetime.date(1997, 1, 1), datetime.date(1998, 1, 1)
+    return typed_rows(years_feed(spark, sf_dir, start, stop))
 
 
 def date_range_open(spark, sf_dir):
-    return in_window(typed_rows(years_feed(spark, sf_dir)), datetime.date(2000, 6, 15))
+    return typed_rows(years_feed(spark, sf_dir, datetime.date(2000, 6, 15)))
 
 
 def iso_literal(spark, sf_dir):
@@ -237,7 +237,6 @@ def _month_table(spark, sf_dir, times=1) -> FeedTable:
 
 def _years_table(spark, sf_dir) -> FeedTable:
     loaded = FeedTable(f"{scratch_database(spark)}.traffic_hourly", by="year")
-    create_if_absent(spark, loaded)
     load_feed(spark, years_feed(spark, sf_dir), scratch_path(spark, "stage"), loaded)
     return loaded
 

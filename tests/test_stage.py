@@ -1,0 +1,90 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedlake.plans import FeedTable, append_stage, load_feed, stage_rejects
+from feedlake.schema import CORRUPT_COLUMN, WIRE_SCHEMA
+from feedlake.sources import decode_json, encode_json, read_stage, write_stage
+
+RECORDS = [
+    dict(zip(WIRE_SCHEMA.names, ("21", "2023-04-10T00:00:00.000", str(h), "I", "12", "3")))
+    for h in range(3)
+]
+
+
+def rows(frame):
+    return sorted(tuple(r) for r in frame.select(*WIRE_SCHEMA.names).collect())
+
+
+def put(folder, text):
+    (folder / "stage.json").write_text(text)
+    return str(folder)
+
+
+EXPECTED = sorted(tuple(r.values()) for r in RECORDS)
+
+
+def test_lines_one_line_array_and_spread_array_read_the_same(spark, tmp_path):
+    for name, text, multiline in [
+        ("lines", "\n".join(map(json.dumps, RECORDS)), False),
+        ("array", json.dumps(RECORDS), False),
+        ("spread", json.dumps(RECORDS, indent=2), True),
+    ]:
+        folder = tmp_path / name
+        folder.mkdir()
+        assert rows(read_stage(spark, put(folder, text), multiline=multiline)) == EXPECTED
+
+
+def test_an_empty_pull_is_an_empty_stage(spark, tmp_path):
+    assert read_stage(spark, put(tmp_path, "[]")).count() == 0
+    empty = str(tmp_path / "empty")
+    write_stage(spark.createDataFrame([], WIRE_SCHEMA), empty)
+    assert read_stage(spark, empty).count() == 0
+
+
+def test_absent_and_extra_fields(spark, tmp_path):
+    record = {"plaza_id": "21", "hour": 5, "extra": [1, 2]}
+    row = read_stage(spark, put(tmp_path, json.dumps(record))).first()
+    assert row.asDict() == dict.fromkeys(WIRE_SCHEMA.names) | {"plaza_id": "21", "hour": "5"}
+
+
+def test_writing_a_stage_replaces_it(spark, tmp_path):
+    frame = spark.createDataFrame([tuple(r.values()) for r in RECORDS], WIRE_SCHEMA)
+    path = str(tmp_path / "stage")
+    write_stage(frame, path)
+    write_stage(frame.where("hour = '1'"), path)
+    assert [r[2] for r in rows(read_stage(spark, path))] == ["1"]
+
+
+def test_broken_lines_are_kept_apart(spark, tmp_path, database):
+    bad = RECORDS[0] | {"vehicles_vtoll": "n/a"}
+    path = put(tmp_path, "\n".join([json.dumps(RECORDS[0]), '{"plaza_id": "2', json.dumps(bad)]))
+    assert read_stage(spark, path, keep_corrupt=True).columns[-1] == CORRUPT_COLUMN
+    table = FeedTable(f"{database}.t")
+    report = append_stage(spark, path, table)
+    assert (report.n_rows, report.n_bad_values, report.n_corrupt_lines) == (2, 1, 1)
+    loaded = spark.table(table.name)
+    assert loaded.count() == 2
+    assert loaded.where("vehicles_vtoll IS NULL").count() == 1
+    found = {(r.field, r.raw_value) for r in stage_rejects(spark, path).collect()}
+    assert found == {("vehicles_vtoll", "n/a"), (CORRUPT_COLUMN, '{"plaza_id": "2')}
+
+
+def test_loading_an_empty_pull(spark, tmp_path, database):
+    table = FeedTable(f"{database}.t")
+    empty = spark.createDataFrame([], WIRE_SCHEMA)
+    assert load_feed(spark, empty, str(tmp_path / "s"), table) == 0
+    assert spark.table(table.name).count() == 0
+
+
+def test_encode_then_decode(spark):
+    frame = spark.createDataFrame([tuple(r.values()) for r in RECORDS], WIRE_SCHEMA)
+    back = encode_json(frame).select(decode_json("json", WIRE_SCHEMA).alias("r")).select("r.*")
+    assert rows(back) == EXPECTED
+
+
+@pytest.mark.parametrize("text", ["{", "", "[]", '{"k": "x"}'])
+def test_decoding_what_does_not_fit_gives_null(spark, text):
+    frame = spark.createDataFrame([(text,)], "t string")
+    assert frame.select(decode_json(F.col("t"), "k int").getField("k")).first()[0] is None
