@@ -1,5 +1,5 @@
 from feedlake.operators.measures import drilldown, per_default_window, weekly_run_dates
-from feedlake.operators.paging import limit_offset, page_counts
+from feedlake.operators.paging import limit_offset
 from feedlake.operators.quality import duplicate_keys, missing_days
 from feedlake.operators.ranges import day_range, in_window
 from feedlake.operators.typed import bad_value_count, rejects, typed_rows
@@ -12,7 +12,6 @@ __all__ = [
     "in_window",
     "limit_offset",
     "missing_days",
-    "page_counts",
     "per_default_window",
     "rejects",
     "typed_rows",

@@ -1,34 +1,34 @@
-"""Limit and offset over a DataFrame, and rows per page."""
+"""Limit and offset over a DataFrame."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from feedlake.plans.workspace import scratch_path
-from feedlake.sources.layout import Layout, rows_between, with_offsets, write_layout
+from feedlake.sources.layout import rows_between, write_layout
 
-# A sorted limit keeps this many rows per task and merges them in one task; past it, a layout.
+# Up to this many rows, a sorted limit; past it, a layout.
 TOP_ROWS = 10_000
 
+# Rows that the tasks of a sorted limit may send to the one task that merges them.
+MERGE_ROWS = 20_000_000
+
 
 def limit_offset(
-    df: DataFrame, keys: list[str], limit: int, offset: int = 0, path: str | None = None
+    df: DataFrame, keys: list[str], limit: int, offset: int = 0, settled: bool = False
 ) -> DataFrame:
     """Rows `[offset, offset + limit)` of `df` in the order of `keys`.
 
     `keys` should be unique, as otherwise the rows at the edges are not determined by them.
-    A deep offset writes `df` once in order (to `path`, or to scratch) and reads from the files
-    that hold the rows. To ask for many pages, write the layout once and use `rows_between`.
+    A deep offset writes `df` once in order and reads from the files that hold the rows; see
+    `write_layout` for `settled`. To ask for many pages, write the layout once and use
+    `rows_between`.
     """
-    if offset + limit <= TOP_ROWS:
-        return df.orderBy(*keys).offset(offset).limit(limit)
+    top = offset + limit
+    if top <= TOP_ROWS:
+        # each task keeps its first `top` rows, so the number of tasks bounds the merge
+        tasks = MERGE_ROWS // max(top, 1)
+        return df.coalesce(tasks).orderBy(*keys).offset(offset).limit(limit)
     spark = df.sparkSession
-    layout = write_layout(df, keys, path or scratch_path(spark, "layout"))
-    return rows_between(spark, layout, offset, offset + limit).drop("row_offset")
-
-
-def page_counts(spark: SparkSession, layout: Layout, page_size: int) -> DataFrame:
-    """Rows per page of a layout."""
-    page = F.floor(F.col("row_offset") / page_size).alias("page")
-    return with_offsets(spark, layout).groupBy(page).agg(F.count("*").alias("n_rows"))
+    layout = write_layout(df, keys, scratch_path(spark, "layout"), settled=settled)
+    return rows_between(spark, layout, offset, top).drop("row_offset")

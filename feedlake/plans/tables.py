@@ -74,17 +74,20 @@ def arranged(table: FeedTable, rows: DataFrame) -> DataFrame:
     """Rows shuffled so that a partition is written by few tasks, and a big one by several.
 
     A rebalance, unlike a repartition by the same column, lets Spark cut a day or year that
-    holds much of the data into pieces of the advisory size and merge small ones.
+    holds much of the data into pieces of the advisory size and merge small ones. An Iceberg
+    table asks Spark for its own shuffle and order, so its rows are left as they are.
     """
+    if table.is_iceberg:
+        return rows
     if table.has_year_column:
         rows = rows.withColumn(YEAR_COLUMN, F.year("date"))
-    if table.is_iceberg and table.by == "year":
-        return rows.hint("rebalance", F.year("date"))
     return rows.hint("rebalance", table.partition_column)
 
 
 def sorted_for_write(table: FeedTable, rows: DataFrame) -> DataFrame:
     """Sort inside tasks by day, so that row groups of a year's file cover few days each."""
+    if table.is_iceberg:
+        return rows
     if table.has_year_column:
         return rows.sortWithinPartitions(YEAR_COLUMN, "date")
     return rows.sortWithinPartitions("date")

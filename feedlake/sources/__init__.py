@@ -1,6 +1,7 @@
 from feedlake.sources.layout import (
     Layout,
     LayoutFeed,
+    page_counts,
     rows_between,
     with_offsets,
     write_layout,
@@ -22,6 +23,7 @@ __all__ = [
     "RequestFeed",
     "decode_json",
     "encode_json",
+    "page_counts",
     "read_feed",
     "read_stage",
     "register_feed",

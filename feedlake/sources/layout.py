@@ -25,6 +25,9 @@ from feedlake.sources.paged import PagedFeed
 
 READ_BATCH_ROWS = 32_768
 
+# The file index is sent to all executors up to this many files, about 100 bytes each.
+BROADCAST_FILES = 500_000
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -48,15 +51,24 @@ class Layout:
 
 
 def write_layout(
-    df: DataFrame, keys: list[str], path: str, day_column: str | None = None
+    df: DataFrame,
+    keys: list[str],
+    path: str,
+    day_column: str | None = None,
+    settled: bool = False,
 ) -> Layout:
     """Write `df` to `path` ordered by `day_column` (when given), then `keys`.
 
     Rows with equal keys are ordered by a hash of the row and then by where they were read, so
-    that a key held by a large part of the rows is still cut into many ranges.
+    that a key held by a large part of the rows, even one row repeated, is still cut into many
+    ranges. Where a row is read must be the same when a task runs again, so the input is written
+    first, unless it is `settled`: read from files with no shuffle since.
     """
     spark = df.sparkSession
     layout = Layout(path, df.schema, day_column)
+    if not settled:
+        df.write.parquet(f"{path}/input")
+        df = spark.read.schema(df.schema).parquet(f"{path}/input")
     order = [*([day_column] if day_column else []), *keys, "_tie_hash", "_tie_row"]
     marked = df.withColumn("_tie_hash", F.xxhash64(*df.columns)).withColumn(
         "_tie_row", F.monotonically_increasing_id()
@@ -106,7 +118,19 @@ def _located(rows: DataFrame, files: DataFrame) -> DataFrame:
 def with_offsets(spark: SparkSession, layout: Layout) -> DataFrame:
     """Every row of the layout with its `row_offset`, counted from 0."""
     rows = spark.read.schema(layout.schema).parquet(layout.rows_path)
-    return _located(rows, spark.read.parquet(layout.files_path))
+    files = spark.read.parquet(layout.files_path)
+    return _located(rows, F.broadcast(files) if files.count() <= BROADCAST_FILES else files)
+
+
+def page_counts(spark: SparkSession, layout: Layout, page_size: int) -> DataFrame:
+    """Rows per page, from the index alone: what each file adds to the pages it reaches into."""
+    files = spark.read.parquet(layout.files_path).where("n_rows > 0")
+    ends = files.withColumn("end_row", F.col("first_row") + F.col("n_rows"))
+    pages = F.expr(f"sequence(first_row div {page_size}, (end_row - 1) div {page_size})")
+    reached = ends.select("*", F.explode(pages).alias("page"))
+    page_start = F.col("page") * page_size
+    shared = F.least("end_row", page_start + page_size) - F.greatest("first_row", page_start)
+    return reached.groupBy("page").agg(F.sum(shared).alias("n_rows"))
 
 
 def rows_between(spark: SparkSession, layout: Layout, lo: int, hi: int) -> DataFrame:

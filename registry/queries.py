@@ -15,7 +15,6 @@ from feedlake.operators import (
     in_window,
     limit_offset,
     missing_days,
-    page_counts,
     per_default_window,
     typed_rows,
     weekly_run_dates,
@@ -37,6 +36,7 @@ from feedlake.sources import (
     LayoutFeed,
     decode_json,
     encode_json,
+    page_counts,
     read_feed,
     read_stage,
     register_feed,
@@ -66,7 +66,8 @@ def _sums(rows: DataFrame, *by) -> DataFrame:
 def _event_layout(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     days = events.select("event_id", "event_type", F.to_date("ts").alias("date"))
-    return write_layout(days, ["event_id"], scratch_path(spark, "events"), day_column="date")
+    path = scratch_path(spark, "events")
+    return write_layout(days, ["event_id"], path, day_column="date", settled=True)
 
 
 def _registered(spark, layout) -> str:
@@ -108,7 +109,7 @@ def limit_offset_top(spark, sf_dir):
 
 
 def limit_offset_deep(spark, sf_dir):
-    return limit_offset(table(spark, sf_dir, "orders"), ["o_orderkey"], 2000, 12000)
+    return limit_offset(table(spark, sf_dir, "orders"), ["o_orderkey"], 2000, 12000, settled=True)
 
 
 # --- stage and storage --------------------------------------------------------------------

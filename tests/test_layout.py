@@ -4,11 +4,11 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from feedlake.operators import limit_offset, page_counts
-from feedlake.operators import paging
+from feedlake.operators import limit_offset, paging
 from feedlake.plans import scratch_path
 from feedlake.sources import (
     LayoutFeed,
+    page_counts,
     read_feed,
     register_feed,
     rows_between,
@@ -129,3 +129,18 @@ def test_types_survive_the_paged_read(spark):
     read = read_feed(spark, feed(spark, laid(spark, frame, ["k"])))
     assert read.schema.simpleString() == frame.schema.simpleString()
     assert read.collect() == frame.collect()
+
+
+def test_pages_larger_and_smaller_than_files(spark, many_files):
+    layout = laid(spark, numbers(spark, 1000), ["n"])
+    for size in (1, 37, 500, 5000):
+        pages = {r.page: r.n_rows for r in page_counts(spark, layout, size).collect()}
+        whole, rest = divmod(1000, size)
+        assert pages == dict.fromkeys(range(whole), size) | ({whole: rest} if rest else {})
+
+
+def test_a_shuffled_input_is_written_before_it_is_ranged(spark, many_files):
+    totals = numbers(spark, 1000).groupBy("day").agg(F.sum("n").alias("n"))
+    layout = laid(spark, totals, ["day"])
+    assert spark.read.parquet(f"{layout.path}/input").count() == 5
+    assert with_offsets(spark, layout).count() == 5
