@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from feedlake.operators.ranges import day_range, in_window
 from feedlake.schema import TYPED_SCHEMA, YEAR_COLUMN
@@ -25,7 +24,6 @@ class FeedTable:
     name: str
     by: str = "day"
     provider: str = "parquet"
-    schema: StructType = field(default=TYPED_SCHEMA, hash=False)
 
     def __post_init__(self):
         if self.by not in ("day", "year"):
@@ -45,7 +43,7 @@ class FeedTable:
 
 
 def create_statement(table: FeedTable) -> str:
-    columns = [f"{f.name} {f.dataType.simpleString()}" for f in table.schema]
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in TYPED_SCHEMA]
     if table.has_year_column:
         columns.append(f"{YEAR_COLUMN} int")
     split = "years(date)" if table.by == "year" and table.is_iceberg else table.partition_column

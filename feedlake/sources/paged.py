@@ -118,11 +118,13 @@ def _record_batch(page: list[dict], arrow: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
 
-def page_runs(total: int, page_size: int, min_runs: int) -> list[tuple[int, int]]:
+def page_runs(
+    total: int, page_size: int, min_runs: int, max_runs: int = MAX_RUNS
+) -> list[tuple[int, int]]:
     """Cut `total` rows into runs `(offset, rows)` of whole pages, one run per task."""
     pages = math.ceil(total / page_size)
     wanted = max(math.ceil(total / ROWS_PER_RUN), min_runs, 1)
-    per_run = max(1, math.ceil(pages / min(wanted, MAX_RUNS))) * page_size
+    per_run = max(1, math.ceil(pages / min(wanted, max_runs))) * page_size
     return [(at, min(per_run, total - at)) for at in range(0, total, per_run)]
 
 
@@ -134,6 +136,7 @@ class PagedReader(DataSourceReader):
         self.stop = _day(options.get("stop"))
         self.page_size = int(options.get("pagesize", DEFAULT_PAGE_SIZE))
         self.min_runs = int(options.get("minruns", 1))
+        self.max_runs = int(options.get("maxruns", MAX_RUNS))
         self.page_column = options.get("pagecolumn")
         if self.page_size < 1:
             raise ValueError(f"page size must be positive, not {self.page_size}")
@@ -142,7 +145,7 @@ class PagedReader(DataSourceReader):
         no_days = self.start is not None and self.stop is not None and self.start >= self.stop
         total = 0 if no_days else self.feed.count(self.start, self.stop)
         # Spark wants at least one partition
-        runs = page_runs(total, self.page_size, self.min_runs) or [(0, 0)]
+        runs = page_runs(total, self.page_size, self.min_runs, self.max_runs) or [(0, 0)]
         return [InputPartition(run) for run in runs]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
@@ -202,8 +205,8 @@ def register_feed(spark: SparkSession, name: str, feed: PagedFeed) -> None:
     """Make `feed` readable as `spark.read.format(name)`.
 
     Options: `start`, `stop` (days), `pageSize`, `columns` (comma-separated), `pageColumn` (adds
-    the page number under that name), `minRuns` (least number of tasks, if there are pages) and
-    `pushdown` (`false` where `spark.sql.python.filterPushdown.enabled` is off).
+    the page number under that name), `minRuns` and `maxRuns` (bounds on the number of tasks)
+    and `pushdown` (`false` where `spark.sql.python.filterPushdown.enabled` is off).
     """
 
     class RegisteredFeed(DataSource):
@@ -238,10 +241,15 @@ def read_feed(
     page_size: int = DEFAULT_PAGE_SIZE,
     columns: list[str] | None = None,
     page_column: str | None = None,
+    max_tasks: int = MAX_RUNS,
 ) -> DataFrame:
-    """Rows of a registered feed; the window goes to the feed with the request."""
+    """Rows of a registered feed; the window goes to the feed with the request.
+
+    `max_tasks` also bounds how many requests a service sees at a time.
+    """
     reader = spark.read.format(name).option("pageSize", page_size)
     reader = reader.option("minRuns", spark.sparkContext.defaultParallelism)
+    reader = reader.option("maxRuns", max_tasks)
     reader = reader.option("pushdown", spark.conf.get(PUSHDOWN_SETTING, "false"))
     if start is not None:
         reader = reader.option("start", start.isoformat())

@@ -21,7 +21,9 @@ from feedlake.operators import (
 )
 from feedlake.plans import (
     FeedTable,
+    append,
     append_stage,
+    create_if_absent,
     create_raw,
     footprint,
     load_feed,
@@ -242,6 +244,14 @@ def _years_table(spark, sf_dir) -> FeedTable:
     return loaded
 
 
+def _queried_table(spark, feed, by) -> FeedTable:
+    """The feed as a table to query, loaded without a stage."""
+    loaded = FeedTable(f"{scratch_database(spark)}.traffic_hourly", by)
+    create_if_absent(spark, loaded)
+    append(spark, loaded, typed_rows(feed))
+    return loaded
+
+
 def load_by_day(spark, sf_dir):
     return _sums(spark.table(_month_table(spark, sf_dir).name), "date")
 
@@ -293,7 +303,7 @@ def replace_window_day(spark, sf_dir):
 
 
 def replace_window_year(spark, sf_dir):
-    loaded = _years_table(spark, sf_dir)
+    loaded = _queried_table(spark, years_feed(spark, sf_dir), "year")
     corrected = typed_rows(years_feed(spark, sf_dir)).withColumn(
         "vehicles_vtoll", F.col("vehicles_vtoll") + 1
     )
@@ -303,7 +313,7 @@ def replace_window_year(spark, sf_dir):
 
 
 def read_window_year(spark, sf_dir):
-    loaded = _years_table(spark, sf_dir)
+    loaded = _queried_table(spark, years_feed(spark, sf_dir), "year")
     return read_window(spark, loaded, datetime.date(1998, 12, 28), datetime.date(1999, 1, 4))
 
 
@@ -328,7 +338,7 @@ def sql_on_table(spark, sf_dir):
         f"""
         SELECT CAST(hour AS int) AS hour, count(*) AS n_rows,
                sum(vehicles_e_zpass) AS e_zpass, sum(vehicles_vtoll) AS vtoll
-        FROM {_month_table(spark, sf_dir).name}
+        FROM {_queried_table(spark, month_feed(spark, sf_dir), "day").name}
         GROUP BY CAST(hour AS int)
         """
     )
@@ -339,7 +349,7 @@ def sql_plaza_day(spark, sf_dir):
         f"""
         SELECT plaza_id, direction, date,
                sum(vehicles_e_zpass) AS e_zpass, sum(vehicles_vtoll) AS vtoll
-        FROM {_years_table(spark, sf_dir).name}
+        FROM {_queried_table(spark, years_feed(spark, sf_dir), "year").name}
         GROUP BY plaza_id, direction, date
         """
     )
@@ -351,7 +361,7 @@ def sql_pass_share(spark, sf_dir):
         SELECT plaza_id, date_year AS year,
                sum(vehicles_e_zpass) * 10000
                    DIV (sum(vehicles_e_zpass) + sum(vehicles_vtoll)) AS share_bp
-        FROM {_years_table(spark, sf_dir).name}
+        FROM {_queried_table(spark, years_feed(spark, sf_dir), "year").name}
         GROUP BY plaza_id, date_year
         """
     )

@@ -1,9 +1,12 @@
 import datetime
+import subprocess
+import sys
 import uuid
 
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -57,6 +60,7 @@ def test_runs_cover_every_row_once_and_start_at_pages(total, page_size, min_runs
 def test_a_huge_feed_makes_a_bounded_number_of_tasks():
     assert len(page_runs(10**12, 100_000, 8)) <= MAX_RUNS
     assert len(page_runs(10**12, 1_000, 100_000)) <= MAX_RUNS
+    assert len(page_runs(10**6, 1_000, 64, 3)) == 3
 
 
 @pytest.mark.parametrize("total", [0, 1, 9, 10, 11, 20, 35])
@@ -80,6 +84,27 @@ def test_pages_become_tasks(spark):
     assert frame.select(F.spark_partition_id()).distinct().count() == 4
 
 
+def test_tasks_can_be_held_to_what_a_service_bears(spark):
+    name = registered(spark, *service(40))
+    frame = read_feed(spark, name, page_size=10, max_tasks=2)
+    assert frame.select(F.spark_partition_id()).distinct().count() == 2
+
+
+def test_executors_need_no_copy_of_this_package(spark, tmp_path):
+    name = registered(spark, *service(3))
+    assert read_feed(spark, name).count() == 3
+    feed = RequestFeed(SCHEMA, lambda a, b: 3, lambda a, b, n, o: [{"id": 1}] * n)
+    (tmp_path / "feed.pickle").write_bytes(cloudpickle.dumps(feed))
+    script = (
+        "import pickle; feed = pickle.load(open('feed.pickle', 'rb'));"
+        "print(sum(b.num_rows for b in feed.rows(None, None, 0, 3, 2, ['id'])))"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    assert done.stdout.strip() == "3"
+
+
 def test_values_that_are_not_text_become_text(spark):
     name = registered(
         spark, lambda a, b: 3, lambda a, b, n, o: [{"label": 5}, {"label": {"x": 1}}, {"id": 1}]
