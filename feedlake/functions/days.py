@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 START_LAG_DAYS = 8
 STOP_LAG_DAYS = 1
 
-# Fixed value: a day as the feed's range parameter writes it.
-MIDNIGHT_PATTERN = "yyyy-MM-dd'T00:00:00.00'"
+# Fixed value: what follows the day in the feed's range parameters.
+MIDNIGHT = "T00:00:00.00"
 
 
 def parse_day(text: Column | str) -> Column:
@@ -22,12 +22,12 @@ def parse_day(text: Column | str) -> Column:
 
 def midnight_literal(day: Column | str) -> Column:
     """ISO text of the day's midnight; a time of day is dropped."""
-    return F.date_format(F.to_date(day), MIDNIGHT_PATTERN)
+    return F.concat(F.to_date(day).cast("string"), F.lit(MIDNIGHT))
 
 
 def midnight_text(day: datetime.date) -> str:
     """`midnight_literal` for a Python date, for use in a feed request."""
-    return day.strftime("%Y-%m-%d") + "T00:00:00.00"
+    return f"{day:%Y-%m-%d}{MIDNIGHT}"
 
 
 def default_bounds(run_date: Column | str) -> tuple[Column, Column]:

@@ -78,11 +78,11 @@ def write_layout(
 
     written = spark.read.schema(df.schema).parquet(layout.rows_path)
     # part-<partition>-<job>-c<file within partition>: both numbers follow the range order
-    number = r"part-(\d+)-[^/]*-c(\d+)[^/]*$"
+    number = r"^part-(\d+)-.*-c(\d+)"
     before = W.orderBy("part", "chunk").rowsBetween(W.unboundedPreceding, -1)
     # the running totals run over one row per file (or per day), not over the rows
     (
-        written.groupBy(F.col("_metadata.file_path").alias("file"))
+        written.groupBy(F.col("_metadata.file_name").alias("file"))
         .agg(F.count("*").alias("n_rows"))
         .withColumn("part", F.regexp_extract("file", number, 1).cast("int"))
         .withColumn("chunk", F.regexp_extract("file", number, 2).cast("int"))
@@ -105,7 +105,7 @@ def _located(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Rows read from files, with the `row_offset` that the index of these files gives them."""
     placed = rows.select(
         "*",
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.row_index").alias("_row_index"),
     )
     return (
@@ -138,7 +138,7 @@ def rows_between(spark: SparkSession, layout: Layout, lo: int, hi: int) -> DataF
     files = spark.read.parquet(layout.files_path)
     wanted = files.where((F.col("first_row") < hi) & (F.col("first_row") + F.col("n_rows") > lo))
     # names of the files that hold the asked-for rows
-    paths = [r.file for r in wanted.select("file").collect()]
+    paths = [f"{layout.rows_path}/{r.file}" for r in wanted.select("file").collect()]
     reader = spark.read.schema(layout.schema)
     rows = reader.parquet(*paths) if paths else reader.parquet(layout.rows_path).limit(0)
     located = _located(rows, wanted)
@@ -157,7 +157,7 @@ class LayoutFeed(PagedFeed):
 
     def __init__(self, spark: SparkSession, layout: Layout):
         super().__init__(layout.schema, layout.day_column)
-        # file names as Spark resolves them, so that tasks need no default file system
+        # the path as Spark resolves it, so that tasks need no default file system
         sample = spark.read.parquet(layout.files_path).select("_metadata.file_path").first()
         self._root = sample[0].rsplit("/", 2)[0] if sample else None
 
@@ -195,7 +195,7 @@ class LayoutFeed(PagedFeed):
         lo, hi = base + offset, base + offset + n_rows
         first, size = pads.field("first_row"), pads.field("n_rows")
         for entry in self._index("files", (first < hi) & (first + size > lo)):
-            filesystem, path = _filesystem(entry["file"])
+            filesystem, path = _filesystem(f"{self._root}/rows/{entry['file']}")
             with filesystem.open_input_file(path) as handle:
                 yield from _slice_file(handle, entry["first_row"], lo, hi, columns)
 

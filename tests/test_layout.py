@@ -144,3 +144,10 @@ def test_a_shuffled_input_is_written_before_it_is_ranged(spark, many_files):
     layout = laid(spark, totals, ["day"])
     assert spark.read.parquet(f"{layout.path}/input").count() == 5
     assert with_offsets(spark, layout).count() == 5
+
+
+def test_paths_with_spaces(spark, tmp_path):
+    layout = write_layout(numbers(spark, 10), ["n"], str(tmp_path / "a b"), "day")
+    assert rows_between(spark, layout, 2, 5).count() == 3
+    assert with_offsets(spark, layout).count() == 10
+    assert read_feed(spark, feed(spark, layout), D(2024, 1, 2)).count() == 8
