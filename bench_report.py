@@ -12,8 +12,9 @@ import time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.plans import FeedTable, append_stage, read_window, scratch_database, scratch_path
+from feedlake.plans import FeedTable, append_stage, read_window
 from feedlake.sources import LayoutFeed, read_feed, register_feed, write_layout, write_stage
+from feedlake.workspace import scratch_database, scratch_path
 from registry.feeds import table, years_feed
 from registry.queries import storage_footprint
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from feedlake.plans.workspace import scratch_path
+from feedlake.workspace import scratch_path
 from feedlake.sources.layout import rows_between, write_layout
 
 # Up to this many rows, a sorted limit; past it, a layout.

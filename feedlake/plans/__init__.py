@@ -15,7 +15,6 @@ from feedlake.plans.tables import (
     read_window,
     replace_window,
 )
-from feedlake.plans.workspace import scratch_database, scratch_path
 
 __all__ = [
     "FeedTable",
@@ -29,8 +28,6 @@ __all__ = [
     "load_feed",
     "read_window",
     "replace_window",
-    "scratch_database",
-    "scratch_path",
     "stage_measure",
     "stage_rejects",
 ]

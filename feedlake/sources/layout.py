@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from feedlake.sources.paged import PagedFeed
+from feedlake.workspace import scratch_database
 
 READ_BATCH_ROWS = 32_768
 
@@ -66,9 +67,19 @@ def write_layout(
     """
     spark = df.sparkSession
     layout = Layout(path, df.schema, day_column)
-    if not settled:
-        df.write.parquet(f"{path}/input")
-        df = spark.read.schema(df.schema).parquet(f"{path}/input")
+    if settled:
+        _write_rows(df, keys, layout)
+    else:
+        database = scratch_database(spark, "input")
+        df.write.saveAsTable(f"{database}.rows")
+        _write_rows(spark.table(f"{database}.rows"), keys, layout)
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    _write_index(spark, layout)
+    return layout
+
+
+def _write_rows(df: DataFrame, keys: list[str], layout: Layout) -> None:
+    day_column = layout.day_column
     order = [*([day_column] if day_column else []), *keys, "_tie_hash", "_tie_row"]
     marked = df.withColumn("_tie_hash", F.xxhash64(*df.columns)).withColumn(
         "_tie_row", F.monotonically_increasing_id()
@@ -76,7 +87,10 @@ def write_layout(
     ordered = marked.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.drop("_tie_hash", "_tie_row").write.parquet(layout.rows_path)
 
-    written = spark.read.schema(df.schema).parquet(layout.rows_path)
+
+def _write_index(spark: SparkSession, layout: Layout) -> None:
+    """Write where each file starts and, with a day column, where each day starts."""
+    written = spark.read.schema(layout.schema).parquet(layout.rows_path)
     # part-<partition>-<job>-c<file within partition>: both numbers follow the range order
     number = r"^part-(\d+)-.*-c(\d+)"
     before = W.orderBy("part", "chunk").rowsBetween(W.unboundedPreceding, -1)
@@ -90,15 +104,14 @@ def write_layout(
         .select("file", "first_row", "n_rows")
         .write.parquet(layout.files_path)
     )
-    if day_column:
+    if layout.day_column:
         earlier = W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)
         (
-            written.groupBy(F.col(day_column).alias("day"))
+            written.groupBy(F.col(layout.day_column).alias("day"))
             .agg(F.count("*").alias("n_rows"))
             .withColumn("first_row", F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)))
             .write.parquet(layout.days_path)
         )
-    return layout
 
 
 def _located(rows: DataFrame, files: DataFrame) -> DataFrame:

@@ -29,8 +29,6 @@ from feedlake.plans import (
     load_feed,
     read_window,
     replace_window,
-    scratch_database,
-    scratch_path,
     stage_measure,
     stage_rejects,
 )
@@ -46,6 +44,7 @@ from feedlake.sources import (
     write_stage,
 )
 from feedlake.streaming import load_new_files, read_loaded
+from feedlake.workspace import scratch_database, scratch_path
 from registry.feeds import month_feed, table, years_feed, years_feed_with_gaps
 
 WEEK = (datetime.date(2024, 1, 8), datetime.date(2024, 1, 15))

@@ -7,7 +7,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-from feedlake.plans.workspace import shared_folder
+from feedlake.workspace import shared_folder
 from registry import queries
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
