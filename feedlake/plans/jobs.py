@@ -71,8 +71,9 @@ def load_feed(
 ) -> int:
     """Stage the pulled wire rows as JSON, create the table if absent, and load the stage.
 
-    A backfill is the same call with more rows: one job, however many days it spans. Without a `window` the rows are appended; with one they replace the table's rows of it.
-    Returns the number of rows loaded.
+    A backfill is the same call with more rows: one job, however many days it spans. Without a
+    `window` the rows are appended; with one they replace the table's rows of it. Returns the
+    number of rows loaded.
     """
     create_if_absent(spark, table)
     write_stage(pulled, stage)
@@ -111,5 +112,7 @@ def footprint(spark: SparkSession, stored: dict[str, tuple[str, str]]) -> DataFr
     for part in parts[1:]:
         everything = everything.union(part)
     return everything.groupBy("format").agg(
-        F.sum("files").alias("n_files"), F.sum("bytes").alias("n_bytes"), F.sum("rows").alias("n_rows")
+        F.sum("files").alias("n_files"),
+        F.sum("bytes").alias("n_bytes"),
+        F.sum("rows").alias("n_rows"),
     )

@@ -8,6 +8,7 @@ written; a row's offset is then the rows in the files before its file plus its p
 from __future__ import annotations
 
 import datetime
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import unquote, urlparse
@@ -26,6 +27,11 @@ from feedlake.workspace import scratch_database
 
 READ_BATCH_ROWS = 32_768
 
+# Rows that a range, and so a file, should hold where the session's shuffle partitions would
+# make them larger. Spark draws at most a million keys to place the bounds, hence a limit on both.
+ROWS_PER_RANGE = 10_000_000
+MAX_RANGES = 50_000
+
 # The file index is sent to all executors up to this many files, about 100 bytes each.
 BROADCAST_FILES = 500_000
 
@@ -84,8 +90,13 @@ def _write_rows(df: DataFrame, keys: list[str], layout: Layout) -> None:
     marked = df.withColumn("_tie_hash", F.xxhash64(*df.columns)).withColumn(
         "_tie_row", F.monotonically_increasing_id()
     )
-    ordered = marked.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.drop("_tie_hash", "_tie_row").write.parquet(layout.rows_path)
+    # counted from file footers, as the input is in files
+    ranges = min(math.ceil(df.count() / ROWS_PER_RANGE), MAX_RANGES)
+    usual = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    sized = usual.isdigit() and ranges > int(usual)
+    ranged = marked.repartitionByRange(*([ranges] if sized else []), *order)
+    ordered = ranged.sortWithinPartitions(*order).drop("_tie_hash", "_tie_row")
+    ordered.write.parquet(layout.rows_path)
 
 
 def _write_index(spark: SparkSession, layout: Layout) -> None:

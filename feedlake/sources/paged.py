@@ -186,6 +186,8 @@ class PushingReader(PagedReader):
         day = getattr(item, "value", None)
         if not isinstance(day, datetime.date) or isinstance(day, datetime.datetime):
             return False
+        if day == datetime.date.max:
+            return False
         if isinstance(item, (GreaterThanOrEqual, GreaterThan, EqualTo)):
             low = day + ONE_DAY if isinstance(item, GreaterThan) else day
             self.start = low if self.start is None else max(self.start, low)

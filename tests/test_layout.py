@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlake.operators import limit_offset, paging
+from feedlake.sources import layout as layout_module
 from feedlake.sources import (
     LayoutFeed,
     page_counts,
@@ -39,6 +40,13 @@ def many_files(conf):
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
 
 
+def test_large_inputs_get_more_ranges_than_the_session_has_partitions(spark, monkeypatch):
+    monkeypatch.setattr(layout_module, "ROWS_PER_RANGE", 50)
+    layout = laid(spark, numbers(spark, 1000), ["n"])
+    assert 8 < spark.read.parquet(layout.files_path).count() <= 20
+    assert with_offsets(spark, layout).where("n <> row_offset").count() == 0
+
+
 def test_offsets_follow_the_order(spark, many_files):
     frame = numbers(spark, 1000).withColumn("n", F.lit(999) - F.col("n"))
     layout = laid(spark, frame, ["n"])
@@ -95,8 +103,15 @@ def test_a_layout_reads_as_a_paged_feed(spark, many_files):
 
 @pytest.mark.parametrize(
     "start, stop",
-    [(None, None), (D(2024, 1, 2), D(2024, 1, 4)), (D(2024, 1, 4), None), (None, D(2024, 1, 2)),
-     (D(2025, 1, 1), D(2026, 1, 1)), (D(2023, 1, 1), D(2024, 1, 1)), (D(2024, 1, 3), D(2024, 1, 3))],
+    [
+        (None, None),
+        (D(2024, 1, 2), D(2024, 1, 4)),
+        (D(2024, 1, 4), None),
+        (None, D(2024, 1, 2)),
+        (D(2025, 1, 1), D(2026, 1, 1)),
+        (D(2023, 1, 1), D(2024, 1, 1)),
+        (D(2024, 1, 3), D(2024, 1, 3)),
+    ],
 )
 def test_windows_of_a_layout(spark, many_files, start, stop):
     undated = spark.createDataFrame([(-1, None), (-2, None)], "n bigint, day date")
@@ -123,7 +138,8 @@ def test_an_empty_layout(spark):
 
 def test_types_survive_the_paged_read(spark):
     frame = spark.sql(
-        "SELECT 1 AS k, TIMESTAMP_NTZ'2024-01-01 10:00:00' AS t, TIMESTAMP'2024-01-01 10:00:00' AS u,"
+        "SELECT 1 AS k, TIMESTAMP_NTZ'2024-01-01 10:00:00' AS t,"
+        " TIMESTAMP'2024-01-01 10:00:00' AS u,"
         " CAST(1.5 AS decimal(10,2)) AS d, 2.5D AS f, array('a') AS a, true AS b"
     )
     read = read_feed(spark, feed(spark, laid(spark, frame, ["k"])))

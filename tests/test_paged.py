@@ -160,8 +160,16 @@ def test_options_and_filters_narrow_together(spark):
 
 @pytest.mark.parametrize("pushdown", ["true", "false"])
 @pytest.mark.parametrize(
-    "condition", ["id = 7", "day IN (DATE'2024-01-02', DATE'2024-01-04')", "day <> DATE'2024-01-02'",
-                  "day >= DATE'2024-01-02' OR id < 3", "day IS NULL", "label LIKE '1%'"]
+    "condition",
+    [
+        "id = 7",
+        "day IN (DATE'2024-01-02', DATE'2024-01-04')",
+        "day <> DATE'2024-01-02'",
+        "day >= DATE'2024-01-02' OR id < 3",
+        "day <= DATE'9999-12-31' AND id > 3",
+        "day IS NULL",
+        "label LIKE '1%'",
+    ],
 )
 def test_filters_the_feed_cannot_apply_stay_with_spark(spark, conf, pushdown, condition):
     name = registered(spark, *service(60))

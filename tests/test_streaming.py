@@ -6,10 +6,8 @@ from feedlake.streaming import load_new_files, read_loaded, report_new_rejects
 
 def drop(stage, name, hours, day="2024-01-01", vtoll="3"):
     stage.mkdir(exist_ok=True)
-    lines = [
-        json.dumps(dict(zip(WIRE_SCHEMA.names, ("21", f"{day}T00:00:00.000", str(h), "I", "1", vtoll))))
-        for h in hours
-    ]
+    rows = [("21", f"{day}T00:00:00.000", str(h), "I", "1", vtoll) for h in hours]
+    lines = [json.dumps(dict(zip(WIRE_SCHEMA.names, row))) for row in rows]
     (stage / name).write_text("\n".join(lines))
 
 

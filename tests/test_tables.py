@@ -126,7 +126,8 @@ def test_replacing_with_nothing_empties_the_window(spark, database, by):
     table = made(spark, database, by, D(2023, 5, 1), None)
     assert replace_window(spark, table, rows_on(spark), D(2023, 1, 1), D(2024, 1, 1)) == 0
     assert content(spark, table) == [(None, 1)]
-    assert replace_window(spark, table, rows_on(spark, D(2023, 1, 1)), D(2023, 1, 1), D(2024, 1, 1)) == 1
+    one = rows_on(spark, D(2023, 1, 1))
+    assert replace_window(spark, table, one, D(2023, 1, 1), D(2024, 1, 1)) == 1
 
 
 @pytest.mark.parametrize("by", ["day", "year"])
