@@ -98,6 +98,7 @@ def append(spark: SparkSession, table: FeedTable, rows: DataFrame) -> int:
     """
     counted = Observation()
     # counted after the shuffle, in the stage that writes: a task that runs again counts once
+    # (Iceberg shuffles later, so there a lost executor can raise the number reported)
     ready = arranged(table, rows).observe(counted, F.count("*").alias("n_rows"))
     insert(spark, table, ready)
     return counted.get["n_rows"]
@@ -138,7 +139,8 @@ def replace_window(
 ) -> int:
     """Make the table's rows of `[start, stop)` those of `rows` in it; returns how many.
 
-    Running it again changes nothing. Days of the window without new rows end up empty.
+    Running it again changes nothing. Days of the window without new rows end up empty. Rows
+    without a date belong to no window and are not loaded.
     """
     if stop <= start:
         raise ValueError(f"no days from {start} to {stop}")
