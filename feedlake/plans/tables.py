@@ -83,7 +83,7 @@ def arranged(table: FeedTable, rows: DataFrame) -> DataFrame:
 
 
 def sorted_for_write(table: FeedTable, rows: DataFrame) -> DataFrame:
-    """Sort inside tasks by day, so that row groups of a year's file cover few days each."""
+    """Sort inside tasks by day, so that a page of a year's file covers few days."""
     if table.is_iceberg:
         return rows
     if table.has_year_column:
