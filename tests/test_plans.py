@@ -64,3 +64,27 @@ def test_the_library_keeps_rows_off_the_driver():
 
 def test_scratch_goes_to_the_folder_of_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class UnsetSession:
+    """A session that names no folder, as far as `shared_folder` looks at it."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_a_local_session_gets_a_folder_of_its_own():
+    local = UnsetSession("local[2]")
+    assert os.path.isdir(shared_folder(local))
+    assert shared_folder(local) == local.folder
+    with pytest.raises(ValueError):
+        shared_folder(UnsetSession("yarn"))
