@@ -2,24 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder. A local session without one gets a temporary folder."""
+    """The session's checkpoint folder, or its warehouse folder where it names none.
+
+    The rule is the same for every master; both folders are ones that all executors reach.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="feedlake-"))
-    return context.getCheckpointDir().rstrip("/")
+    named = named or spark.sparkContext.getCheckpointDir()
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -32,3 +27,15 @@ def scratch_database(spark: SparkSession, label: str = "scratch") -> str:
     name = f"feedlake_{label}_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, label)}'")
     return name
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` below the shared folder and read it back.
+
+    What follows starts from the written files, so that it survives lost executors, sees the same
+    rows every time, and is planned by the size that the files really have.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
