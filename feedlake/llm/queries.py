@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.llm.decontaminate import benchmark_hits
 from feedlake.llm.quality import RULES, quality_cascade
 
 
@@ -12,6 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item, and which items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hits = benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    return hits.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base measures of every document, and whether the cascade of rules keeps it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -28,6 +43,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op7_quality_rules": op7_quality_rules}
+QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op7_quality_rules": op7_quality_rules,
+}
 
 ORACLES: dict[str, str] = {}
