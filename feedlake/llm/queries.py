@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.decontaminate import benchmark_hits
+from feedlake.llm.near_duplicates import near_duplicates
 from feedlake.llm.quality import RULES, quality_cascade
 
 
@@ -43,9 +44,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of near duplicates that every document is in."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = near_duplicates(docs, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 ORACLES: dict[str, str] = {}
