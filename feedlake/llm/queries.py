@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.decontaminate import benchmark_hits
 from feedlake.llm.near_duplicates import near_duplicates
+from feedlake.llm.packing import pack, pieces
 from feedlake.llm.quality import RULES, quality_cascade
 
 
@@ -14,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of every document lies in windows of 4096 tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    packed = pack(pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packed.withColumnRenamed("crc32", "ids_crc32")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item, and which items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,6 +61,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op10_near_duplicates": op10_near_duplicates,
