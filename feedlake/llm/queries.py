@@ -11,6 +11,8 @@ from feedlake.llm.near_duplicates import near_duplicates
 from feedlake.llm.packing import pack, pieces
 from feedlake.llm.quality import RULES, quality_cascade
 
+from feedlake.llm.toxicity import fit, score
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,6 +55,20 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document; a quarter of the ids is held out of the training."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+    model = fit(docs.where(~held_out), labels.where(~held_out))
+    return score(docs, model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of near duplicates that every document is in."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,6 +80,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
     "op7_quality_rules": op7_quality_rules,
+    "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
 
