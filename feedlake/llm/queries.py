@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.decontaminate import benchmark_hits
+from feedlake.llm.line_dedup import without_boilerplate
 from feedlake.llm.near_duplicates import near_duplicates
+from feedlake.llm.oracles import ORACLES
 from feedlake.llm.packing import pack, pieces
 from feedlake.llm.quality import RULES, quality_cascade
 
 from feedlake.llm.toxicity import fit, score
+from feedlake.llm.url_filters import filtered_captures, host_of
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +42,48 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many of them its source repeats, and the text without them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    cleaned = without_boilerplate(docs.withColumn("n_lines", F.size(F.split("text", "\n", -1))))
+    return cleaned.select(
+        "doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        "n_dropped",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
+def _number(text: F.Column) -> F.Column:
+    """A number below 65536 made of a text."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 4), 16, 10).cast("int")
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list over the hosts of `pages`: two entries per host, two for the domain above it."""
+    hosts = pages.select(host_of().alias("host")).where("host is not null").distinct()
+    each = hosts.select("host", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k"))
+    key = F.concat_ws("#", "host", F.col("k").cast("string"))
+    above = F.regexp_replace("host", r"^[^.]+\.([^.]+\.)", "$1")
+    return each.select(
+        F.when(F.col("k") < 2, F.col("host")).otherwise(above).alias("pattern"),
+        F.date_add(F.lit("2024-01-01").cast("date"), _number(key) % 365).alias("listed_on"),
+        F.element_at(
+            F.array(F.lit("block"), F.lit("allow"), F.lit("remove")),
+            _number(F.concat(key, F.lit("!"))) % 3 + 1,
+        ).alias("action"),
+    )
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every page, fetched on a day given by its id, the list entry that decides it."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 365).cast("int"))
+    captures = pages.withColumn("fetched_on", fetched)
+    found = filtered_captures(captures, list_entries(pages))
+    return found.select("page_id", "fetched_on", "host", "pattern", "action", "blocked")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base measures of every document, and whether the cascade of rules keeps it."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,12 +121,14 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
+    "op5_line_dedup": op5_line_dedup,
+    "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
-
-ORACLES: dict[str, str] = {}
