@@ -15,6 +15,7 @@ from feedlake.llm.quality import RULES, quality_cascade
 
 from feedlake.llm.toxicity import fit, score
 from feedlake.llm.url_filters import filtered_captures, host_of
+from feedlake.llm.warc import archived
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,6 +101,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives say of every page, once written and read back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return archived(pages, payloads=False).select(*columns)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score of every document; a quarter of the ids is held out of the training."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -129,6 +137,7 @@ QUERIES = {
     "op5_line_dedup": op5_line_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
+    "op8_warc": op8_warc,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
