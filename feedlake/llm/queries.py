@@ -13,6 +13,7 @@ from feedlake.llm.oracles import ORACLES
 from feedlake.llm.packing import pack, pieces
 from feedlake.llm.quality import RULES, quality_cascade
 
+from feedlake.llm.token_counts import section_tokens
 from feedlake.llm.toxicity import fit, score
 from feedlake.llm.url_filters import filtered_captures, host_of
 from feedlake.llm.warc import archived
@@ -43,6 +44,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document; a token belongs to the line of its first byte."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return section_tokens(docs, vocabulary, public_tokenizers.PATTERN)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, how many of them its source repeats, and the text without them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -134,6 +142,7 @@ __all__ = ["ORACLES", "QUERIES"]
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
+    "op4_token_counts": op4_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
