@@ -13,6 +13,7 @@ from feedlake.llm.oracles import ORACLES
 from feedlake.llm.packing import pack, pieces
 from feedlake.llm.quality import RULES, quality_cascade
 
+from feedlake.llm.suffix_dedup import without_repeats
 from feedlake.llm.token_counts import section_tokens
 from feedlake.llm.toxicity import fit, score
 from feedlake.llm.url_filters import filtered_captures, host_of
@@ -44,6 +45,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that lie in a string of 200 bytes that starts elsewhere too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_repeats(docs).drop("kept")
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of every document; a token belongs to the line of its first byte."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -142,6 +149,7 @@ __all__ = ["ORACLES", "QUERIES"]
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_decontamination": op2_decontamination,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op6_url_filters": op6_url_filters,
