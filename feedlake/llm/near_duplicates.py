@@ -6,7 +6,7 @@ universal hash of (bin, attempt) names, trying on until that one is not empty (o
 densification). `BANDS` bands of `ROWS` bins give the buckets.
 
 Equal sets are first merged to one class, so copies cost nothing further. In each bucket only a star
-is proposed: every class with the bucket's smallest class. Proposed links are confirmed on full
+is proposed: every class with the one that meets most others. Proposed links are confirmed on full
 sets, and components found. A star can miss a link between two of its spokes. So the classes of
 buckets that still hold more than one component are joined once more, by their rare shingles, which
 misses no link between them and makes few pairs besides. Thus no pair that shares a bucket is left
@@ -204,12 +204,20 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").mapInArrow(run, "a binary, b binary")
 
 
-def _first_stars(bands: DataFrame) -> DataFrame:
-    hubs = bands.groupBy("bucket").agg(F.min("class").alias("a"), F.count("*").alias("n"))
+def _central_stars(shared: DataFrame) -> DataFrame:
+    """Pairs of each bucket's hub with its other classes.
+
+    The hub is the class that meets most others over all buckets: of copies that were each changed a
+    little, the one nearest to what they were made from.
+    """
+    sizes = shared.groupBy("bucket").agg(F.count("*").alias("n"))
+    met = shared.join(sizes, "bucket").groupBy("class").agg(F.sum("n").alias("met"))
+    ranked = shared.join(met, "class")
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("met", "class"))["class"].alias("hub"))
     return (
-        bands.join(hubs.where("n > 1"), "bucket")
-        .where(F.col("a") != F.col("class"))
-        .select("a", F.col("class").alias("b"))
+        shared.join(hubs, "bucket")
+        .where(F.col("hub") != F.col("class"))
+        .select(F.least("hub", "class").alias("a"), F.greatest("hub", "class").alias("b"))
         .distinct()
     )
 
@@ -319,7 +327,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
         alike = _agreeing(pairs, percent)
         return settle(_confirmed(alike, sets, percent), "links")
 
-    edges = linked(_first_stars(shared))
+    edges = linked(_central_stars(shared))
     labels = settle(components(edges), "labels")
     unsettled = settle(_unsettled(shared, labels), "unsettled")
     more = linked(settle(_rare_partners(sets, unsettled, percent), "pairs"))
