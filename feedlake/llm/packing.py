@@ -20,10 +20,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from feedlake.llm.text import blocks, row_numbers
-from feedlake.llm.tokens import WordEncoder
+from feedlake.llm.tokens import word_encoder
 from feedlake.workspace import settle
 
 WINDOW = 4096
@@ -46,7 +45,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, ids: bool = Fa
     names = ["row", "doc_id", "start", "length", "doc_tokens", "crc32", "parts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, done = WordEncoder(Tokenizer.from_file(tokenizer)), 0
+        encoder, done = word_encoder(tokenizer), 0
         for rows, data, bounds in blocks(batches, "text"):
             owner, starts, lengths, totals, crcs, parts, bodies = [], [], [], [], [], [], []
             for i, body in enumerate(encoder.encode(data, bounds)):

@@ -6,9 +6,12 @@ import os
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
 # Spark already runs a task on every core.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -18,7 +21,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _LATIN = 0x24F
 
 # Distinct words that one worker remembers; beyond it, it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 def _class(kinds: str) -> str:
@@ -44,6 +47,11 @@ class WordEncoder:
 
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer = tokenizer
+        # the same vocabulary for words that are cut and lower-cased already
+        self.alone = Tokenizer(tokenizer.model)
+        self.alone.pre_tokenizer = Sequence(
+            [WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         names = tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
@@ -54,14 +62,9 @@ class WordEncoder:
         self.ids = np.empty(0, np.uint32)
         self.first = np.zeros(1, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
-            self._forget()
-        new = [w for w in dict.fromkeys(words) if w not in self.known]
-        if not new:
-            return
+    def _learn(self, new: list[str]) -> None:
         chunks = [" ".join(new[i : i + 2000]) for i in range(0, len(new), 2000)]
-        encoded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        encoded = self.alone.encode_batch_fast(chunks, add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, np.uint32) for e in encoded])
         ends = np.flatnonzero(self.ends[ids]) + 1
         if len(ends) != len(new):  # a word spells the mark itself
@@ -72,21 +75,41 @@ class WordEncoder:
         self.first = np.concatenate([self.first, ends + len(self.ids)])
         self.ids = np.concatenate([self.ids, ids])
 
+    def _places(self, words: list[str]) -> np.ndarray:
+        """The number under which each word is known."""
+        at = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys(words[i] for i in missing)))
+            at[missing] = [self.known[words[i]] for i in missing]
+        return at
+
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
         """The ids of every row of a block."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
         texts = [data[a:b].tobytes().decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        plain, words = [], []
-        for text in texts:
-            usual = not _UNUSUAL.search(text) and unicodedata.is_normalized("NFC", text)
-            plain.append(usual)
-            words.append(_WORD.findall(text.lower()) if usual else [])
-        self._learn([w for part in words for w in part])
-        for text, usual, part in zip(texts, plain, words, strict=True):
-            if not usual:
+        usual = [
+            not _UNUSUAL.search(text) and unicodedata.is_normalized("NFC", text) for text in texts
+        ]
+        words = [
+            _WORD.findall(text.lower()) if plain else []
+            for text, plain in zip(texts, usual, strict=True)
+        ]
+        places = self._places(list(chain.from_iterable(words)))
+        ends = np.cumsum([len(part) for part in words])
+        for text, plain, part, end in zip(texts, usual, words, ends, strict=True):
+            if not plain:
                 encoded = self.tokenizer.encode(text, add_special_tokens=False)
                 yield np.array(encoded.ids, np.uint32)
                 continue
-            at = np.fromiter(map(self.known.__getitem__, part), np.int64, len(part))
+            at = places[end - len(part) : end]
             first, sizes = self.first[at], self.first[at + 1] - self.first[at]
             shift = np.repeat(first - (np.cumsum(sizes) - sizes), sizes)
             yield self.ids[shift + np.arange(len(shift))]
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The worker's encoder for a tokenizer file; what it has learned serves its next tasks too."""
+    return WordEncoder(Tokenizer.from_file(path))
