@@ -158,18 +158,16 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, room: np.ndarray) -> tu
     """For every position, the suffix before it in order, and how much both have in common.
 
     At most `room` symbols count, which must fall by one from each position to the next or start
-    anew. Values are compared only where the symbols before the two differ; elsewhere the common
-    prefix is the last position's without its first symbol.
+    anew. Where a position and the one before it in the text are preceded, in order, by neighbours
+    in the text too, and these begin alike, the common prefix is the last position's without its
+    first symbol. Values are compared only elsewhere.
     """
     n = len(order)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    own = np.ones(n, bool)
-    at = np.arange(1, n)
-    neighbour = before[1:]
-    linked = (neighbour > 0) & (before[:-1] >= 0)
-    own[1:] = ~linked | (text[at - 1] != text[np.maximum(neighbour, 1) - 1])
-    own[1:] |= room[1:] + 1 != room[:-1]
+    follows = (before[1:] > 0) & (before[1:] - 1 == before[:-1])
+    follows &= text[:-1] == text[before[1:] - 1]
+    own = np.append(True, ~follows | (room[1:] + 1 != room[:-1]))
     common = np.zeros(n, np.int64)
     live = np.flatnonzero(own & (before >= 0) & (room > 0))
     padded = np.concatenate([text.astype(np.uint8), np.zeros(8, np.uint8)])
