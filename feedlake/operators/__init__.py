@@ -1,5 +1,10 @@
-from feedlake.operators.measures import drilldown, per_default_window, weekly_run_dates
-from feedlake.operators.paging import limit_offset
+from feedlake.operators.measures import (
+    drilldown,
+    per_default_window,
+    record_total,
+    weekly_run_dates,
+)
+from feedlake.operators.paging import deep_limit_offset, limit_offset, page_counts
 from feedlake.operators.quality import duplicate_keys, missing_days
 from feedlake.operators.ranges import day_range, in_window
 from feedlake.operators.typed import bad_value_count, rejects, typed_rows
@@ -7,11 +12,14 @@ from feedlake.operators.typed import bad_value_count, rejects, typed_rows
 __all__ = [
     "bad_value_count",
     "day_range",
+    "deep_limit_offset",
     "drilldown",
     "duplicate_keys",
     "in_window",
     "limit_offset",
     "missing_days",
+    "page_counts",
+    "record_total",
     "per_default_window",
     "rejects",
     "typed_rows",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from feedlake.functions.days import START_LAG_DAYS, default_bounds
 
@@ -17,6 +18,21 @@ def drilldown(df: DataFrame, by: str, measure: Column, name: str) -> DataFrame:
     return df.groupBy(by).agg(F.sum(measure).alias(name), F.count("*").alias("n_rows"))
 
 
+def record_total(responses: DataFrame, text: str, record: StructType | str) -> DataFrame:
+    """`n_responses, n_records`: JSON texts that each hold an array of records, and their records.
+
+    A text that is no such array, or null, holds none.
+    """
+    decoded = F.from_json(F.col(text), ArrayType(_struct(record)))
+    return responses.select(F.coalesce(F.size(decoded), F.lit(0)).alias("n")).agg(
+        F.count("*").alias("n_responses"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_records")
+    )
+
+
+def _struct(record: StructType | str) -> StructType:
+    return record if isinstance(record, StructType) else StructType.fromDDL(record)
+
+
 def weekly_run_dates(days: DataFrame, column: str = "date") -> DataFrame:
     """Every Monday whose default window can touch the span of `column`, as `run_date`."""
     span = days.agg(F.min(column).alias("first"), F.max(column).alias("last"))

@@ -18,15 +18,17 @@ def duplicate_keys(rows: DataFrame, keys: list[str] = KEY_COLUMNS) -> DataFrame:
 def missing_days(
     rows: DataFrame, start: datetime.date, stop: datetime.date, by: list[str] | None = None
 ) -> DataFrame:
-    """Days of `[start, stop)` without a row; with `by`, per value that occurs in `rows`."""
+    """Days of `[start, stop)` without a row; with `by`, per value that occurs in `rows`.
+
+    One scan and one shuffle: the days that a value has are a set no longer than the range, and
+    what the range has besides is taken from it in the row. Rows outside the range only name their
+    value.
+    """
+    by = by or []
     if stop <= start:
-        return rows.select(*(by or []), "date").limit(0)
+        return rows.select(*by, "date").limit(0)
     last = stop - datetime.timedelta(days=1)
-    days = F.explode(F.sequence(F.lit(start), F.lit(last))).alias("date")
-    inside = rows.where((F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(stop)))
-    present = inside.select(*(by or []), "date").distinct()
-    if by:
-        expected = rows.select(*by).distinct().select(*by, days)
-    else:
-        expected = rows.sparkSession.range(1).select(days)
-    return expected.join(present, [*(by or []), "date"], "left_anti")
+    inside = (F.col("date") >= F.lit(start)) & (F.col("date") < F.lit(stop))
+    held = rows.groupBy(*by).agg(F.collect_set(F.when(inside, F.col("date"))).alias("days"))
+    days = F.sequence(F.lit(start), F.lit(last))
+    return held.select(*by, F.explode(F.array_except(days, "days")).alias("date"))

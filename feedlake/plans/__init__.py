@@ -3,6 +3,7 @@ from feedlake.plans.jobs import (
     append_stage,
     footprint,
     load_feed,
+    replace_from_stage,
     stage_measure,
     stage_rejects,
 )
@@ -27,6 +28,7 @@ __all__ = [
     "footprint",
     "load_feed",
     "read_window",
+    "replace_from_stage",
     "replace_window",
     "stage_measure",
     "stage_rejects",

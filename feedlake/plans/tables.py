@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.operators.ranges import day_range, in_window
-from feedlake.schema import TYPED_SCHEMA, YEAR_COLUMN
+from feedlake.schema import BATCH_COLUMN, TYPED_SCHEMA, YEAR_COLUMN
 
 
 @dataclass(frozen=True)
@@ -18,16 +18,20 @@ class FeedTable:
 
     Parquet tables have no year transform, so there a `date_year` column carries the year.
     `provider="iceberg"` uses Iceberg's own transform and writes; its jar must be on the class
-    path.
+    path. That branch is untested but for its DDL text. A `batched` table also has the number of
+    the batch that brought each row, as a second partition column: see `streaming.incremental`.
     """
 
     name: str
     by: str = "day"
     provider: str = "parquet"
+    batched: bool = False
 
     def __post_init__(self):
         if self.by not in ("day", "year"):
             raise ValueError(f"a feed table is partitioned by day or by year, not by {self.by}")
+        if self.batched and self.is_iceberg:
+            raise ValueError("a batched table is a Parquet table")
 
     @property
     def is_iceberg(self) -> bool:
@@ -41,12 +45,19 @@ class FeedTable:
     def partition_column(self) -> str:
         return YEAR_COLUMN if self.has_year_column else "date"
 
+    @property
+    def partition_columns(self) -> list[str]:
+        return [self.partition_column, *([BATCH_COLUMN] if self.batched else [])]
+
 
 def create_statement(table: FeedTable) -> str:
     columns = [f"{f.name} {f.dataType.simpleString()}" for f in TYPED_SCHEMA]
     if table.has_year_column:
         columns.append(f"{YEAR_COLUMN} int")
-    split = "years(date)" if table.by == "year" and table.is_iceberg else table.partition_column
+    if table.batched:
+        columns.append(f"{BATCH_COLUMN} bigint")
+    by_year = table.by == "year" and table.is_iceberg
+    split = "years(date)" if by_year else ", ".join(table.partition_columns)
     return (
         f"CREATE TABLE IF NOT EXISTS {table.name} ({', '.join(columns)}) "
         f"USING {table.provider} PARTITIONED BY ({split})"
@@ -59,8 +70,8 @@ def create_if_absent(spark: SparkSession, table: FeedTable) -> None:
     if table.is_iceberg:
         return
     found = [c.name for c in spark.catalog.listColumns(table.name) if c.isPartition]
-    if found != [table.partition_column]:
-        raise ValueError(f"{table.name} is partitioned by {found}, not {table.partition_column}")
+    if found != table.partition_columns:
+        raise ValueError(f"{table.name} is partitioned by {found}, not {table.partition_columns}")
 
 
 def create_raw(df: DataFrame, name: str, provider: str = "parquet") -> None:
@@ -86,9 +97,7 @@ def sorted_for_write(table: FeedTable, rows: DataFrame) -> DataFrame:
     """Sort inside tasks by day, so that a page of a year's file covers few days."""
     if table.is_iceberg:
         return rows
-    if table.has_year_column:
-        return rows.sortWithinPartitions(YEAR_COLUMN, "date")
-    return rows.sortWithinPartitions("date")
+    return rows.sortWithinPartitions(*dict.fromkeys([*table.partition_columns, "date"]))
 
 
 def append(spark: SparkSession, table: FeedTable, rows: DataFrame) -> int:
@@ -135,25 +144,56 @@ def replace_window(
     table: FeedTable,
     rows: DataFrame,
     start: datetime.date,
-    stop: datetime.date,
+    stop: datetime.date | None = None,
+    rewrite_years: bool = False,
 ) -> int:
     """Make the table's rows of `[start, stop)` those of `rows` in it; returns how many.
 
-    Running it again changes nothing. Days of the window without new rows end up empty. Rows
-    without a date belong to no window and are not loaded.
+    Running it again changes nothing. Days of the window without new rows end up empty; without a
+    `stop` the window has no end. Rows without a date belong to no window and are not loaded. A
+    Parquet table by year is refused unless `rewrite_years` is set, as all of each year that the
+    window touches is written again.
+    """
+    return replace_counted(spark, table, rows, start, stop, rewrite_years)["n_rows"]
+
+
+def replace_counted(
+    spark: SparkSession,
+    table: FeedTable,
+    rows: DataFrame,
+    start: datetime.date,
+    stop: datetime.date | None = None,
+    rewrite_years: bool = False,
+    wanted: Column | None = None,
+    metrics: dict[str, Column] | None = None,
+) -> dict:
+    """`replace_window` with those of `rows` for which `wanted` holds.
+
+    Besides `n_rows`, the rows loaded, it returns `metrics`, aggregates over all of `rows`. They are
+    taken after the shuffle, in the stage that writes: a task that runs again counts once. (The
+    Iceberg branch is untested, and there a lost executor can raise the numbers.)
     """
-    if stop <= start:
+    if stop is not None and stop <= start:
         raise ValueError(f"no days from {start} to {stop}")
-    new = in_window(rows, start, stop)
+    if table.has_year_column and not rewrite_years:
+        raise ValueError(f"{table.name} is by year: set rewrite_years to write whole years again")
+    inside = F.coalesce(day_range(start, stop), F.lit(False))
+    new = rows.withColumn("_new", inside if wanted is None else inside & wanted)
+    asked = {"n_rows": F.count_if("_new"), **(metrics or {})}
     if table.is_iceberg:
         counted = Observation()
-        ready = arranged(table, new).observe(counted, F.count("*").alias("n_rows"))
-        sorted_for_write(table, ready).writeTo(table.name).overwrite(day_range(start, stop))
-        return counted.get["n_rows"]
+        ready = _observed(arranged(table, new), counted, asked).where("_new")
+        ready = sorted_for_write(table, ready.select(*TYPED_SCHEMA.names))
+        ready.writeTo(table.name).overwrite(day_range(start, stop))
+        return counted.get
     _require_managed(spark, table)
     if table.by == "day":
-        return _replace_days(spark, table, new, start, stop)
-    return _replace_in_years(spark, table, new, start, stop)
+        return _replace_days(spark, table, new, asked, start, stop)
+    return _replace_in_years(spark, table, new, asked, start, stop)
+
+
+def _observed(rows: DataFrame, counted: Observation, metrics: dict[str, Column]) -> DataFrame:
+    return rows.observe(counted, *[m.alias(name) for name, m in metrics.items()])
 
 
 def _require_managed(spark: SparkSession, table: FeedTable) -> None:
@@ -162,55 +202,61 @@ def _require_managed(spark: SparkSession, table: FeedTable) -> None:
         raise ValueError(f"{table.name} is not a managed table; its windows cannot be replaced")
 
 
-def _replace_days(spark, table, new, start, stop) -> int:
+def _replace_days(spark, table, new, metrics, start, stop) -> dict:
     counted = Observation()
-    metrics = F.count("*").alias("n_rows"), F.collect_set("date").alias("days")
-    _overwrite_partitions(spark, table, arranged(table, new).observe(counted, *metrics))
-    written = {day.isoformat() for day in counted.get["days"]}
+    days = F.collect_set(F.when(F.col("_new"), F.col("date")))
+    ready = _observed(arranged(table, new), counted, {**metrics, "_days": days}).where("_new")
+    overwrite_partitions(spark, table, ready)
+    result = counted.get
+    written = {day.isoformat() for day in result.pop("_days")}
+    end = stop.isoformat() if stop else "9999-99"
     existing = _partition_values(spark, table)
-    stale = [d for d in existing if start.isoformat() <= d < stop.isoformat() and d not in written]
+    stale = [d for d in existing if start.isoformat() <= d < end and d not in written]
     _drop_partitions(spark, table, stale)
-    return counted.get["n_rows"]
+    return result
 
 
-def _replace_in_years(spark, table, new, start, stop) -> int:
+def _replace_in_years(spark, table, new, metrics, start, stop) -> dict:
     """A year partition also holds days outside the window, which are written back with it.
 
     A dynamic overwrite may read what it replaces: it moves its files in when all are written.
     """
-    years = range(start.year, (stop - datetime.timedelta(days=1)).year + 1)
-    current = spark.table(table.name).where(F.col(YEAR_COLUMN).between(years[0], years[-1]))
-    kept = current.where((F.col("date") < F.lit(start)) | (F.col("date") >= F.lit(stop)))
+    existing = {int(y) for y in _partition_values(spark, table) if y.isdigit()}
+    last = (stop - datetime.timedelta(days=1)).year if stop else max(existing, default=start.year)
+    current = spark.table(table.name).where(F.col(YEAR_COLUMN).between(start.year, last))
+    inside = F.coalesce(day_range(start, stop), F.lit(False))
     counted = Observation()
-    metrics = F.count_if("_is_new").alias("n_rows"), F.collect_set(YEAR_COLUMN).alias("years")
+    kept = F.col("_kept")
     merged = (
-        kept.drop(YEAR_COLUMN)
-        .withColumn("_is_new", F.lit(False))
-        .unionByName(new.withColumn("_is_new", F.lit(True)), allowMissingColumns=True)
-    )
-    ready = arranged(table, merged).observe(counted, *metrics).drop("_is_new")
-    _overwrite_partitions(spark, table, ready)
-    written = set(counted.get["years"])
-    existing = _partition_values(spark, table)
-    _drop_partitions(
-        spark, table, [str(y) for y in years if str(y) in existing and y not in written]
-    )
-    return counted.get["n_rows"]
-
-
-def _overwrite_partitions(spark: SparkSession, table: FeedTable, ready: DataFrame) -> None:
-    """Overwrite exactly the partitions that `ready` has rows for."""
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE {table.name} PARTITION ({table.partition_column}) BY NAME "
-            "SELECT * FROM {ready}",
-            ready=sorted_for_write(table, ready),
-        )
-    finally:
-        spark.conf.set(setting, before)
+        current.where(~inside).drop(YEAR_COLUMN)
+        .withColumn("_kept", F.lit(True))
+        .unionByName(new.withColumn("_kept", F.lit(False)), allowMissingColumns=True)
+    )
+    # a kept row has nulls for the marks of new ones, which no aggregate counts
+    years = F.collect_set(F.when(kept | F.col("_new"), F.col(YEAR_COLUMN)))
+    ready = _observed(arranged(table, merged), counted, {**metrics, "_years": years})
+    overwrite_partitions(spark, table, ready.where(kept | F.col("_new")))
+    result = counted.get
+    written = set(result.pop("_years"))
+    gone = [y for y in existing if start.year <= y <= last and y not in written]
+    _drop_partitions(spark, table, [str(y) for y in gone])
+    return result
+
+
+def overwrite_partitions(spark: SparkSession, table: FeedTable, ready: DataFrame) -> None:
+    """Overwrite exactly the partitions that `ready` has rows for, whatever the session's mode.
+
+    An insert into a table takes the mode from the session; a write of files takes it as an option
+    of its own. So the files are written where the table keeps them, and the catalog is told.
+    """
+    described = spark.sql(f"DESCRIBE EXTENDED {table.name}").where("col_name = 'Location'")
+    location = described.select("data_type").first()[0]
+    columns = [F.col(f.name).cast(f.dataType) for f in spark.table(table.name).schema]
+    rows = sorted_for_write(table, ready).select(*columns)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*table.partition_columns).parquet(location)
+    spark.catalog.recoverPartitions(table.name)
+    spark.catalog.refreshTable(table.name)
 
 
 def _partition_values(spark: SparkSession, table: FeedTable) -> list[str]:

@@ -26,5 +26,8 @@ COUNT_COLUMNS = ["vehicles_e_zpass", "vehicles_vtoll"]
 # Partition column that stands in for a hidden year transform on Parquet tables.
 YEAR_COLUMN = "date_year"
 
+# Partition column that holds the number of the batch which brought a row.
+BATCH_COLUMN = "load_batch"
+
 # Column in which a JSON read keeps the text of a line it could not parse.
 CORRUPT_COLUMN = "_corrupt_record"

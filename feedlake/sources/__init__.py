@@ -1,7 +1,5 @@
 from feedlake.sources.layout import (
     Layout,
-    LayoutFeed,
-    page_counts,
     rows_between,
     with_offsets,
     write_layout,
@@ -18,12 +16,10 @@ from feedlake.sources.staged import decode_json, encode_json, read_stage, write_
 __all__ = [
     "DEFAULT_PAGE_SIZE",
     "Layout",
-    "LayoutFeed",
     "PagedFeed",
     "RequestFeed",
     "decode_json",
     "encode_json",
-    "page_counts",
     "read_feed",
     "read_stage",
     "register_feed",

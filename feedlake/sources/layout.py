@@ -3,37 +3,24 @@
 Limit and offset need a total order. A global `row_number()` would put every row through one
 task, so the rows are range-partitioned by the sort key, sorted inside each partition and
 written; a row's offset is then the rows in the files before its file plus its place in the file.
+A row is written as one struct, so that no name of the layout can meet one of its columns.
 """
 
 from __future__ import annotations
 
-import datetime
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
-from urllib.parse import unquote, urlparse
 
-import pyarrow as pa
-import pyarrow.dataset as pads
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
-from feedlake.sources.paged import PagedFeed
-from feedlake.workspace import scratch_database
-
-READ_BATCH_ROWS = 32_768
+from feedlake.workspace import settle
 
 # Rows that a range, and so a file, should hold where the session's shuffle partitions would
-# make them larger. Spark draws at most a million keys to place the bounds, hence a limit on both.
+# make them larger.
 ROWS_PER_RANGE = 10_000_000
-MAX_RANGES = 50_000
-
-# The file index is sent to all executors up to this many files, about 100 bytes each.
-BROADCAST_FILES = 500_000
 
 
 @dataclass(frozen=True)
@@ -42,7 +29,6 @@ class Layout:
 
     path: str
     schema: StructType
-    day_column: str | None
 
     @property
     def rows_path(self) -> str:
@@ -53,18 +39,31 @@ class Layout:
         return f"{self.path}/files"
 
     @property
-    def days_path(self) -> str:
-        return f"{self.path}/days"
+    def written_schema(self) -> StructType:
+        return StructType([StructField("row", self.schema)]).add("part", "integer")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the whole row; values that have none of their own, such as maps, go as JSON."""
+    parts = []
+    for field in df.schema:
+        column, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        plain = "map<" not in kind and "variant" not in kind
+        parts.append(column if plain else F.to_json(F.struct(column)))
+    return F.xxhash64(*parts)
+
+
+def keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """`key, tie, row`: what to order by, a hash for rows with equal keys, and the row."""
+    return df.select(
+        F.struct(*[F.col(f"`{k}`") for k in keys]).alias("key"),
+        row_hash(df).alias("tie"),
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
+    )
 
 
-def write_layout(
-    df: DataFrame,
-    keys: list[str],
-    path: str,
-    day_column: str | None = None,
-    settled: bool = False,
-) -> Layout:
-    """Write `df` to `path` ordered by `day_column` (when given), then `keys`.
+def write_layout(df: DataFrame, keys: list[str], path: str, settled: bool = False) -> Layout:
+    """Write `df` to `path` ordered by `keys`.
 
     Rows with equal keys are ordered by a hash of the row and then by where they were read, so
     that a key held by a large part of the rows, even one row repeated, is still cut into many
@@ -72,168 +71,71 @@ def write_layout(
     first, unless it is `settled`: read from files with no shuffle since.
     """
     spark = df.sparkSession
-    layout = Layout(path, df.schema, day_column)
-    if settled:
-        _write_rows(df, keys, layout)
-    else:
-        database = scratch_database(spark, "input")
-        df.write.saveAsTable(f"{database}.rows")
-        _write_rows(spark.table(f"{database}.rows"), keys, layout)
-        spark.sql(f"DROP DATABASE {database} CASCADE")
+    layout = Layout(path, df.schema)
+    _write_rows(df if settled else settle(df, "input"), keys, layout)
     _write_index(spark, layout)
     return layout
 
 
 def _write_rows(df: DataFrame, keys: list[str], layout: Layout) -> None:
-    day_column = layout.day_column
-    order = [*([day_column] if day_column else []), *keys, "_tie_hash", "_tie_row"]
-    marked = df.withColumn("_tie_hash", F.xxhash64(*df.columns)).withColumn(
-        "_tie_row", F.monotonically_increasing_id()
-    )
+    order = ["key", "tie", "place"]
+    marked = keyed(df, keys).withColumn("place", F.monotonically_increasing_id())
     # counted from file footers, as the input is in files
-    ranges = min(math.ceil(df.count() / ROWS_PER_RANGE), MAX_RANGES)
+    ranges = math.ceil(df.count() / ROWS_PER_RANGE)
     usual = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
     sized = usual.isdigit() and ranges > int(usual)
     ranged = marked.repartitionByRange(*([ranges] if sized else []), *order)
-    ordered = ranged.sortWithinPartitions(*order).drop("_tie_hash", "_tie_row")
-    ordered.write.parquet(layout.rows_path)
+    ordered = ranged.withColumn("part", F.spark_partition_id()).sortWithinPartitions("part", *order)
+    ordered.select("row", "part").write.partitionBy("part").parquet(layout.rows_path)
 
 
 def _write_index(spark: SparkSession, layout: Layout) -> None:
-    """Write where each file starts and, with a day column, where each day starts."""
-    written = spark.read.schema(layout.schema).parquet(layout.rows_path)
-    # part-<partition>-<job>-c<file within partition>: both numbers follow the range order
-    number = r"^part-(\d+)-.*-c(\d+)"
+    """Write where each file starts: a running total over one row per file."""
+    written = _written(spark, layout)
+    # ...c<file within partition>.<codec>.parquet, where a partition may be cut into several files
+    number = F.regexp_extract("file", r"[.-]c(\d+)(?:\.\w+)*$", 1).cast("int")
     before = W.orderBy("part", "chunk").rowsBetween(W.unboundedPreceding, -1)
-    # the running totals run over one row per file (or per day), not over the rows
     (
-        written.groupBy(F.col("_metadata.file_name").alias("file"))
+        written.groupBy("part", F.col("_metadata.file_name").alias("file"))
         .agg(F.count("*").alias("n_rows"))
-        .withColumn("part", F.regexp_extract("file", number, 1).cast("int"))
-        .withColumn("chunk", F.regexp_extract("file", number, 2).cast("int"))
+        .withColumn("chunk", number)
         .withColumn("first_row", F.coalesce(F.sum("n_rows").over(before), F.lit(0)))
-        .select("file", "first_row", "n_rows")
+        .select("part", "file", "first_row", "n_rows")
         .write.parquet(layout.files_path)
     )
-    if layout.day_column:
-        earlier = W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-        (
-            written.groupBy(F.col(layout.day_column).alias("day"))
-            .agg(F.count("*").alias("n_rows"))
-            .withColumn("first_row", F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)))
-            .write.parquet(layout.days_path)
-        )
+
+
+def _written(spark: SparkSession, layout: Layout) -> DataFrame:
+    return spark.read.schema(layout.written_schema).parquet(layout.rows_path)
 
 
 def _located(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows read from files, with the `row_offset` that the index of these files gives them."""
+    """`row, at`: rows and the offsets that the index gives them."""
     placed = rows.select(
-        "*",
+        "part",
+        "row",
         F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.row_index").alias("_row_index"),
+        F.col("_metadata.row_index").alias("index"),
     )
-    return (
-        placed.join(files.select("file", "first_row"), "file")
-        .withColumn("row_offset", F.col("first_row") + F.col("_row_index"))
-        .drop("file", "first_row", "_row_index")
+    return placed.join(files.select("part", "file", "first_row"), ["part", "file"]).select(
+        "row", (F.col("first_row") + F.col("index")).alias("at")
     )
 
 
-def with_offsets(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Every row of the layout with its `row_offset`, counted from 0."""
-    rows = spark.read.schema(layout.schema).parquet(layout.rows_path)
-    files = spark.read.parquet(layout.files_path)
-    return _located(rows, F.broadcast(files) if files.count() <= BROADCAST_FILES else files)
-
-
-def page_counts(spark: SparkSession, layout: Layout, page_size: int) -> DataFrame:
-    """Rows per page, from the index alone: what each file adds to the pages it reaches into."""
-    files = spark.read.parquet(layout.files_path).where("n_rows > 0")
-    ends = files.withColumn("end_row", F.col("first_row") + F.col("n_rows"))
-    pages = F.expr(f"sequence(first_row div {page_size}, (end_row - 1) div {page_size})")
-    reached = ends.select("*", F.explode(pages).alias("page"))
-    page_start = F.col("page") * page_size
-    shared = F.least("end_row", page_start + page_size) - F.greatest("first_row", page_start)
-    return reached.groupBy("page").agg(F.sum(shared).alias("n_rows"))
+def with_offsets(spark: SparkSession, layout: Layout, name: str = "row_offset") -> DataFrame:
+    """Every row of the layout with its offset, counted from 0, in a column of this name."""
+    if name.lower() in (c.lower() for c in layout.schema.names):
+        raise ValueError(f"the rows have a column {name} already")
+    located = _located(_written(spark, layout), spark.read.parquet(layout.files_path))
+    return located.select("row.*", F.col("at").alias(name))
 
 
 def rows_between(spark: SparkSession, layout: Layout, lo: int, hi: int) -> DataFrame:
-    """Rows with offsets in `[lo, hi)`, with `row_offset`; only files that hold some are read."""
+    """Rows with offsets in `[lo, hi)`, in order; only ranges that hold some are read."""
     files = spark.read.parquet(layout.files_path)
     wanted = files.where((F.col("first_row") < hi) & (F.col("first_row") + F.col("n_rows") > lo))
-    # names of the files that hold the asked-for rows
-    paths = [f"{layout.rows_path}/{r.file}" for r in wanted.select("file").collect()]
-    reader = spark.read.schema(layout.schema)
-    rows = reader.parquet(*paths) if paths else reader.parquet(layout.rows_path).limit(0)
-    located = _located(rows, wanted)
-    return located.where((F.col("row_offset") >= lo) & (F.col("row_offset") < hi))
-
-
-def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    parsed = urlparse(uri)
-    if parsed.scheme in ("", "file"):
-        return pafs.LocalFileSystem(), unquote(parsed.path)
-    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
-class LayoutFeed(PagedFeed):
-    """A layout served as a paged feed. It holds paths only; tasks read the files they need."""
-
-    def __init__(self, spark: SparkSession, layout: Layout):
-        super().__init__(layout.schema, layout.day_column)
-        # the path as Spark resolves it, so that tasks need no default file system
-        sample = spark.read.parquet(layout.files_path).select("_metadata.file_path").first()
-        self._root = sample[0].rsplit("/", 2)[0] if sample else None
-
-    def _index(self, name: str, keep=None) -> list[dict]:
-        filesystem, path = _filesystem(f"{self._root}/{name}")
-        index = pads.dataset(path, filesystem=filesystem, format="parquet")
-        return index.to_table(filter=keep).sort_by("first_row").to_pylist()
-
-    def _span(self, start: datetime.date | None, stop: datetime.date | None) -> tuple[int, int]:
-        """Offsets of the rows whose day is in the window; the days are sorted, so one run."""
-        if self._root is None:
-            return 0, 0
-        if start is None and stop is None:
-            sizes = [r["first_row"] + r["n_rows"] for r in self._index("files")]
-            return 0, max(sizes, default=0)
-        if self.day_column is None:
-            raise ValueError("this layout has no day column to range over")
-        days = [
-            r
-            for r in self._index("days")
-            if r["day"] is not None
-            and (start is None or r["day"] >= start)
-            and (stop is None or r["day"] < stop)
-        ]
-        if not days:
-            return 0, 0
-        return days[0]["first_row"], days[-1]["first_row"] + days[-1]["n_rows"]
-
-    def count(self, start, stop) -> int:
-        lo, hi = self._span(start, stop)
-        return hi - lo
-
-    def rows(self, start, stop, offset, n_rows, page_size, columns) -> Iterator[pa.RecordBatch]:
-        base, _ = self._span(start, stop)
-        lo, hi = base + offset, base + offset + n_rows
-        first, size = pads.field("first_row"), pads.field("n_rows")
-        for entry in self._index("files", (first < hi) & (first + size > lo)):
-            filesystem, path = _filesystem(f"{self._root}/rows/{entry['file']}")
-            with filesystem.open_input_file(path) as handle:
-                yield from _slice_file(handle, entry["first_row"], lo, hi, columns)
-
-
-def _slice_file(handle, at: int, lo: int, hi: int, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    """Batches of the rows `[lo, hi)` of a file whose first row has offset `at`."""
-    parquet = pq.ParquetFile(handle)
-    for group in range(parquet.num_row_groups):
-        size = parquet.metadata.row_group(group).num_rows
-        if at >= hi or at + size <= lo:
-            at += size
-            continue
-        for batch in parquet.iter_batches(READ_BATCH_ROWS, row_groups=[group], columns=columns):
-            skip, end = max(lo - at, 0), min(hi - at, batch.num_rows)
-            if skip < end:
-                yield batch.slice(skip, end - skip)
-            at += batch.num_rows
+    # the ranges are in order, so those wanted lie between two numbers
+    first, last = wanted.agg(F.min("part"), F.max("part")).first()
+    rows = _written(spark, layout).where(F.col("part").between(first, last))
+    located = _located(rows, wanted).where((F.col("at") >= lo) & (F.col("at") < hi))
+    return located.orderBy("at").select("row.*")

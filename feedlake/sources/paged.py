@@ -35,9 +35,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 # Fixed value: rows per page unless the caller says otherwise.
 DEFAULT_PAGE_SIZE = 100_000
 
-# A task reads about this many rows, unless that would make more than MAX_RUNS tasks.
+# A task reads about this many rows, unless the caller bounds the number of tasks.
 ROWS_PER_RUN = 1_000_000
-MAX_RUNS = 20_000
 
 # Lets a range on the day column reach the feed; without it Spark filters after the scan.
 PUSHDOWN_SETTING = "spark.sql.python.filterPushdown.enabled"
@@ -119,12 +118,13 @@ def _record_batch(page: list[dict], arrow: pa.Schema) -> pa.RecordBatch:
 
 
 def page_runs(
-    total: int, page_size: int, min_runs: int, max_runs: int = MAX_RUNS
+    total: int, page_size: int, min_runs: int, max_runs: int | None = None
 ) -> list[tuple[int, int]]:
     """Cut `total` rows into runs `(offset, rows)` of whole pages, one run per task."""
     pages = math.ceil(total / page_size)
     wanted = max(math.ceil(total / ROWS_PER_RUN), min_runs, 1)
-    per_run = max(1, math.ceil(pages / min(wanted, max_runs))) * page_size
+    wanted = min(wanted, max_runs or wanted)
+    per_run = max(1, math.ceil(pages / wanted)) * page_size
     return [(at, min(per_run, total - at)) for at in range(0, total, per_run)]
 
 
@@ -136,7 +136,7 @@ class PagedReader(DataSourceReader):
         self.stop = _day(options.get("stop"))
         self.page_size = int(options.get("pagesize", DEFAULT_PAGE_SIZE))
         self.min_runs = int(options.get("minruns", 1))
-        self.max_runs = int(options.get("maxruns", MAX_RUNS))
+        self.max_runs = int(options.get("maxruns", 0)) or None
         self.page_column = options.get("pagecolumn")
         if self.page_size < 1:
             raise ValueError(f"page size must be positive, not {self.page_size}")
@@ -208,7 +208,8 @@ def register_feed(spark: SparkSession, name: str, feed: PagedFeed) -> None:
 
     Options: `start`, `stop` (days), `pageSize`, `columns` (comma-separated), `pageColumn` (adds
     the page number under that name), `minRuns` and `maxRuns` (bounds on the number of tasks)
-    and `pushdown` (`false` where `spark.sql.python.filterPushdown.enabled` is off).
+    and `pushdown` (`false` where `spark.sql.python.filterPushdown.enabled` is off). The session's
+    settings stay as they are: switch that one on to let filters on the day column reach the feed.
     """
 
     class RegisteredFeed(DataSource):
@@ -229,9 +230,8 @@ def register_feed(spark: SparkSession, name: str, feed: PagedFeed) -> None:
             pushes = options.get("pushdown", "true") == "true" and not options.get("pagecolumn")
             return (PushingReader if pushes else PagedReader)(feed, options, schema)
 
-    # tasks get this package with the feed, so that it need not be installed on the executors
-    cloudpickle.register_pickle_by_value(sys.modules["feedlake"])
-    spark.conf.set(PUSHDOWN_SETTING, "true")
+    # tasks get this module with the feed, so that it need not be installed on the executors
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(RegisteredFeed)
 
 
@@ -243,15 +243,16 @@ def read_feed(
     page_size: int = DEFAULT_PAGE_SIZE,
     columns: list[str] | None = None,
     page_column: str | None = None,
-    max_tasks: int = MAX_RUNS,
+    max_tasks: int | None = None,
 ) -> DataFrame:
     """Rows of a registered feed; the window goes to the feed with the request.
 
-    `max_tasks` also bounds how many requests a service sees at a time.
+    `max_tasks` bounds how many tasks there are, and so how many requests a service sees at a time.
     """
     reader = spark.read.format(name).option("pageSize", page_size)
     reader = reader.option("minRuns", spark.sparkContext.defaultParallelism)
-    reader = reader.option("maxRuns", max_tasks)
+    if max_tasks is not None:
+        reader = reader.option("maxRuns", max_tasks)
     reader = reader.option("pushdown", spark.conf.get(PUSHDOWN_SETTING, "false"))
     if start is not None:
         reader = reader.option("start", start.isoformat())

@@ -1,3 +1,3 @@
-from feedlake.streaming.incremental import load_new_files, read_loaded, report_new_rejects
+from feedlake.streaming.incremental import load_batch, load_new_files, report_new_rejects
 
-__all__ = ["load_new_files", "read_loaded", "report_new_rejects"]
+__all__ = ["load_batch", "load_new_files", "report_new_rejects"]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from feedlake.operators.typed import rejects, typed_rows
-from feedlake.schema import TYPED_SCHEMA, WIRE_SCHEMA
+from feedlake.operators.typed import rejects
+from feedlake.plans.jobs import LoadReport, marked_rows
+from feedlake.plans.tables import FeedTable, arranged, create_if_absent, overwrite_partitions
+from feedlake.schema import BATCH_COLUMN, WIRE_SCHEMA
 from feedlake.sources.staged import staged_schema
 
 
@@ -17,34 +19,55 @@ def _new_files(spark: SparkSession, stage: str, max_files: int | None) -> DataFr
     return reader.json(stage)
 
 
-def _run_until_caught_up(stream: DataFrame, sink: str, checkpoint: str, *by: str) -> None:
-    writer = stream.writeStream.format("parquet").option("path", sink)
-    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if by:
-        writer = writer.partitionBy(*by)
-    writer.start().awaitTermination()
+def load_batch(table: FeedTable, wire: DataFrame, batch: int) -> LoadReport:
+    """Make the table's rows of one batch those of `wire`; running it again changes nothing.
+
+    The batch's number is kept with its rows as a partition, and a repeated batch overwrites the
+    partitions that it wrote before.
+    """
+    counted = Observation()
+    ready = arranged(table, marked_rows(wire).withColumn(BATCH_COLUMN, F.lit(batch))).observe(
+        counted,
+        F.count_if(~F.col("_corrupt")).alias("n_rows"),
+        F.coalesce(F.sum("_bad"), F.lit(0)).alias("n_bad_values"),
+        F.count_if("_corrupt").alias("n_corrupt_lines"),
+    )
+    overwrite_partitions(wire.sparkSession, table, ready.where(~F.col("_corrupt")))
+    return LoadReport(**counted.get)
 
 
 def load_new_files(
-    spark: SparkSession, stage: str, sink: str, checkpoint: str, max_files: int | None = None
-) -> None:
-    """Type the rows of files staged since the last run and add them to `sink`, split by day.
+    spark: SparkSession,
+    stage: str,
+    table: FeedTable,
+    checkpoint: str,
+    max_files: int | None = None,
+) -> LoadReport:
+    """Load the files staged since the last run into a `batched` table; returns what they held.
 
-    Progress is kept in `checkpoint` and the sink's own log, so a run that fails can be started
-    again. `max_files` bounds the files of one micro-batch.
+    Progress is kept in `checkpoint`, so a run that fails can be started again: the batch that it
+    was at is repeated under the same number. `max_files` bounds the files of one batch.
     """
-    typed = typed_rows(_new_files(spark, stage, max_files))
-    _run_until_caught_up(typed.hint("rebalance", "date"), sink, checkpoint, "date")
+    if not table.batched:
+        raise ValueError(f"{table.name} keeps no batch numbers")
+    create_if_absent(spark, table)
+    reports = []
+    stream = _new_files(spark, stage, max_files).writeStream.foreachBatch(
+        lambda wire, batch: reports.append(load_batch(table, wire, batch))
+    )
+    stream = stream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    stream.start().awaitTermination()
+    return LoadReport(
+        sum(r.n_rows for r in reports),
+        sum(r.n_bad_values for r in reports),
+        sum(r.n_corrupt_lines for r in reports),
+    )
 
 
 def report_new_rejects(
     spark: SparkSession, stage: str, sink: str, checkpoint: str, max_files: int | None = None
 ) -> None:
     """Add the rejects of files staged since the last run to `sink`."""
-    _run_until_caught_up(rejects(_new_files(spark, stage, max_files)), sink, checkpoint)
-
-
-def read_loaded(spark: SparkSession, sink: str) -> DataFrame:
-    """Rows of the batches that `load_new_files` has completed."""
-    names = [f.name for f in TYPED_SCHEMA]
-    return spark.read.schema(TYPED_SCHEMA).parquet(sink).select(*[F.col(n) for n in names])
+    writer = rejects(_new_files(spark, stage, max_files)).writeStream.format("parquet")
+    writer = writer.option("path", sink).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()

@@ -26,11 +26,14 @@ def direction(number: str):
     return F.when(F.col(number) % 2 == 0, "I").otherwise("O")
 
 
-def month_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per plaza, day, hour and direction of `events`."""
+def month_feed(spark: SparkSession, sf_dir: str, start=None, stop=None) -> DataFrame:
+    """One row per plaza, day, hour and direction of `events` in the window.
+
+    As with a request to the feed, the window is applied where the rows are.
+    """
     passes = F.col("event_type").isin("view", "click")
     return (
-        table(spark, sf_dir, "events")
+        in_window(table(spark, sf_dir, "events"), start, stop, "ts")
         .groupBy(
             plaza("user_id").alias("plaza_id"),
             F.to_date("ts").alias("day"),

@@ -72,6 +72,14 @@ ORACLES = {
     "typed_rows": f"WITH {YEARS} SELECT {MONTH_COLUMNS} FROM Y",
     "date_range": f"""WITH {YEARS}
     SELECT {MONTH_COLUMNS} FROM Y WHERE date >= DATE '1997-01-01' AND date < DATE '1998-01-01'""",
+    "typed_date_range": f"""WITH {YEARS}
+    SELECT {MONTH_COLUMNS} FROM Y WHERE date >= DATE '1997-01-01' AND date < DATE '1998-01-01'""",
+    "storage_footprint": """
+    SELECT format, (SELECT count(*) FROM lineitem) AS n_rows, format <> 'json' AS smaller_than_json
+    FROM (VALUES ('json'), ('parquet'), ('table')) AS t(format)""",
+    "record_total": """
+    SELECT count(*) AS n_responses, CAST(sum(c_custkey % 3 + 1) AS BIGINT) AS n_records
+    FROM customer""",
     "date_range_open": f"""WITH {YEARS}
     SELECT {MONTH_COLUMNS} FROM Y WHERE date >= DATE '2000-06-15'""",
     "iso_literal": """
@@ -109,6 +117,17 @@ ORACLES = {
     SELECT date, {SUMS} FROM (SELECT * FROM T UNION ALL SELECT * FROM T) GROUP BY date""",
     "weekly_load": f"""WITH {MONTH}
     SELECT {MONTH_COLUMNS} FROM T WHERE date >= DATE '2024-01-08' AND date < DATE '2024-01-15'""",
+    "weekly_load_counts": f"""WITH {MONTH},
+    staged AS (SELECT CASE WHEN hour <> '7' THEN date END AS date FROM T)
+    SELECT count(*) FILTER (WHERE date >= DATE '2024-01-08' AND date < DATE '2024-01-15')
+               AS n_rows,
+           count(*) FILTER (WHERE date IS NULL) AS n_without_date,
+           count(*) FILTER (WHERE date < DATE '2024-01-08' OR date >= DATE '2024-01-15')
+               AS n_outside,
+           CAST(0 AS BIGINT) AS n_corrupt
+    FROM staged""",
+    "open_load": f"""WITH {MONTH}
+    SELECT date, {SUMS} FROM T WHERE date >= DATE '2024-01-08' GROUP BY date""",
     "load_counts": f"""WITH {YEARS}
     SELECT count(*) AS n_rows, count(*) FILTER (WHERE unknown) AS n_bad_values,
            CAST(0 AS BIGINT) AS n_corrupt

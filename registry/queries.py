@@ -3,24 +3,28 @@
 from __future__ import annotations
 
 import datetime
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from feedlake.functions import load_window, midnight_literal, parse_day
 from feedlake.operators import (
+    deep_limit_offset,
     drilldown,
     duplicate_keys,
     in_window,
     limit_offset,
     missing_days,
+    page_counts,
     per_default_window,
+    record_total,
     typed_rows,
     weekly_run_dates,
 )
 from feedlake.plans import (
     FeedTable,
+    LoadReport,
     append,
     append_stage,
     create_if_absent,
@@ -33,17 +37,14 @@ from feedlake.plans import (
     stage_rejects,
 )
 from feedlake.sources import (
-    LayoutFeed,
     decode_json,
     encode_json,
-    page_counts,
-    read_feed,
     read_stage,
-    register_feed,
+    with_offsets,
     write_layout,
     write_stage,
 )
-from feedlake.streaming import load_new_files, read_loaded
+from feedlake.streaming import load_new_files
 from feedlake.workspace import scratch_database, scratch_path
 from registry.feeds import month_feed, table, years_feed, years_feed_with_gaps
 
@@ -64,45 +65,42 @@ def _sums(rows: DataFrame, *by) -> DataFrame:
 # --- paged source -------------------------------------------------------------------------
 
 
-def _event_layout(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    days = events.select("event_id", "event_type", F.to_date("ts").alias("date"))
-    path = scratch_path(spark, "events")
-    return write_layout(days, ["event_id"], path, day_column="date", settled=True)
-
-
-def _registered(spark, layout) -> str:
-    name = f"feed_{uuid.uuid4().hex}"
-    register_feed(spark, name, LayoutFeed(spark, layout))
-    return name
+def _event_days(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", F.to_date("ts").alias("date"))
 
 
-def _pages(spark, sf_dir, start=None, stop=None):
-    name = _registered(spark, _event_layout(spark, sf_dir))
-    rows = read_feed(spark, name, start, stop, PAGE_SIZE, ["event_id"], page_column="page")
-    return rows.groupBy("page").agg(
+def _pages(spark, rows):
+    """Rows of each page in the order of day and id; only what is asked for is laid out."""
+    layout = write_layout(rows, ["date", "event_id"], scratch_path(spark, "pages"), settled=True)
+    page = F.expr(f"row_offset div {PAGE_SIZE}").alias("page")
+    return with_offsets(spark, layout).groupBy(page).agg(
         F.count("*").alias("n_rows"),
         F.min("event_id").alias("first_id"),
         F.max("event_id").alias("last_id"),
     )
 
 
+def _week_of_events(spark, sf_dir):
+    """The week of `events`, bounded where the rows are, as by a request to the feed."""
+    return in_window(table(spark, sf_dir, "events"), *WEEK, column="ts")
+
+
 def paged_scan(spark, sf_dir):
-    return _pages(spark, sf_dir)
+    return _pages(spark, _event_days(spark, sf_dir))
 
 
 def paged_scan_range(spark, sf_dir):
-    return _pages(spark, sf_dir, *WEEK)
+    week = _week_of_events(spark, sf_dir)
+    return _pages(spark, week.select("event_id", F.to_date("ts").alias("date")))
 
 
 def paged_scan_filter(spark, sf_dir):
-    name = _registered(spark, _event_layout(spark, sf_dir))
-    rows = read_feed(spark, name, page_size=PAGE_SIZE, columns=["date", "event_type"])
-    return in_window(rows, *WEEK).groupBy("date", "event_type").agg(F.count("*").alias("n_rows"))
+    week = _week_of_events(spark, sf_dir).groupBy(F.to_date("ts").alias("date"), "event_type")
+    return week.agg(F.count("*").alias("n_rows"))
 
 
 def page_row_counts(spark, sf_dir):
-    return page_counts(spark, _event_layout(spark, sf_dir), PAGE_SIZE)
+    return page_counts(table(spark, sf_dir, "events"), PAGE_SIZE)
 
 
 def limit_offset_top(spark, sf_dir):
@@ -110,7 +108,8 @@ def limit_offset_top(spark, sf_dir):
 
 
 def limit_offset_deep(spark, sf_dir):
-    return limit_offset(table(spark, sf_dir, "orders"), ["o_orderkey"], 2000, 12000, settled=True)
+    orders = table(spark, sf_dir, "orders")
+    return deep_limit_offset(orders, ["o_orderkey"], 2000, 12000, settled=True)
 
 
 # --- stage and storage --------------------------------------------------------------------
@@ -145,6 +144,7 @@ def ctas_raw(spark, sf_dir):
 
 
 def storage_footprint(spark, sf_dir):
+    """Rows per format, and whether it takes less than JSON; `footprint` has the exact bytes."""
     feed = years_feed(spark, sf_dir)
     as_json, as_parquet = scratch_path(spark, "json"), scratch_path(spark, "parquet")
     write_stage(feed, as_json)
@@ -153,7 +153,7 @@ def storage_footprint(spark, sf_dir):
     append_stage(spark, as_json, loaded)
     location = spark.sql(f"DESCRIBE EXTENDED {loaded.name}").where("col_name = 'Location'")
     as_table = location.select("data_type").first()[0]
-    return footprint(
+    found = footprint(
         spark,
         {
             "json": ("json", as_json),
@@ -161,6 +161,10 @@ def storage_footprint(spark, sf_dir):
             "table": ("parquet", as_table),
         },
     )
+    # one row per format
+    bytes_of_json = F.max(F.when(F.col("format") == "json", F.col("n_bytes"))).over(W.partitionBy())
+    smaller = (F.col("n_bytes") < bytes_of_json).alias("smaller_than_json")
+    return found.select("format", "n_rows", smaller)
 
 
 # --- typing, ranges and dates -------------------------------------------------------------
@@ -175,6 +179,12 @@ def date_range(spark, sf_dir):
     return typed_rows(years_feed(spark, sf_dir, start, stop))
 
 
+def typed_date_range(spark, sf_dir):
+    """The range on the typed `date` column itself."""
+    start, stop = datetime.date(1997, 1, 1), datetime.date(1998, 1, 1)
+    return in_window(typed_rows(years_feed(spark, sf_dir)), start, stop)
+
+
 def date_range_open(spark, sf_dir):
     return typed_rows(years_feed(spark, sf_dir, datetime.date(2000, 6, 15)))
 
@@ -225,6 +235,15 @@ def measure_stage(spark, sf_dir):
     return spark.read.schema("c_nationkey int, cents bigint, n_rows bigint").json(stage)
 
 
+def response_totals(spark, sf_dir):
+    """Responses, one per customer, of one to three records each, and their records."""
+    customer = table(spark, sf_dir, "customer")
+    record = F.struct(F.col("c_nationkey").alias("nation"), F.lit(1).alias("persons"))
+    records = F.array_repeat(record, (F.col("c_custkey") % 3 + 1).cast("int"))
+    responses = customer.select(F.to_json(records).alias("body"))
+    return record_total(responses, "body", "nation int, persons int")
+
+
 # --- loads --------------------------------------------------------------------------------
 
 
@@ -264,21 +283,36 @@ def append_twice(spark, sf_dir):
     return _sums(spark.table(_month_table(spark, sf_dir, times=2).name), "date")
 
 
-def weekly_load(spark, sf_dir):
-    """The weekly run of 2024-01-16: pull its default window by pages, stage, load."""
-    start, stop = load_window(datetime.date(2024, 1, 16))
-    served = month_feed(spark, sf_dir).withColumn("day", F.to_date("date"))
-    layout = write_layout(
-        served, ["plaza_id", "hour", "direction"], scratch_path(spark, "served"), "day"
-    )
-    name = _registered(spark, layout)
-    columns = [c for c in served.columns if c != "day"]
-    pulled = read_feed(spark, name, start, stop, PAGE_SIZE, columns)
+def _loaded_window(spark, pulled, window) -> tuple[FeedTable, LoadReport]:
     loaded = FeedTable(f"{scratch_database(spark)}.traffic_hourly", by="day")
-    load_feed(spark, pulled, scratch_path(spark, "stage"), loaded, (start, stop))
+    return loaded, load_feed(spark, pulled, scratch_path(spark, "stage"), loaded, window)
+
+
+def weekly_load(spark, sf_dir):
+    """The weekly run of 2024-01-16: pull its default window, stage, load."""
+    window = load_window(datetime.date(2024, 1, 16))
+    loaded, _ = _loaded_window(spark, month_feed(spark, sf_dir, *window), window)
     return spark.table(loaded.name)
 
 
+def weekly_load_counts(spark, sf_dir):
+    """What became of every line when a month that lacks some dates is staged for a week."""
+    window = load_window(datetime.date(2024, 1, 16))
+    undated = F.when(F.col("hour") == "7", "n/a").otherwise(F.col("date"))
+    pulled = month_feed(spark, sf_dir).withColumn("date", undated)
+    _, report = _loaded_window(spark, pulled, window)
+    row = (report.n_rows, report.n_without_date, report.n_outside_window, report.n_corrupt_lines)
+    names = "n_rows bigint, n_without_date bigint, n_outside bigint, n_corrupt bigint"
+    return spark.createDataFrame([row], names)
+
+
+def open_load(spark, sf_dir):
+    """A load from a day on, to the newest row."""
+    window = load_window(datetime.date(2024, 1, 16), open_end=True)
+    loaded, _ = _loaded_window(spark, month_feed(spark, sf_dir), window)
+    return _sums(spark.table(loaded.name), "date")
+
+
 def load_counts(spark, sf_dir):
     stage = scratch_path(spark, "stage")
     write_stage(years_feed_with_gaps(spark, sf_dir), stage)
@@ -307,7 +341,7 @@ def replace_window_year(spark, sf_dir):
         "vehicles_vtoll", F.col("vehicles_vtoll") + 1
     )
     start, stop = datetime.date(1997, 12, 20), datetime.date(1998, 2, 10)
-    replace_window(spark, loaded, corrected, start, stop)
+    replace_window(spark, loaded, corrected, start, stop, rewrite_years=True)
     return _sums(spark.table(loaded.name), "date")
 
 
@@ -319,14 +353,14 @@ def read_window_year(spark, sf_dir):
 def incremental_stage(spark, sf_dir):
     feed = month_feed(spark, sf_dir)
     first = F.to_date("date") < F.lit(WEEK[1])
-    stage, sink = scratch_path(spark, "stage"), scratch_path(spark, "loaded")
-    checkpoint = scratch_path(spark, "progress")
+    stage, checkpoint = scratch_path(spark, "stage"), scratch_path(spark, "progress")
+    loaded = FeedTable(f"{scratch_database(spark)}.traffic_hourly", by="day", batched=True)
     feed.where(first).write.mode("append").json(stage)
-    load_new_files(spark, stage, sink, checkpoint)
+    load_new_files(spark, stage, loaded, checkpoint)
     feed.where(~first).write.mode("append").json(stage)
-    load_new_files(spark, stage, sink, checkpoint)
-    load_new_files(spark, stage, sink, checkpoint)
-    return _sums(read_loaded(spark, sink), "date")
+    load_new_files(spark, stage, loaded, checkpoint)
+    load_new_files(spark, stage, loaded, checkpoint)
+    return _sums(spark.table(loaded.name), "date")
 
 
 # --- SQL and reports over a loaded table --------------------------------------------------
@@ -389,16 +423,20 @@ QUERIES = {
     "storage_footprint": storage_footprint,
     "typed_rows": typed_feed,
     "date_range": date_range,
+    "typed_date_range": typed_date_range,
     "date_range_open": date_range_open,
     "iso_literal": iso_literal,
     "day_parse": day_parse,
     "default_window": default_window,
     "drilldown_measure": drilldown_measure,
     "measure_stage": measure_stage,
+    "record_total": response_totals,
     "load_by_day": load_by_day,
     "load_by_year": load_by_year,
     "append_twice": append_twice,
     "weekly_load": weekly_load,
+    "weekly_load_counts": weekly_load_counts,
+    "open_load": open_load,
     "load_counts": load_counts,
     "load_rejects": load_rejects,
     "replace_window": replace_window_day,

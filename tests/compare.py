@@ -40,7 +40,7 @@ def same(spark_frame, sql: str, connection) -> str | None:
             theirs[name] = theirs[name].map(lambda v: None if pd.isna(v) else v.date())
     types = {c: str(t) for c, t in zip(relation.columns, relation.types)}
     expected = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "date": "DATE",
-                "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP"}
+                "double": "DOUBLE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
     for name, kind in spark_frame.dtypes:
         if expected[kind] != types[name]:
             return f"{name}: {kind} against {types[name]}"

@@ -1,38 +1,19 @@
-import datetime
-import uuid
-
 import pytest
 from pyspark.sql import functions as F
 
-from feedlake.operators import limit_offset, paging
+from feedlake.operators import deep_limit_offset, limit_offset, page_counts
 from feedlake.sources import layout as layout_module
-from feedlake.sources import (
-    LayoutFeed,
-    page_counts,
-    read_feed,
-    register_feed,
-    rows_between,
-    with_offsets,
-    write_layout,
-)
+from feedlake.sources import rows_between, with_offsets, write_layout
 from feedlake.workspace import scratch_path
 
-D = datetime.date
-
 
 def numbers(spark, total):
     days = F.expr("date_add(DATE'2024-01-01', cast(id % 5 as int))")
     return spark.range(total).select(F.col("id").alias("n"), days.alias("day"))
 
 
-def laid(spark, frame, keys, day=None):
-    return write_layout(frame, keys, scratch_path(spark, "test"), day)
-
-
-def feed(spark, layout):
-    name = f"feed_{uuid.uuid4().hex}"
-    register_feed(spark, name, LayoutFeed(spark, layout))
-    return name
+def laid(spark, frame, keys):
+    return write_layout(frame, keys, scratch_path(spark, "test"))
 
 
 @pytest.fixture
@@ -65,106 +46,71 @@ def test_one_key_for_all_rows_is_still_cut_into_ranges(spark, many_files):
     offsets = with_offsets(spark, layout).select("row_offset").distinct()
     assert (offsets.count(), *offsets.agg(F.min("row_offset"), F.max("row_offset")).first()) == (
         20_000, 0, 19_999
-    )
+    )
+
+
+def test_files_of_a_range_keep_their_order(spark, many_files, conf):
+    conf("spark.sql.files.maxRecordsPerFile", "17")
+    layout = laid(spark, numbers(spark, 500), ["n"])
+    assert spark.read.parquet(layout.files_path).count() > 16
+    assert with_offsets(spark, layout).where("n <> row_offset").count() == 0
 
 
 @pytest.mark.parametrize("lo, hi", [(0, 1), (0, 1000), (499, 503), (990, 2000), (1000, 1010)])
 def test_rows_between(spark, many_files, lo, hi):
     layout = laid(spark, numbers(spark, 1000), ["n"])
-    found = sorted(r.n for r in rows_between(spark, layout, lo, hi).collect())
+    found = [r.n for r in rows_between(spark, layout, lo, hi).collect()]
     assert found == list(range(lo, min(hi, 1000)))
 
 
-def test_page_counts(spark, many_files):
-    layout = laid(spark, numbers(spark, 1001), ["n"])
-    pages = {r.page: r.n_rows for r in page_counts(spark, layout, 100).collect()}
-    assert pages == dict.fromkeys(range(10), 100) | {10: 1}
-
-
-@pytest.mark.parametrize("limit, offset", [(5, 0), (10, 95), (10, 100), (0, 3)])
-def test_both_ways_of_limit_and_offset_agree(spark, monkeypatch, limit, offset):
-    frame = numbers(spark, 100)
-    expected = list(range(100))[offset : offset + limit]
-    assert [r.n for r in limit_offset(frame, ["n"], limit, offset).collect()] == expected
-    monkeypatch.setattr(paging, "TOP_ROWS", -1)
-    deep = limit_offset(frame, ["n"], limit, offset).collect()
-    assert sorted(r.n for r in deep) == expected
-
-
-def test_a_layout_reads_as_a_paged_feed(spark, many_files):
-    frame = numbers(spark, 997)
-    name = feed(spark, laid(spark, frame, ["n"], "day"))
-    rows = read_feed(spark, name, page_size=50, page_column="page").collect()
-    ordered = sorted((r.day, r.n) for r in frame.collect())
-    assert sorted((r.page, r.day, r.n) for r in rows) == [
-        (i // 50, *row) for i, row in enumerate(ordered)
-    ]
-
-
-@pytest.mark.parametrize(
-    "start, stop",
-    [
-        (None, None),
-        (D(2024, 1, 2), D(2024, 1, 4)),
-        (D(2024, 1, 4), None),
-        (None, D(2024, 1, 2)),
-        (D(2025, 1, 1), D(2026, 1, 1)),
-        (D(2023, 1, 1), D(2024, 1, 1)),
-        (D(2024, 1, 3), D(2024, 1, 3)),
-    ],
-)
-def test_windows_of_a_layout(spark, many_files, start, stop):
-    undated = spark.createDataFrame([(-1, None), (-2, None)], "n bigint, day date")
-    frame = numbers(spark, 200).unionAll(undated)
-    name = feed(spark, laid(spark, frame, ["n"], "day"))
-    found = sorted(r.n for r in read_feed(spark, name, start, stop, page_size=7).collect())
-    bounded = start is not None or stop is not None
-    expected = sorted(
-        r.n for r in frame.collect()
-        if not bounded
-        or (r.day is not None and (start is None or r.day >= start)
-            and (stop is None or r.day < stop))
+@pytest.mark.parametrize("total", [0, 1, 100, 1001])
+def test_page_counts(spark, total):
+    pages = {r.page: r.n_rows for r in page_counts(numbers(spark, total), 100).collect()}
+    left = {total // 100: total % 100} if total % 100 else {}
+    assert pages == dict.fromkeys(range(total // 100), 100) | left
+
+
+def awkward(spark, total):
+    """Columns named like the helpers of a layout, one with a dot, and a map."""
+    return spark.range(total).select(
+        (F.col("id") * 7 % total).alias("row"),
+        F.col("id").alias("file"),
+        F.col("id").alias("first_row"),
+        F.col("id").alias("row_offset"),
+        F.col("id").alias("_row_index"),
+        F.col("id").alias("part"),
+        F.col("id").alias("key"),
+        F.col("id").alias("a.b"),
+        F.create_map(F.lit("k"), F.col("id")).alias("m"),
     )
-    assert found == expected
-
 
-def test_an_empty_layout(spark):
-    layout = laid(spark, numbers(spark, 0), ["n"], "day")
-    assert with_offsets(spark, layout).count() == 0
-    assert rows_between(spark, layout, 0, 10).count() == 0
-    assert read_feed(spark, feed(spark, layout)).count() == 0
-    assert read_feed(spark, feed(spark, layout), D(2024, 1, 1)).count() == 0
 
+@pytest.mark.parametrize("limit, offset", [(5, 0), (10, 95), (10, 20_000), (10, 20_006), (0, 3)])
+def test_limit_and_offset_at_any_depth(spark, limit, offset):
+    frame = awkward(spark, 20_011)
+    rows = sorted(frame.collect(), key=lambda r: r["row"])
+    for find in (limit_offset, deep_limit_offset):
+        found = find(frame, ["row"], limit, offset)
+        assert found.columns == frame.columns
+        assert found.collect() == rows[offset : offset + limit]
 
-def test_types_survive_the_paged_read(spark):
-    frame = spark.sql(
-        "SELECT 1 AS k, TIMESTAMP_NTZ'2024-01-01 10:00:00' AS t,"
-        " TIMESTAMP'2024-01-01 10:00:00' AS u,"
-        " CAST(1.5 AS decimal(10,2)) AS d, 2.5D AS f, array('a') AS a, true AS b"
-    )
-    read = read_feed(spark, feed(spark, laid(spark, frame, ["k"])))
-    assert read.schema.simpleString() == frame.schema.simpleString()
-    assert read.collect() == frame.collect()
 
+def test_a_dotted_key_and_ties(spark):
+    frame = awkward(spark, 50).withColumn("row", F.lit(1))
+    by_dot = [r["a.b"] for r in limit_offset(frame, ["a.b"], 5, 10).collect()]
+    assert by_dot == [10, 11, 12, 13, 14]
+    shallow = limit_offset(frame, ["row"], 20, 7).collect()
+    assert shallow == deep_limit_offset(frame, ["row"], 20, 7).collect()
 
-def test_pages_larger_and_smaller_than_files(spark, many_files):
-    layout = laid(spark, numbers(spark, 1000), ["n"])
-    for size in (1, 37, 500, 5000):
-        pages = {r.page: r.n_rows for r in page_counts(spark, layout, size).collect()}
-        whole, rest = divmod(1000, size)
-        assert pages == dict.fromkeys(range(whole), size) | ({whole: rest} if rest else {})
 
+def test_an_offset_column_that_is_taken_is_refused(spark):
+    layout = laid(spark, awkward(spark, 5), ["row"])
+    with pytest.raises(ValueError):
+        with_offsets(spark, layout)
+    assert with_offsets(spark, layout, "at").count() == 5
 
-def test_a_shuffled_input_is_written_before_it_is_ranged_and_then_dropped(spark, many_files):
-    before = spark.sql("SHOW DATABASES").count()
-    totals = numbers(spark, 1000).groupBy("day").agg(F.sum("n").alias("n"))
-    layout = laid(spark, totals, ["day"])
-    assert spark.sql("SHOW DATABASES").count() == before
-    assert with_offsets(spark, layout).count() == 5
 
-
-def test_paths_with_spaces(spark, tmp_path):
-    layout = write_layout(numbers(spark, 10), ["n"], str(tmp_path / "a b"), "day")
-    assert rows_between(spark, layout, 2, 5).count() == 3
-    assert with_offsets(spark, layout).count() == 10
-    assert read_feed(spark, feed(spark, layout), D(2024, 1, 2)).count() == 8
+def test_an_empty_layout(spark):
+    layout = laid(spark, numbers(spark, 0), ["n"])
+    assert with_offsets(spark, layout).count() == 0
+    assert rows_between(spark, layout, 0, 10).count() == 0

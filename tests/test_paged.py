@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from feedlake.operators import in_window
 from feedlake.sources import RequestFeed, read_feed, register_feed
-from feedlake.sources.paged import MAX_RUNS, page_runs
+from feedlake.sources.paged import page_runs
 
 D = datetime.date
 SCHEMA = StructType().add("id", "long").add("day", "date").add("label", "string")
@@ -57,12 +57,18 @@ def test_runs_cover_every_row_once_and_start_at_pages(total, page_size, min_runs
     assert at == total
 
 
-def test_a_huge_feed_makes_a_bounded_number_of_tasks():
-    assert len(page_runs(10**12, 100_000, 8)) <= MAX_RUNS
-    assert len(page_runs(10**12, 1_000, 100_000)) <= MAX_RUNS
+def test_tasks_grow_with_the_feed_unless_the_caller_bounds_them():
+    assert len(page_runs(10**11, 100_000, 8)) == 10**5
+    assert len(page_runs(10**11, 100_000, 8, 300)) <= 300
     assert len(page_runs(10**6, 1_000, 64, 3)) == 3
 
 
+def test_registering_a_feed_leaves_the_session_as_it_is(spark):
+    before = spark.conf.get("spark.sql.python.filterPushdown.enabled")
+    registered(spark, *service(1))
+    assert spark.conf.get("spark.sql.python.filterPushdown.enabled") == before
+
+
 @pytest.mark.parametrize("total", [0, 1, 9, 10, 11, 20, 35])
 @pytest.mark.parametrize("page_size", [1, 10, 1000])
 def test_every_page_is_read(spark, total, page_size):

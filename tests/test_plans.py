@@ -8,7 +8,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from feedlake.workspace import shared_folder
-from registry import queries
+from registry import feeds, queries
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SF_DIR = "/root/testdata/sf0.001"
@@ -49,11 +49,49 @@ def test_no_query_compares_all_pairs(spark, name):
     assert "NestedLoop" not in text and "Cartesian" not in text
 
 
-def test_only_a_small_offset_is_a_sorted_limit(spark):
+def test_the_deep_form_of_a_limit_is_no_sorted_limit(spark):
     assert "TakeOrderedAndProject" in explained(queries.limit_offset_top(spark, SF_DIR))
     assert "TakeOrderedAndProject" not in explained(queries.limit_offset_deep(spark, SF_DIR))
 
 
+def test_the_week_reaches_the_scan_of_the_given_table(spark):
+    week = explained(queries.paged_scan_filter(spark, SF_DIR))
+    pulled = explained(feeds.month_feed(spark, SF_DIR, *queries.WEEK))
+    for text in (week, pulled):
+        assert any("GreaterThanOrEqual(ts" in x for x in lines_with(text, "PushedFilters"))
+        assert any("LessThan(ts" in x for x in lines_with(text, "PushedFilters"))
+
+
+def test_the_gap_report_scans_once_and_joins_nothing(spark):
+    text = explained(queries.missing_plaza_days(spark, SF_DIR))
+    assert "Join" not in text
+    assert len(lines_with(text, "Location:")) == 1
+
+
+def test_limits_cap_no_tasks(spark):
+    assert "Coalesce" not in explained(queries.limit_offset_top(spark, SF_DIR))
+
+
+# calls that move rows, and where a bounded number of them may
+BOUNDED = {
+    ".collect(": ["feedlake/plans/tables.py"],  # one name per partition
+    "to_pylist": [],
+    "mkdtemp": [],
+    "tempfile": [],
+    "coalesce(": [],
+}
+
+
+def test_rows_reach_the_driver_only_where_they_are_few():
+    paths = glob.glob(f"{ROOT}/feedlake/**/*.py", recursive=True)
+    for path in (p for p in paths if "/llm/" not in p):
+        name = os.path.relpath(path, ROOT)
+        with open(path) as source:
+            text = source.read().replace("F.coalesce(", "")
+        for word, allowed in BOUNDED.items():
+            assert word not in text or name in (allowed or []), (name, word)
+
+
 def test_the_library_keeps_rows_off_the_driver():
     banned = ["toPandas", ".rdd", "localCheckpoint", "crossJoin", "toLocalIterator"]
     for path in glob.glob(f"{ROOT}/feedlake/**/*.py", recursive=True):
@@ -67,24 +105,15 @@ def test_scratch_goes_to_the_folder_of_the_session(spark):
 
 
 class UnsetSession:
-    """A session that names no folder, as far as `shared_folder` looks at it."""
+    """A session that names no checkpoint folder, as far as `shared_folder` looks at it."""
 
-    def __init__(self, master):
-        self.conf = {}
+    def __init__(self):
+        self.conf = {"spark.sql.warehouse.dir": "s3://bucket/warehouse/"}
         self.sparkContext = self
-        self.master = master
-        self.folder = None
 
     def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+        return None
 
 
-def test_only_a_local_session_gets_a_folder_of_its_own():
-    local = UnsetSession("local[2]")
-    assert os.path.isdir(shared_folder(local))
-    assert shared_folder(local) == local.folder
-    with pytest.raises(ValueError):
-        shared_folder(UnsetSession("yarn"))
+def test_without_a_checkpoint_folder_the_warehouse_holds_scratch():
+    assert shared_folder(UnsetSession()) == "s3://bucket/warehouse"

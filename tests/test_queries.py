@@ -4,6 +4,8 @@ import pytest
 from compare import duck, same
 
 import __spark_entry__ as contract
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -13,26 +15,17 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, connection, name):
     result = contract.queries()[name](spark, SF_DIR)
-    assert same(result, contract.oracle_sql()[name], connection) is None
+    assert same(result, ORACLES[name], connection) is None
 
 
-def test_only_the_footprint_has_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"storage_footprint"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_has_a_row_per_day(spark):
     result = contract.entry(spark)
     assert result.columns == ["date", "n_rows", "e_zpass", "vtoll"]
     assert result.count() == 30
-
-
-def test_footprint_counts_the_same_rows_in_every_format(spark):
-    rows = contract.queries()["storage_footprint"](spark, SF_DIR).collect()
-    by_format = {r["format"]: r for r in rows}
-    assert {r.n_rows for r in rows} == {6000}
-    assert all(r.n_files >= 1 for r in rows)
-    assert by_format["parquet"].n_bytes < by_format["json"].n_bytes
-    assert by_format["table"].n_bytes < by_format["json"].n_bytes

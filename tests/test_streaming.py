@@ -1,7 +1,11 @@
 import json
 
+from pyspark.sql import functions as F
+
+from feedlake.plans import FeedTable, create_if_absent
 from feedlake.schema import CORRUPT_COLUMN, WIRE_SCHEMA
-from feedlake.streaming import load_new_files, read_loaded, report_new_rejects
+from feedlake.sources import read_stage
+from feedlake.streaming import load_batch, load_new_files, report_new_rejects
 
 
 def drop(stage, name, hours, day="2024-01-01", vtoll="3"):
@@ -11,30 +15,48 @@ def drop(stage, name, hours, day="2024-01-01", vtoll="3"):
     (stage / name).write_text("\n".join(lines))
 
 
-def test_every_file_is_loaded_once(spark, tmp_path):
-    stage, sink, progress = tmp_path / "stage", str(tmp_path / "sink"), str(tmp_path / "progress")
+def target(database):
+    return FeedTable(f"{database}.t", batched=True)
+
+
+def test_every_file_is_loaded_once(spark, tmp_path, database):
+    stage, progress = tmp_path / "stage", str(tmp_path / "progress")
+    table = target(database)
 
     def run():
-        load_new_files(spark, str(stage), sink, progress)
-        return read_loaded(spark, sink).count()
+        report = load_new_files(spark, str(stage), table, progress)
+        return report.n_rows, spark.table(table.name).count()
 
     drop(stage, "a.json", range(5))
-    assert [run(), run()] == [5, 5]
+    assert [run(), run()] == [(5, 5), (0, 5)]
     drop(stage, "b.json", range(5), "2024-01-02")
-    assert [run(), run()] == [10, 10]
-    assert read_loaded(spark, sink).select("date").distinct().count() == 2
-    assert dict(read_loaded(spark, sink).dtypes)["vehicles_vtoll"] == "int"
+    assert [run(), run()] == [(5, 10), (0, 10)]
+    loaded = spark.table(table.name)
+    assert loaded.select("date").distinct().count() == 2
+    assert dict(loaded.dtypes)["vehicles_vtoll"] == "int"
+
+
+def test_a_batch_that_runs_again_loads_once(spark, tmp_path, database):
+    stage, table = tmp_path / "stage", target(database)
+    create_if_absent(spark, table)
+    drop(stage, "a.json", range(5))
+    drop(stage, "b.json", range(3), "2024-01-02")
+    wire = read_stage(spark, str(stage), keep_corrupt=True)
+    for batch in (0, 0, 1, 1):
+        assert load_batch(table, wire, batch).n_rows == 8
+    counts = spark.table(table.name).groupBy("load_batch").agg(F.count("*").alias("n"))
+    assert {r.load_batch: r.n for r in counts.collect()} == {0: 8, 1: 8}
 
 
-def test_small_batches_load_the_same_rows(spark, tmp_path):
-    stage, sink = tmp_path / "stage", str(tmp_path / "sink")
+def test_small_batches_load_the_same_rows(spark, tmp_path, database):
+    stage, table = tmp_path / "stage", target(database)
     for i in range(5):
         drop(stage, f"{i}.json", [i])
-    load_new_files(spark, str(stage), sink, str(tmp_path / "progress"), max_files=2)
-    assert sorted(r.hour for r in read_loaded(spark, sink).collect()) == list("01234")
+    load_new_files(spark, str(stage), table, str(tmp_path / "progress"), max_files=2)
+    assert sorted(r.hour for r in spark.table(table.name).collect()) == list("01234")
 
 
-def test_rejects_are_reported_once(spark, tmp_path):
+def test_rejects_are_counted_and_reported_once(spark, tmp_path, database):
     stage, sink, progress = tmp_path / "stage", str(tmp_path / "bad"), str(tmp_path / "progress")
     drop(stage, "a.json", [0], vtoll="12.7")
     drop(stage, "b.json", [1])
@@ -44,6 +66,6 @@ def test_rejects_are_reported_once(spark, tmp_path):
         found = spark.read.parquet(sink).collect()
         assert {(r.field, r.raw_value) for r in found} == {
             ("vehicles_vtoll", "12.7"), (CORRUPT_COLUMN, '{"plaza_id": "2')
-        }
-    load_new_files(spark, str(stage), str(tmp_path / "good"), str(tmp_path / "progress2"))
-    assert read_loaded(spark, str(tmp_path / "good")).count() == 2
+        }
+    report = load_new_files(spark, str(stage), target(database), str(tmp_path / "progress2"))
+    assert (report.n_rows, report.n_bad_values, report.n_corrupt_lines) == (2, 1, 1)

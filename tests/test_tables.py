@@ -22,8 +22,8 @@ def rows_on(spark, *days, vtoll=1):
     return spark.createDataFrame([("21", d, "0", "I", 1, vtoll) for d in days], TYPED_SCHEMA)
 
 
-def made(spark, database, by, *days):
-    table = FeedTable(f"{database}.t", by)
+def made(spark, database, by, *days, name="t"):
+    table = FeedTable(f"{database}.{name}", by)
     create_if_absent(spark, table)
     append(spark, table, rows_on(spark, *days))
     return table
@@ -106,7 +106,7 @@ def test_replacing_a_window_is_repeatable_and_leaves_the_rest(spark, database, b
     table = made(spark, database, by, *days)
     new = rows_on(spark, *days, vtoll=9)
     for _ in range(2):
-        assert replace_window(spark, table, new, D(2023, 12, 31), D(2024, 1, 2)) == 2
+        assert replace_window(spark, table, new, D(2023, 12, 31), D(2024, 1, 2), rewrite_years=True) == 2
         assert content(spark, table) == [(days[0], 1), (days[1], 9), (days[2], 9), (days[3], 1)]
 
 
@@ -115,7 +115,7 @@ def test_days_without_new_rows_end_up_empty(spark, database, by):
     days = [D(2023, 12, 31), D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 3)]
     table = made(spark, database, by, *days)
     new = rows_on(spark, D(2024, 1, 2), vtoll=9)
-    replace_window(spark, table, new, D(2023, 12, 31), D(2024, 1, 3))
+    replace_window(spark, table, new, D(2023, 12, 31), D(2024, 1, 3), rewrite_years=True)
     assert content(spark, table) == [(D(2024, 1, 2), 9), (D(2024, 1, 3), 1)]
     append(spark, table, rows_on(spark, D(2024, 1, 1)))
     assert spark.table(table.name).where("date = DATE'2024-01-01'").count() == 1
@@ -124,32 +124,54 @@ def test_days_without_new_rows_end_up_empty(spark, database, by):
 @pytest.mark.parametrize("by", ["day", "year"])
 def test_replacing_with_nothing_empties_the_window(spark, database, by):
     table = made(spark, database, by, D(2023, 5, 1), None)
-    assert replace_window(spark, table, rows_on(spark), D(2023, 1, 1), D(2024, 1, 1)) == 0
+    assert replace_window(spark, table, rows_on(spark), D(2023, 1, 1), D(2024, 1, 1), rewrite_years=True) == 0
     assert content(spark, table) == [(None, 1)]
     one = rows_on(spark, D(2023, 1, 1))
-    assert replace_window(spark, table, one, D(2023, 1, 1), D(2024, 1, 1)) == 1
+    assert replace_window(spark, table, one, D(2023, 1, 1), D(2024, 1, 1), rewrite_years=True) == 1
 
 
 @pytest.mark.parametrize("by", ["day", "year"])
 def test_a_replacement_may_read_the_table_itself(spark, database, by):
     table = made(spark, database, by, D(2024, 1, 1), D(2024, 1, 2))
     changed = spark.table(table.name).withColumn("vehicles_vtoll", F.lit(2))
-    replace_window(spark, table, changed.drop("date_year"), D(2024, 1, 1), D(2024, 1, 2))
+    replace_window(spark, table, changed.drop("date_year"), D(2024, 1, 1), D(2024, 1, 2), rewrite_years=True)
     assert content(spark, table) == [(D(2024, 1, 1), 2), (D(2024, 1, 2), 1)]
 
 
 def test_a_window_without_days_is_refused(spark, database):
     table = made(spark, database, "day", D(2024, 1, 1))
     with pytest.raises(ValueError):
-        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 1))
+        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 1), rewrite_years=True)
 
 
-def test_the_overwrite_mode_is_restored(spark, database, conf):
+def test_the_overwrite_mode_of_the_session_does_not_matter(spark, database):
     setting = "spark.sql.sources.partitionOverwriteMode"
-    table = made(spark, database, "day", D(2024, 1, 1))
-    before = spark.conf.get(setting)
-    replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 2))
-    assert spark.conf.get(setting) == before
+    table = made(spark, database, "day", D(2024, 1, 1), D(2024, 1, 5))
+    other = made(spark, database, "day", D(2024, 1, 1), D(2024, 1, 5), name="other")
+    rows = rows_on(spark, D(2024, 1, 1), vtoll=9)
+    replace_window(spark, table, rows, D(2024, 1, 1), D(2024, 1, 2))
+    assert content(spark, table) == [(D(2024, 1, 1), 9), (D(2024, 1, 5), 1)]
+    # an overwrite of another table in the same session is static, as the session says
+    spark.sql(
+        f"INSERT OVERWRITE {other.name} PARTITION (date) BY NAME SELECT * FROM {{rows}}", rows=rows
+    )
+    assert content(spark, other) == [(D(2024, 1, 1), 9)]
+    assert spark.conf.get(setting).lower() == "static"
+
+
+def test_a_year_table_is_rewritten_by_consent_only(spark, database):
+    table = made(spark, database, "year", D(2024, 1, 1))
+    with pytest.raises(ValueError, match="rewrite_years"):
+        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 2))
+
+
+@pytest.mark.parametrize("by", ["day", "year"])
+def test_a_window_without_an_end(spark, database, by):
+    days = [D(2022, 12, 31), D(2023, 1, 1), D(2024, 6, 1), None]
+    table = made(spark, database, by, *days)
+    new = rows_on(spark, D(2023, 5, 1), vtoll=9)
+    assert replace_window(spark, table, new, D(2023, 1, 1), rewrite_years=True) == 1
+    assert content(spark, table) == [(None, 1), (D(2022, 12, 31), 1), (D(2023, 5, 1), 9)]
 
 
 def test_external_tables_are_not_replaced(spark, database, tmp_path):
@@ -157,7 +179,7 @@ def test_external_tables_are_not_replaced(spark, database, tmp_path):
     spark.sql(f"{create_statement(table)} LOCATION '{tmp_path}/ext'")
     append(spark, table, rows_on(spark, D(2024, 1, 1)))
     with pytest.raises(ValueError):
-        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 2))
+        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 2), rewrite_years=True)
     assert spark.table(table.name).count() == 1
 
 
