@@ -7,16 +7,17 @@ from __future__ import annotations
 
 import datetime
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.plans import FeedTable, append_stage, read_window
-from feedlake.sources import LayoutFeed, read_feed, register_feed, write_layout, write_stage
+from feedlake.sources import with_offsets, write_layout, write_stage
 from feedlake.workspace import scratch_database, scratch_path
 from registry.feeds import table, years_feed
-from registry.queries import storage_footprint
+from registry.queries import stored_bytes
 
 
 def timed(label: str, action) -> None:
@@ -32,18 +33,21 @@ def run(frame) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    scratch = tempfile.mkdtemp(prefix="bench-", dir=os.environ.get("BENCH_SCRATCH"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", f"{scratch}/shared")
+        .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    for row in storage_footprint(spark, sf_dir).orderBy("format").collect():
+    for row in stored_bytes(spark, sf_dir).orderBy("format").collect():
         print(f"{row['format']}: {row.n_files} files, {row.n_bytes} bytes, {row.n_rows} rows")
 
     stage = scratch_path(spark, "stage")
@@ -66,12 +70,11 @@ def main() -> None:
     path = scratch_path(spark, "layout")
     keys = ["l_orderkey", "l_linenumber"]
     layout = []
-    timed("layout", lambda: layout.append(write_layout(lineitem, keys, path, "day", settled=True)))
-    register_feed(spark, "bench_feed", LayoutFeed(spark, layout[0]))
+    timed("layout", lambda: layout.append(write_layout(lineitem, ["day", *keys], path, settled=True)))
     for size in (100_000, 100_000, 10_000, 1_000):
-        columns = ["l_orderkey", "l_quantity"]
-        scan = read_feed(spark, "bench_feed", page_size=size, columns=columns)
-        timed(f"paged scan, pages of {size}", lambda scan=scan: run(scan))
+        page = F.expr(f"row_offset div {size}").alias("page")
+        pages = with_offsets(spark, layout[0]).groupBy(page).agg(F.sum("l_quantity"))
+        timed(f"paged scan, pages of {size}", lambda pages=pages: run(pages))
     spark.stop()
 
 

@@ -143,8 +143,8 @@ def ctas_raw(spark, sf_dir):
     return spark.table(name)
 
 
-def storage_footprint(spark, sf_dir):
-    """Rows per format, and whether it takes less than JSON; `footprint` has the exact bytes."""
+def stored_bytes(spark, sf_dir):
+    """The years' feed as JSON, as Parquet and as a table, with the bytes of each."""
     feed = years_feed(spark, sf_dir)
     as_json, as_parquet = scratch_path(spark, "json"), scratch_path(spark, "parquet")
     write_stage(feed, as_json)
@@ -153,7 +153,7 @@ def storage_footprint(spark, sf_dir):
     append_stage(spark, as_json, loaded)
     location = spark.sql(f"DESCRIBE EXTENDED {loaded.name}").where("col_name = 'Location'")
     as_table = location.select("data_type").first()[0]
-    found = footprint(
+    return footprint(
         spark,
         {
             "json": ("json", as_json),
@@ -161,6 +161,11 @@ def storage_footprint(spark, sf_dir):
             "table": ("parquet", as_table),
         },
     )
+
+
+def storage_footprint(spark, sf_dir):
+    """Rows per format, and whether it takes less than JSON; bytes depend on the writer."""
+    found = stored_bytes(spark, sf_dir)
     # one row per format
     bytes_of_json = F.max(F.when(F.col("format") == "json", F.col("n_bytes"))).over(W.partitionBy())
     smaller = (F.col("n_bytes") < bytes_of_json).alias("smaller_than_json")
