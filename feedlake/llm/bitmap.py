@@ -21,11 +21,10 @@ def bitmap(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
         df.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(63).alias("bit"))
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("mask"))
-        .collect()
+        .toArrow()
     )
     words = np.zeros((1 << bits) // 64, np.uint64)
-    for word, mask in filled:
-        words[word] = np.uint64(mask & 0xFFFFFFFFFFFFFFFF)
+    words[filled["word"].to_numpy()] = filled["mask"].to_numpy().view(np.uint64)
     return words
 
 
