@@ -9,16 +9,16 @@ verdict, which is that no rule rejects.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField
 
-from feedlake.llm.text import SPACED, Words, blocks, carried_fields, mixed, span_hashes
+from feedlake.llm.text import SPACED, Words, mixed, span_hashes, with_columns
 
 # Texts of the sample that costs are estimated on, and the longest that is sent to the driver for
 # it. Both bound what reaches the driver; no verdict depends on them.
@@ -218,20 +218,13 @@ def quality_cascade(
     column is replaced. Repeated rows are judged each for itself. No shuffle.
     """
     order = estimated_order(docs, rules)
-    carried = carried_fields(docs, ["failed_rule", *measures])
-    schema = StructType([*carried, StructField("failed_rule", StringType())])
-    for measure in measures:
-        schema = schema.add(measure, LongType())
+    own = [StructField("failed_rule", StringType()), *(StructField(m, LongType()) for m in measures)]
     names = np.array([r.name for r in order] + [None], dtype=object)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, bounds in blocks(batches, "text"):
-            block = Block(data, bounds)
-            known = {m: MEASURES[m](block) for m in measures}
-            failed = names[judge(block, order, known)]
-            columns = [rows.column(f.name) for f in carried]
-            columns.append(pa.array(failed, pa.string()))
-            columns += [pa.array(known[m], pa.int64()) for m in measures]
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+    def compute(data: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+        block = Block(data, bounds)
+        known = {m: MEASURES[m](block) for m in measures}
+        failed = names[judge(block, order, known)]
+        return [pa.array(failed, pa.string()), *(pa.array(known[m], pa.int64()) for m in measures)]
+
+    return with_columns(docs, own, compute)

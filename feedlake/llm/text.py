@@ -5,14 +5,15 @@ All functions work on the texts of one Arrow column at a time. A null text is an
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructField
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 # Bytes of text that are worked on at a time; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
@@ -65,10 +66,29 @@ def blocks(
             first = last
 
 
-def carried_fields(df: DataFrame, own: list[str]) -> list[StructField]:
-    """The fields of `df` that no output column replaces, whatever the case of their names."""
-    taken = {name.lower() for name in own}
-    return [f for f in df.schema if f.name.lower() not in taken]
+def with_columns(
+    docs: DataFrame,
+    own: list[StructField],
+    compute: Callable[[np.ndarray, np.ndarray], list[pa.Array]],
+) -> DataFrame:
+    """`docs` with columns made by `compute` from the bytes and bounds of each block of texts.
+
+    All other columns stay; one that is called like a new one, in whatever case, is replaced. Rows
+    travel as one struct, so that their names may hold any character.
+    """
+    taken = {f.name.lower() for f in own}
+    carried = [f"`{c}`" for c in docs.columns if c.lower() not in taken]
+    packed = docs.select(F.struct(*carried).alias("row"))
+    names = ["row", *(f.name for f in own)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = (pa.RecordBatch.from_struct_array(batch.column("row")) for batch in batches)
+        for rows, data, bounds in blocks(opened, "text"):
+            arrays = [rows.to_struct_array(), *compute(data, bounds)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    schema = StructType([*packed.schema.fields, *own])
+    return packed.mapInArrow(run, schema).select("row.*", *names[1:])
 
 
 class Words:

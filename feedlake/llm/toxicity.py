@@ -18,9 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField
 
-from feedlake.llm.text import ALPHANUMERIC, LOWER, Words, blocks, carried_fields, mixed
+from feedlake.llm.text import ALPHANUMERIC, LOWER, Words, blocks, mixed, with_columns
 from feedlake.workspace import settle
 
 BITS = 22
@@ -137,21 +137,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     A null or empty text has no features and gets the bias alone. All other columns stay; a column
     called score is replaced. Only the text is looked at.
     """
-    carried = carried_fields(docs, ["score"])
-    schema = docs.select(*(F.col(f"`{f.name}`") for f in carried)).schema
-    schema = schema.add("score", DoubleType())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(data: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
         table = np.zeros(1 << BITS, np.float32)
         table[model.places] = model.weights
-        for rows, data, bounds in blocks(batches, "text"):
-            row, place = features(data, bounds)
-            counts = table[place] != 0
-            keys = np.unique((row[counts] << BITS) | place[counts])
-            weights = table[keys & ((1 << BITS) - 1)].astype(float)
-            total = np.bincount(keys >> BITS, weights, len(rows)) + model.bias
-            columns = [rows.column(f.name) for f in carried]
-            columns.append(pa.array(1 / (1 + np.exp(-np.clip(total, -700, 700)))))
-            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
-
-    return docs.mapInArrow(run, schema)
+        row, place = features(data, bounds)
+        known = table[place] != 0
+        keys = np.unique((row[known] << BITS) | place[known])
+        weights = table[keys & ((1 << BITS) - 1)].astype(float)
+        total = np.bincount(keys >> BITS, weights, len(bounds) - 1) + model.bias
+        with np.errstate(over="ignore"):
+            return [pa.array(1 / (1 + np.exp(-total)))]
+
+    return with_columns(docs, [StructField("score", DoubleType())], compute)

@@ -1,0 +1,87 @@
+import random
+
+import numpy as np
+import pytest
+
+from feedlake.llm.queries import op9_toxicity
+from feedlake.llm.toxicity import BITS, features, fit, score
+
+BAD = ["nasty", "vile", "foul"]
+
+
+def corpus(spark, n, seed):
+    rng = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randint(5, 200))]
+        toxic = rng.random() < 0.2
+        if toxic:
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), rng.choice(BAD))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return (
+        spark.createDataFrame(rows, "doc_id bigint, text string"),
+        spark.createDataFrame(labels, "doc_id bigint, toxic int"),
+    )
+
+
+def test_held_out_documents_are_told_apart(spark):
+    model = fit(*corpus(spark, 1500, 1))
+    assert 0 < len(model.places) < 1000 and np.all(model.weights != 0)
+    docs, labels = corpus(spark, 500, 2)
+    rows = score(docs, model).join(labels, "doc_id").collect()
+    wrong = sum((r.score >= 0.3) != bool(r.toxic) for r in rows)
+    assert wrong <= 5 and all(0 <= r.score <= 1 for r in rows)
+
+
+def test_features_are_words_pairs_and_skips():
+    def places(text):
+        raw = np.frombuffer(text, np.uint8)
+        return set(features(raw, np.array([0, len(raw)]))[1].tolist())
+
+    assert len(places(b"a b c d")) == 4 + 3 + 2
+    assert places(b"A, B") == places(b"a b") and places(b"a b") != places(b"b a")
+    row, place = features(np.frombuffer(b"a bc", np.uint8), np.array([0, 2, 4]))
+    assert row.tolist() == [0, 1] and place.max() < 1 << BITS
+
+
+def test_a_document_counts_once_and_only_the_text_matters(spark):
+    docs, labels = corpus(spark, 300, 3)
+    model = fit(docs, labels.union(labels))
+    twice = docs.selectExpr("doc_id + 1000 AS doc_id", "concat(text, ' ', text) AS text")
+    once = {r.doc_id: r.score for r in score(docs, model).collect()}
+    again = {r.doc_id - 1000: r.score for r in score(twice, model).collect()}
+    # repeating a text adds two pairs where it meets itself, and no more
+    assert sum(abs(once[i] - again[i]) > 0.05 for i in once) <= 3
+
+
+def test_awkward_rows(spark, awkward, empty):
+    labels = spark.createDataFrame(
+        [(4, 1), (6, 0), (None, 1), (7, None)], "doc_id bigint, toxic int"
+    )
+    model = fit(awkward, labels)
+    rows = score(awkward, model)
+    assert sorted(rows.columns) == sorted(awkward.columns)
+    assert all(0 <= r.score <= 1 for r in rows.collect()) and rows.count() == 9
+    nothing = fit(awkward, labels.limit(0))
+    assert all(r.score == 0 for r in score(awkward, nothing).collect())
+    assert score(empty, model).count() == 0
+
+
+def test_the_query_catches_most_toxic_documents_and_few_others(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    rows = op9_toxicity(spark, sf_dir).where("held_out")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    counts = {(r.toxic, r.predicted): r["count"] for r in
+              rows.join(labels, "doc_id").groupBy("toxic", "predicted").count().collect()}
+    assert counts[1, 1] > 2 * counts.get((1, 0), 0)
+    assert counts.get((0, 1), 0) < 0.02 * counts[0, 0]
+
+
+@pytest.mark.parametrize("most", [40, 10_000])
+def test_the_sample_is_bounded(spark, most):
+    from feedlake.llm.toxicity import _training_rows
+
+    docs, labels = corpus(spark, 120, 4)
+    assert _training_rows(docs, labels, most).count() == min(most, 120)
