@@ -68,9 +68,9 @@ def main() -> None:
 
     lineitem = table(spark, sf_dir, "lineitem").withColumn("day", F.to_date("l_shipdate"))
     path = scratch_path(spark, "layout")
-    keys = ["l_orderkey", "l_linenumber"]
+    keys = ["day", "l_orderkey", "l_linenumber"]
     layout = []
-    timed("layout", lambda: layout.append(write_layout(lineitem, ["day", *keys], path, settled=True)))
+    timed("layout", lambda: layout.append(write_layout(lineitem, keys, path, settled=True)))
     for size in (100_000, 100_000, 10_000, 1_000):
         page = F.expr(f"row_offset div {size}").alias("page")
         pages = with_offsets(spark, layout[0]).groupBy(page).agg(F.sum("l_quantity"))

@@ -1,9 +1,17 @@
+import datetime
 import json
 
 import pytest
 from pyspark.sql import functions as F
 
-from feedlake.plans import FeedTable, append_stage, load_feed, stage_rejects
+from feedlake.plans import (
+    FeedTable,
+    LoadReport,
+    append_stage,
+    load_feed,
+    replace_from_stage,
+    stage_rejects,
+)
 from feedlake.schema import CORRUPT_COLUMN, WIRE_SCHEMA
 from feedlake.sources import decode_json, encode_json, read_stage, write_stage
 
@@ -74,10 +82,34 @@ def test_broken_lines_are_kept_apart(spark, tmp_path, database):
 def test_loading_an_empty_pull(spark, tmp_path, database):
     table = FeedTable(f"{database}.t")
     empty = spark.createDataFrame([], WIRE_SCHEMA)
-    assert load_feed(spark, empty, str(tmp_path / "s"), table) == 0
+    assert load_feed(spark, empty, str(tmp_path / "s"), table) == LoadReport(0, 0, 0)
     assert spark.table(table.name).count() == 0
 
 
+@pytest.mark.parametrize("by", ["day", "year"])
+def test_a_windowed_load_accounts_for_every_line(spark, tmp_path, database, by):
+    def line(date, vtoll):
+        row = ("21", date, "0", "I", "1", vtoll)
+        return json.dumps(dict(zip(WIRE_SCHEMA.names, row)))
+
+    stage = tmp_path / "stage"
+    stage.mkdir()
+    lines = [
+        line("2024-01-02T00:00:00.000", "1"), line("2024-01-03T00:00:00.000", "n/a"),
+        line("2024-13-01", "1"), line(None, "1"), line("2024-02-01T00:00:00.000", "x"),
+        '{"plaza_id": "2',
+    ]
+    (stage / "a.json").write_text("\n".join(lines))
+    table = FeedTable(f"{database}.t", by)
+    window = datetime.date(2024, 1, 1), datetime.date(2024, 1, 8)
+    for _ in range(2):
+        report = replace_from_stage(spark, str(stage), table, *window, rewrite_years=True)
+        assert report == LoadReport(2, 3, 1, n_without_date=2, n_outside_window=1)
+        assert spark.table(table.name).count() == 2
+    open_report = replace_from_stage(spark, str(stage), table, window[0], rewrite_years=True)
+    assert (open_report.n_rows, open_report.n_outside_window) == (3, 0)
+
+
 def test_encode_then_decode(spark):
     frame = spark.createDataFrame([tuple(r.values()) for r in RECORDS], WIRE_SCHEMA)
     back = encode_json(frame).select(decode_json("json", WIRE_SCHEMA).alias("r")).select("r.*")

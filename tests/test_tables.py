@@ -106,7 +106,8 @@ def test_replacing_a_window_is_repeatable_and_leaves_the_rest(spark, database, b
     table = made(spark, database, by, *days)
     new = rows_on(spark, *days, vtoll=9)
     for _ in range(2):
-        assert replace_window(spark, table, new, D(2023, 12, 31), D(2024, 1, 2), rewrite_years=True) == 2
+        window = D(2023, 12, 31), D(2024, 1, 2)
+        assert replace_window(spark, table, new, *window, rewrite_years=True) == 2
         assert content(spark, table) == [(days[0], 1), (days[1], 9), (days[2], 9), (days[3], 1)]
 
 
@@ -124,7 +125,8 @@ def test_days_without_new_rows_end_up_empty(spark, database, by):
 @pytest.mark.parametrize("by", ["day", "year"])
 def test_replacing_with_nothing_empties_the_window(spark, database, by):
     table = made(spark, database, by, D(2023, 5, 1), None)
-    assert replace_window(spark, table, rows_on(spark), D(2023, 1, 1), D(2024, 1, 1), rewrite_years=True) == 0
+    year = D(2023, 1, 1), D(2024, 1, 1)
+    assert replace_window(spark, table, rows_on(spark), *year, rewrite_years=True) == 0
     assert content(spark, table) == [(None, 1)]
     one = rows_on(spark, D(2023, 1, 1))
     assert replace_window(spark, table, one, D(2023, 1, 1), D(2024, 1, 1), rewrite_years=True) == 1
@@ -134,14 +136,15 @@ def test_replacing_with_nothing_empties_the_window(spark, database, by):
 def test_a_replacement_may_read_the_table_itself(spark, database, by):
     table = made(spark, database, by, D(2024, 1, 1), D(2024, 1, 2))
     changed = spark.table(table.name).withColumn("vehicles_vtoll", F.lit(2))
-    replace_window(spark, table, changed.drop("date_year"), D(2024, 1, 1), D(2024, 1, 2), rewrite_years=True)
+    day = D(2024, 1, 1), D(2024, 1, 2)
+    replace_window(spark, table, changed.drop("date_year"), *day, rewrite_years=True)
     assert content(spark, table) == [(D(2024, 1, 1), 2), (D(2024, 1, 2), 1)]
 
 
 def test_a_window_without_days_is_refused(spark, database):
     table = made(spark, database, "day", D(2024, 1, 1))
     with pytest.raises(ValueError):
-        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 1), rewrite_years=True)
+        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 1))
 
 
 def test_the_overwrite_mode_of_the_session_does_not_matter(spark, database):
@@ -179,7 +182,7 @@ def test_external_tables_are_not_replaced(spark, database, tmp_path):
     spark.sql(f"{create_statement(table)} LOCATION '{tmp_path}/ext'")
     append(spark, table, rows_on(spark, D(2024, 1, 1)))
     with pytest.raises(ValueError):
-        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 2), rewrite_years=True)
+        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 2))
     assert spark.table(table.name).count() == 1
 
 
