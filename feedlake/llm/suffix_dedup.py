@@ -10,8 +10,7 @@ hash; each shard's suffix array is induced, and suffixes whose common prefix wit
 
 Equal texts are one text that is known to occur more than once, and so are equal cut-outs; copies
 cost neither sorting nor space. A hash with more distinct cut-outs than a shard should hold is not
-sorted there: it is split up once more by longer grams, and windows that still may be equal are
-counted by their own hashes, over all tasks.
+sorted there: its windows are counted by their own hashes, over all tasks.
 """
 
 from __future__ import annotations
@@ -34,9 +33,6 @@ SPAN = 200
 GRAM = 96
 WINDOWS = SPAN - GRAM + 1
 
-# Bytes of the grams that split up what is too large for a shard.
-FINE = 192
-
 # Bytes of cut-outs in a shard.
 SHARD_BYTES = 2 << 20
 
@@ -253,51 +249,30 @@ def _spread(print_, piece, held):
 
 
 def _counted_windows(pieces: DataFrame) -> DataFrame:
-    """The same as `_sorted_shards` for hashes with too many pieces, by counting windows.
-
-    Runs are made once more, by grams of nearly a window's length, which bring together little that
-    is not equal. Only windows of runs that have a partner there are counted one by one.
-    """
-    schema = (
-        "print bigint, piece binary, fine bigint, recurs bigint, "
-        "windows array<struct<begin: bigint, high: bigint, low: bigint>>"
-    )
+    """The same as `_sorted_shards` for hashes with too many pieces, by counting windows."""
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 data = np.frombuffer(row["body"], np.uint8)
-                grams = gram_hashes(data, FINE)
-                least = _extreme(grams, SPAN - FINE + 1, np.minimum)
-                first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-                n = len(first)
-                windows = pa.StructArray.from_arrays(
-                    [
-                        pa.array(np.arange(len(least))),
-                        pa.array(gram_hashes(data, SPAN).view(np.int64)),
-                        pa.array(gram_hashes(data, SPAN, _OTHER).view(np.int64)),
-                    ],
-                    names=["begin", "high", "low"],
-                )
-                recurs = int(len(np.unique(grams)) < len(grams))
-                bounds = np.append(first, len(least)).astype(np.int32)
+                high, low = gram_hashes(data, SPAN), gram_hashes(data, SPAN, _OTHER)
+                n = len(high)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["print"]] * n, pa.int64()),
                         pa.array([row["piece"]] * n, pa.binary()),
-                        pa.array(least[first].view(np.int64)),
-                        pa.array(np.full(n, recurs)),
-                        pa.ListArray.from_arrays(bounds, windows),
+                        pa.array(np.arange(n)),
+                        pa.array(high.view(np.int64)),
+                        pa.array(low.view(np.int64)),
                     ],
-                    names=["print", "piece", "fine", "recurs", "windows"],
+                    names=["print", "piece", "begin", "high", "low"],
                 )
 
-    each = settle(pieces.select("print", "piece", "body").mapInArrow(runs, schema), "fine")
-    seen = each.groupBy("fine").agg((F.count("*") + F.sum("recurs")).alias("n")).where("n > 1")
-    partnered = each.join(seen.select("fine"), "fine", "left_semi")
-    windows = settle(partnered.select("print", "piece", F.inline("windows")), "windows")
-    often = windows.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    starts = windows.join(often, ["high", "low"]).groupBy("print", "piece")
+    each = pieces.select("print", "piece", "body").mapInArrow(
+        windows, "print bigint, piece binary, begin bigint, high bigint, low bigint"
+    )
+    often = each.groupBy("high", "low").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    starts = each.join(often, ["high", "low"]).groupBy("print", "piece")
     starts = starts.agg(F.sort_array(F.collect_set("begin")).alias("at"))
     # one interval for each run of starts
     begins = F.expr("filter(at, (x, i) -> i = 0 or at[i - 1] < x - 1)")
