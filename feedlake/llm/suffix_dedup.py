@@ -99,8 +99,9 @@ def _runs(data: np.ndarray, bounds: np.ndarray):
     counts = np.diff(np.append(total[starts], total[-1]))
     rows = np.searchsorted(bounds, starts, "right") - 1
     # grams that are the smallest of some window: a hash with two of them in one text recurs there
-    most = _extreme(np.concatenate([np.zeros(WINDOWS - 1, np.uint64), least]), WINDOWS, np.maximum)
-    chosen = np.flatnonzero(most == grams[: len(most)])
+    edge = np.zeros(WINDOWS - 1, np.uint64)
+    most = _extreme(np.concatenate([edge, least, edge]), WINDOWS, np.maximum)
+    chosen = np.flatnonzero(most == grams)
     at = np.searchsorted(bounds, chosen, "right") - 1
     keys = np.sort(mixed(grams[chosen] + mixed(at.astype(np.uint64))))
     twice = keys[1:][keys[1:] == keys[:-1]]

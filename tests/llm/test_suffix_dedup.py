@@ -81,6 +81,20 @@ def test_small_bitmaps_and_blocks_change_nothing(spark, monkeypatch):
     assert sorted(map(tuple, rows), key=str) == expected(docs)
 
 
+def test_tails_that_repeat_only_in_themselves(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 1)  # each row ends a block of its own
+    rng = random.Random(11)
+    docs = []
+    for period in range(2, 105):
+        for more in sorted({0, period - 2}):
+            unit = "".join(rng.choice("abcdefghijklmnop") for _ in range(period))
+            head = "".join(rng.choice("qrstuvwxyz") for _ in range(rng.choice([0, 1, 150, 400])))
+            docs.append((len(docs), head + (unit * 300)[: SPAN + period + more]))
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    rows = without_repeats(frame).drop("kept").collect()
+    assert sorted(map(tuple, rows), key=str) == expected(docs)
+
+
 def test_repeated_windows_of_many_bodies():
     a, b = b"p" * 50 + b"q" * 160, b"r" * 5 + b"p" * 50 + b"q" * 160
     starts = repeated_windows([a, b, b"s" * 230, b"t"])
