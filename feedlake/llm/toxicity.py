@@ -6,7 +6,7 @@ a learning rate per coordinate, and its L1 term leaves a weight of exactly zero
 labels say little about, so the model is a short list of places and weights.
 
 The model is fitted on a sample of at most `MOST_ROWS` labelled rows, drawn by a hash of the id: a
-documented bound. Scoring reads every text whole.
+documented bound. Of an id that repeats, one row is in the sample. Scoring reads every text whole.
 """
 
 from __future__ import annotations
@@ -57,7 +57,7 @@ def features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """`toxic, order, places` of the sampled labelled rows."""
+    """`toxic, order, places` of the sampled labelled rows, one for each id that is drawn."""
     known = labels.where("doc_id is not null and toxic is not null")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col("doc_id").cast("string")).alias("order")
@@ -78,6 +78,10 @@ def _training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
     # at most `most` ids
     chosen = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    # of several rows of an id one counts, whichever task they are in: the one of the smallest hash
+    hashed = F.struct(F.xxhash64("text").alias("hash"), "text")
+    chosen = chosen.groupBy("doc_id", "toxic", "order").agg(F.min(hashed).alias("least"))
+    chosen = chosen.select("toxic", "order", F.col("least.text").alias("text"))
     return chosen.mapInArrow(run, "toxic int, order bigint, places array<int>")
 
 

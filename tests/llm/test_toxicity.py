@@ -85,3 +85,15 @@ def test_the_sample_is_bounded(spark, most):
 
     docs, labels = corpus(spark, 120, 4)
     assert _training_rows(docs, labels, most).count() == min(most, 120)
+
+
+def test_an_id_that_repeats_is_one_training_row(spark):
+    from feedlake.llm.toxicity import _training_rows
+
+    docs, labels = corpus(spark, 60, 5)
+    other = docs.where("doc_id = 7").selectExpr("doc_id", "concat(text, ' more') AS text")
+    hot = docs.union(other).crossJoin(spark.range(40).select()).where("doc_id = 7")
+    rows = _training_rows(docs.union(hot).repartition(5), labels, 50).collect()
+    assert len(rows) == 50 and len({r.order for r in rows}) == 50
+    again = _training_rows(hot.union(docs).repartition(3), labels, 50).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, again))
