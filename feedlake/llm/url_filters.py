@@ -28,10 +28,10 @@ def host_of(url: str = "url") -> Column:
 
 
 def covering(host: Column) -> Column:
-    """The host and the domains above it that have a dot, longest first."""
+    """The host and all domains above it, down to its last label, longest first."""
     labels = F.split(host, r"\.")
     above = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1))),
+        F.sequence(F.lit(1), F.size(labels)),
         lambda first: F.array_join(F.slice(labels, first, F.size(labels)), "."),
     )
     return F.when(host.isNotNull(), above)

@@ -76,6 +76,17 @@ def test_a_capture_meets_the_entries_of_its_day(spark):
     )
 
 
+def test_a_pattern_of_one_label_covers_its_subdomains(spark):
+    day = D(2024, 1, 2)
+    hosts = ["a.b.example", "b.example", "example", "notexample", "example.org"]
+    entries = [("example", D(2024, 1, 1), "block"), ("b.example", D(2024, 1, 1), "allow")]
+    found = captured(spark, [(f"http://{h}/", day) for h in [*hosts, "c.example"]], entries)
+    block, allow = ("example", "block", True), ("b.example", "allow", False)
+    none = (None, None, False)
+    assert [found[f"http://{h}/", day] for h in hosts] == [allow, allow, block, none, none]
+    assert found["http://c.example/", day] == block
+
+
 def test_no_captures_and_no_entries(spark):
     assert captured(spark, [], [("a.b", D(2024, 1, 1), "block")]) == {}
     found = captured(spark, [("http://a.b", D(2024, 1, 1))], [])
