@@ -61,7 +61,7 @@ STAGES = [
     ("packing", packing),
 ]
 
-# Token ids have no SQL; the stages are tested against brute force.
+# Token ids have no SQL. Tests cover the operators beneath the stages, not the stages and `run`.
 ORACLE_SQL = None
 
 
