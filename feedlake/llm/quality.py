@@ -176,8 +176,11 @@ RULES = (*BASE, odd_words(), symbols(), repeated_lines())
 
 def estimated_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
     """The rules by rejections per second on a sample of `docs`."""
-    short = docs.where(F.length("text") <= SAMPLE_CHARS).select("text")
-    texts = [row.text.encode() for row in short.limit(SAMPLE_ROWS).collect()]
+    # drawn over all rows by a hash of where they are; of a very long text the beginning
+    begin = F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text")
+    drawn = docs.select(begin, F.xxhash64(F.monotonically_increasing_id()).alias("draw"))
+    drawn = drawn.orderBy("draw").limit(SAMPLE_ROWS).select("text")
+    texts = [row.text.encode() for row in drawn.collect()]
     data = np.frombuffer(b"".join(texts), np.uint8)
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
     gain = {}
@@ -206,6 +209,24 @@ def judge(block: Block, order: tuple[Rule, ...], known: dict[str, np.ndarray]) -
     return verdict
 
 
+def first_failed(
+    block: Block, rules: tuple[Rule, ...], order: tuple[Rule, ...], known: dict[str, np.ndarray]
+) -> np.ndarray:
+    """The position in `rules` of the first rule that rejects each row, or -1, judged in `order`.
+
+    Rows that the cascade rejects are also tried by earlier `rules` that it has not come to.
+    """
+    verdict = judge(block, order, known)
+    found = np.array([*map(rules.index, order), -1])[verdict]
+    for k, rule in enumerate(rules):
+        untried = (verdict >= 0) & (verdict < order.index(rule)) & (found > k)
+        if untried.any():
+            left = block.rows(untried)
+            taken = (known[m][untried] if m in known else MEASURES[m](left) for m in rule.measures)
+            found[np.flatnonzero(untried)[rule.rejects(*taken)]] = k
+    return found
+
+
 def quality_cascade(
     docs: DataFrame,
     rules: tuple[Rule, ...] = RULES,
@@ -213,18 +234,18 @@ def quality_cascade(
 ) -> DataFrame:
     """`docs` with `failed_rule` (null: kept) and the asked `measures` of every row.
 
-    A row is rejected if any rule rejects it; `failed_rule` names the first in the order used. A
+    A row is rejected if any rule rejects it; `failed_rule` names the first of `rules`. A
     null or empty text has no words. All columns of `docs` stay; one that is called as an output
     column is replaced. Repeated rows are judged each for itself. No shuffle.
     """
     order = estimated_order(docs, rules)
     own = [StructField("failed_rule", StringType()), *(StructField(m, LongType()) for m in measures)]
-    names = np.array([r.name for r in order] + [None], dtype=object)
+    names = np.array([r.name for r in rules] + [None], dtype=object)
 
     def compute(data: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
         block = Block(data, bounds)
         known = {m: MEASURES[m](block) for m in measures}
-        failed = names[judge(block, order, known)]
+        failed = names[first_failed(block, rules, order, known)]
         return [pa.array(failed, pa.string()), *(pa.array(known[m], pa.int64()) for m in measures)]
 
     return with_columns(docs, own, compute)

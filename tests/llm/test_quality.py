@@ -4,8 +4,9 @@ from collections import Counter
 
 import numpy as np
 
-from feedlake.llm.quality import MEASURES, RULES, SYMBOLS, Block, judge, quality_cascade
+from feedlake.llm.quality import MEASURES, RULES, SYMBOLS, Block, estimated_order, judge, quality_cascade
 
+LONG = " ".join(f"word{i}" for i in range(200))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -49,6 +50,24 @@ def test_the_order_of_rules_changes_no_verdict():
     assert len(verdicts) == 1 and 0 < sum(next(iter(verdicts))) < 203
 
 
+def test_the_failed_rule_is_the_first_given_whatever_the_order(spark, monkeypatch):
+    from feedlake.llm import quality
+
+    texts = ["# $ " * 10, "# $ " * 80, "w" * 2000, "ab cd\n" * 60, LONG, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    want = {"# $ " * 10: "too_short", "# $ " * 80: "repetitive", "w" * 2000: "too_short",
+            "ab cd\n" * 60: "repetitive", LONG: None, "": "too_short"}
+    for order in (RULES, RULES[::-1]):
+        monkeypatch.setattr(quality, "estimated_order", lambda docs, rules, order=order: order)
+        assert {r.text: r.failed_rule for r in quality_cascade(docs).collect()} == want
+
+
+def test_the_sample_is_drawn_over_all_rows(spark):
+    short, bad = " ".join(f"word{i}" for i in range(60)), "# $ " * 80
+    docs = spark.createDataFrame([(short,)] * 600 + [(bad,)] * 1400, "text string").coalesce(1)
+    assert estimated_order(docs)[0].name != "too_short"
+
+
 def test_awkward_rows(awkward, empty):
     rows = quality_cascade(awkward, measures=("n_words",))
     assert rows.columns.count("failed_rule") == 1 and "a.b" in rows.columns
