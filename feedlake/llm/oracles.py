@@ -66,5 +66,59 @@ WITH captures AS (
 SELECT page_id, fetched_on, host, pattern, action,
        coalesce(action = 'block', false) AS blocked
 FROM captures LEFT JOIN deciding USING (page_id)
+""",
+    "op11_filter_audit": r"""
+WITH split AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), first AS (
+    SELECT text, min(doc_id) AS least FROM split GROUP BY text
+), marks AS (
+    SELECT doc_id, max(CAST(quality = 1 AS INTEGER)) AS good,
+           max(CAST(toxic = 1 AS INTEGER)) AS toxic
+    FROM labels GROUP BY doc_id
+), judged AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           (len(words) < 200)::INTEGER
+           + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INTEGER
+           + 4 * (100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text))::INTEGER
+           + 8 * regexp_matches(text, '[#$%&*|]')::INTEGER
+           + 16 * (least IS NOT NULL AND (split.doc_id IS NULL OR split.doc_id > least))::INTEGER
+               AS bits
+    FROM split JOIN first USING (text) LEFT JOIN marks ON split.doc_id = marks.doc_id
+), cells AS (
+    SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+    FROM judged GROUP BY part, bits
+), letters(letter, bit) AS (
+    VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), orders AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order,
+           [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+    SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS own,
+           coalesce(list_sum(bits[1:step - 1]), 0) AS before
+    FROM orders, range(1, 6) AS t(step)
+), counted AS (
+    SELECT part, filter_order, step, own,
+           CAST(sum(n) FILTER (cells.bits & CAST(before + own AS INTEGER) = 0) AS BIGINT) AS kept,
+           CAST(sum(n) FILTER (cells.bits & own > 0 AND cells.bits & CAST(before AS INTEGER) = 0)
+               AS BIGINT) AS removed,
+           CAST(sum(n) FILTER (cells.bits & own > 0 AND cells.bits & CAST(before AS INTEGER) > 0)
+               AS BIGINT) AS redundant,
+           CAST(sum(n) FILTER (cells.bits = own) AS BIGINT) AS unique_fails,
+           CAST(sum(good) FILTER (cells.bits & own > 0
+               AND cells.bits & CAST(before AS INTEGER) = 0) AS BIGINT) AS good_lost,
+           CAST(sum(toxic) FILTER (cells.bits & own > 0
+               AND cells.bits & CAST(before AS INTEGER) = 0) AS BIGINT) AS toxic_lost
+    FROM cells, steps GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed,
+       coalesce(redundant, 0) AS redundant, coalesce(unique_fails, 0) AS unique_fails,
+       coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost,
+       CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
+FROM counted
 """,
 }

@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedlake.llm.decontaminate import benchmark_hits
+from feedlake.llm.filter_audit import filter_audit
 from feedlake.llm.line_dedup import without_boilerplate
 from feedlake.llm.near_duplicates import near_duplicates
 from feedlake.llm.oracles import ORACLES
 from feedlake.llm.packing import pack, pieces
 from feedlake.llm.quality import RULES, quality_cascade
-
 from feedlake.llm.suffix_dedup import without_repeats
 from feedlake.llm.token_counts import section_tokens
 from feedlake.llm.toxicity import fit, score
@@ -144,6 +144,12 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of every order of five filters does to the documents of each language."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit(docs, table(spark, sf_dir, "labels"), part="lang")
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -157,4 +163,5 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_filter_audit": op11_filter_audit,
 }
