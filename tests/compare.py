@@ -44,6 +44,9 @@ def same(spark_frame, sql: str, connection) -> str | None:
     for name, kind in spark_frame.dtypes:
         if expected[kind] != types[name]:
             return f"{name}: {kind} against {types[name]}"
+        if kind in ("bigint", "int"):  # with nulls among them pandas would make floats of them
+            ours[name] = ours[name].astype("Int64")
+            theirs[name] = theirs[name].astype("Int64")
     left, right = _rows(ours), _rows(theirs)
     if len(left) != len(right):
         return f"{len(left)} rows != {len(right)}"
