@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake.llm.copied_passages import without_copied_passages
 from feedlake.llm.decontaminate import benchmark_hits
 from feedlake.llm.filter_audit import filter_audit
 from feedlake.llm.line_dedup import without_boilerplate
@@ -151,6 +152,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(docs, table(spark, sf_dir, "labels"), part="lang")
 
 
+def op12_copied_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document in a passage of 50 words that an earlier document holds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return without_copied_passages(docs).drop("kept")
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents, the more frequent word it is a variant of, and that one's root."""
     return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -170,5 +177,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
     "op11_filter_audit": op11_filter_audit,
+    "op12_copied_passages": op12_copied_passages,
     "op13_spelling_variants": op13_spelling_variants,
 }
