@@ -84,8 +84,12 @@ def runs(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
 _RUN = "array<struct<start: int, windows: int, print: bigint, piece: binary>>"
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    """Per row: id, text's hash, number of words, digest of all words, and runs."""
+def _marked(docs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Per row: id, text's hash, number of words, digest of all words, and runs.
+
+    `several` is false where the text is surely none of the `copies`.
+    """
+    known = bitmap(copies.select(F.xxhash64("text_hash").alias("h")), "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in blocks(batches, "text"):
@@ -111,16 +115,19 @@ def _marked(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(
                 [
-                    rows.column("doc_id"), rows.column("text_hash"), pa.array(words.counts),
-                    pa.array(digests),
+                    rows.column("doc_id"), rows.column("text_hash"),
+                    pa.array(may_hold(known, rows.column("h").to_numpy().view(np.uint64))),
+                    pa.array(words.counts), pa.array(digests),
                     pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), parts),
                 ],
-                names=["doc_id", "text_hash", "n_words", "sha256", "runs"],
+                names=["doc_id", "text_hash", "several", "n_words", "sha256", "runs"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(
-        run, f"doc_id {kind}, text_hash string, n_words bigint, sha256 string, runs {_RUN}"
+    return docs.withColumn("h", F.xxhash64("text_hash")).mapInArrow(
+        run,
+        f"doc_id {kind}, text_hash string, several boolean, n_words bigint, sha256 string, "
+        f"runs {_RUN}",
     )
 
 
@@ -135,9 +142,10 @@ def _shared_runs(marked: DataFrame, copies: DataFrame) -> DataFrame:
 
     Of the `copies` of a text only those with the first id count.
     """
-    apart = marked.where(F.size("runs") > 0).select("doc_id", "text_hash", "runs")
-    apart = apart.join(copies, "text_hash", "left").where(~_later("first_id")).drop("first_id")
-    apart = settle(apart, "runs")
+    having = marked.where(F.size("runs") > 0)
+    several = having.where("several").join(copies, "text_hash", "left").where(~_later("first_id"))
+    apart = having.where("not several").unionByName(several.drop("first_id"))
+    apart = apart.select("doc_id", "text_hash", "runs")
     each = apart.select("doc_id", F.explode("runs.print").alias("print"))
     held = each.groupBy("print").agg(
         F.min("doc_id").alias("least"),
@@ -170,10 +178,14 @@ def _shared_runs(marked: DataFrame, copies: DataFrame) -> DataFrame:
     return some.join(held, "print", "left_semi")
 
 
+def _own() -> Column:
+    """One key of a row's id and text; as parts of a struct, ids that are null are equal."""
+    return F.struct("doc_id", "text_hash").alias("own")
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """`wanted(doc_id, text_hash, ...)` with the `text`; `docs` has a `text_hash` as well."""
-    key = F.xxhash64("doc_id", "text_hash")
-    known = bitmap(wanted.select(key.alias("h")), "h")
+    """`wanted(own, ...)` with `doc_id`, `text_hash` and `text`."""
+    known = bitmap(wanted.select(F.xxhash64("own").alias("h")), "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,16 +193,14 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield batch.filter(pa.array(may_hold(known, hashes))).drop_columns(["h"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.withColumn("h", key).mapInArrow(
+    found = docs.withColumn("h", F.xxhash64(_own())).mapInArrow(
         run, f"doc_id {kind}, text_hash string, text string"
     )
-    found = found.toDF("own_id", "own_hash", "text")
-    same = (F.col("text_hash") == F.col("own_hash")) & F.col("doc_id").eqNullSafe(F.col("own_id"))
-    return wanted.join(found, same).drop("own_id", "own_hash")
+    return wanted.join(found.withColumn("own", _own()), "own")
 
 
 def _cut_outs(texts: DataFrame) -> DataFrame:
-    """`print, piece, doc_id, body`: the words that the windows of each of a text's `cuts` reach."""
+    """`print, piece, large, doc_id, body`: the words that windows of each of a text's `cuts` reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,16 +214,16 @@ def _cut_outs(texts: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        cuts.field("print"), cuts.field("piece"),
+                        cuts.field("print"), cuts.field("piece"), cuts.field("large"),
                         batch.column("doc_id").take(pa.array(np.full(len(cuts), i))),
                         pa.array(bodies, pa.binary()),
                     ],
-                    names=["print", "piece", "doc_id", "body"],
+                    names=["print", "piece", "large", "doc_id", "body"],
                 )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return texts.select("doc_id", "text", "cuts").mapInArrow(
-        run, f"print bigint, piece binary, doc_id {kind}, body binary"
+        run, f"print bigint, piece binary, large boolean, doc_id {kind}, body binary"
     )
 
 
@@ -349,7 +359,8 @@ def _parsed(cut: DataFrame, shards: int) -> DataFrame:
             }
         )
 
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("print"), F.lit(shards)))
+    shard = F.pmod(F.xxhash64("print"), F.lit(shards)).alias("shard")
+    dealt = cut.select("print", "piece", "doc_id", "body", shard)
     return dealt.groupBy("shard").applyInPandas(
         lambda frame: run(frame), "print bigint, piece binary, begin bigint, end bigint"
     )
@@ -388,15 +399,14 @@ def copied_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows of `docs(doc_id, text, text_hash)` with digests, and the copied spans of words.
 
     The first frame has `doc_id, text_hash, n_words, sha256, copied` for every row; `copied` says
-    that a row with a smaller id has the same text. The second has `doc_id, text_hash, spans` for the
-    others that hold copied windows: sorted spans of words, which may overlap.
+    that a row with a smaller id has the same text. The second has `own, spans` for the others that
+    hold copied windows: `own` has the row's id and text's hash, and `spans` are sorted spans of
+    words, which may overlap.
     """
-    marked = settle(_marked(docs), "marked")
-    same = marked.groupBy("text_hash").agg(
-        F.min("doc_id").alias("first_id"), F.count("*").alias("n")
-    )
+    same = docs.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
     copies = settle(same.where("n > 1").drop("n"), "copies")
-    rows = marked.drop("runs").join(copies, "text_hash", "left")
+    marked = settle(_marked(docs, copies), "marked")
+    rows = marked.drop("runs", "several").join(copies, "text_hash", "left")
     rows = rows.withColumn("copied", _later("first_id")).drop("first_id")
 
     shared = settle(_shared_runs(marked, copies), "shared")
@@ -406,17 +416,15 @@ def copied_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.count("*").alias("pieces"), F.sum(F.col("home.windows") + SPAN).alias("size")
     )
     groups = settle(groups.where("pieces > 1").drop("pieces"), "groups")
-    homes = pieces.join(groups.select("print"), "print", "left_semi")
-    wanted = homes.select("home.*", "print", "piece").groupBy("doc_id", "text_hash").agg(
-        F.collect_list(F.struct("start", "windows", "print", "piece")).alias("cuts")
+    large = F.col("size") > BLOCK_WORDS
+    shards = 1 + (groups.where(~large).agg(F.sum("size")).first()[0] or 0) // BLOCK_WORDS
+    homes = pieces.join(groups, "print").select("home.*", "print", "piece", large.alias("large"))
+    wanted = homes.groupBy(_own()).agg(
+        F.collect_list(F.struct("start", "windows", "print", "piece", "large")).alias("cuts")
     )
     cut = settle(_cut_outs(_texts(docs, settle(wanted, "wanted"))), "cut")
-
-    small = groups.where(F.col("size") <= BLOCK_WORDS)
-    shards = 1 + (small.agg(F.sum("size")).first()[0] or 0) // BLOCK_WORDS
-    parsed = _parsed(cut.join(small.select("print"), "print", "left_semi"), shards)
-    large = groups.where(F.col("size") > BLOCK_WORDS).select("print")
-    parsed = parsed.unionByName(_single_windows(cut.join(large, "print", "left_semi")))
+    parsed = settle(_parsed(cut.where("not large"), shards), "parsed")
+    parsed = parsed.unionByName(settle(_single_windows(cut.where("large")), "parsed"))
     parsed = parsed.groupBy("print", "piece").agg(
         F.collect_list(F.struct("begin", "end")).alias("inner")
     )
@@ -438,14 +446,14 @@ def copied_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         shared.join(answers, ["print", "piece"])
         .select("doc_id", "text_hash", placed.alias("spans"))
         .where("spans is not null")
-        .groupBy("doc_id", "text_hash")
+        .groupBy(_own())
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("spans")))).alias("spans"))
     )
     return rows, settle(spans, "spans")
 
 
 def _cleaned(texts: DataFrame) -> DataFrame:
-    """`own_id, own_hash` with the number of words in `spans` and what is left without them."""
+    """`own` with the number of words in `spans` and what is left without them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -464,16 +472,15 @@ def _cleaned(texts: DataFrame) -> DataFrame:
                 digests.append(hashlib.sha256(body).hexdigest())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("text_hash"),
-                    pa.array(removed, pa.int64()), pa.array(digests, pa.string()),
+                    batch.column("own"), pa.array(removed, pa.int64()), pa.array(digests, pa.string()),
                     pa.array(kept, pa.large_string()).cast(pa.string()),
                 ],
-                names=["own_id", "own_hash", "removed", "digest", "kept"],
+                names=["own", "removed", "digest", "kept"],
             )
 
-    kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.select("doc_id", "text_hash", "text", "spans").mapInArrow(
-        run, f"own_id {kind}, own_hash string, removed bigint, digest string, kept string"
+    own = texts.schema["own"].dataType.simpleString()
+    return texts.select("own", "text", "spans").mapInArrow(
+        run, f"own {own}, removed bigint, digest string, kept string"
     )
 
 
@@ -488,10 +495,8 @@ def without_copied_passages(docs: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     texts = texts.withColumn("text_hash", text_hash()).select("doc_id", "text_hash", "text")
     rows, spans = copied_spans(texts)
-    once = _texts(texts, spans).dropDuplicates(["doc_id", "text_hash"])
-    cleaned = settle(_cleaned(once), "cleaned")
-    same = (F.col("text_hash") == F.col("own_hash")) & F.col("doc_id").eqNullSafe(F.col("own_id"))
-    joined = rows.join(cleaned, same, "left")
+    cleaned = settle(_cleaned(_texts(texts, spans).dropDuplicates(["own"])), "cleaned")
+    joined = rows.withColumn("own", _own()).join(cleaned, "own", "left")
     gone = F.col("copied") & (F.col("n_words") >= SPAN)
     return joined.select(
         "doc_id",
