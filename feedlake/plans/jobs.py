@@ -55,7 +55,6 @@ def replace_from_stage(
     table: FeedTable,
     start: datetime.date,
     stop: datetime.date | None = None,
-    rewrite_years: bool = False,
 ) -> LoadReport:
     """Type the staged rows and replace the table's rows of the window by them, in one pass."""
     create_if_absent(spark, table)
@@ -70,7 +69,7 @@ def replace_from_stage(
     }
     marked = marked_rows(read_for_load(spark, stage))
     counted = replace_counted(
-        spark, table, marked, start, stop, rewrite_years, wanted=~corrupt, metrics=metrics
+        spark, table, marked, start, stop, wanted=~corrupt, metrics=metrics
     )
     return LoadReport(**counted)
 
@@ -107,19 +106,18 @@ def load_feed(
     stage: str,
     table: FeedTable,
     window: tuple[datetime.date, datetime.date | None] | None = None,
-    rewrite_years: bool = False,
 ) -> LoadReport:
     """Stage the pulled wire rows as JSON, create the table if absent, and load the stage.
 
     A backfill is the same call with more rows: one job, however many days it spans. Without a
     `window` the rows are appended; with one they replace the table's rows of it, and a window
-    whose stop is None has no end. See `replace_window` for `rewrite_years`.
+    whose stop is None has no end.
     """
     create_if_absent(spark, table)
     write_stage(pulled, stage)
     if window is None:
         return append_stage(spark, stage, table)
-    return replace_from_stage(spark, stage, table, *window, rewrite_years=rewrite_years)
+    return replace_from_stage(spark, stage, table, *window)
 
 
 def stage_measure(df: DataFrame, by: str, measure: Column, name: str, path: str) -> int:

@@ -3,12 +3,22 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake import files
 from feedlake.operators.ranges import day_range, in_window
+from feedlake.plans.swaps import (
+    files_with,
+    finish_swaps,
+    partition_of,
+    rows_of,
+    swap_files,
+    table_location,
+)
 from feedlake.schema import BATCH_COLUMN, TYPED_SCHEMA, YEAR_COLUMN
 
 
@@ -83,14 +93,17 @@ def arranged(table: FeedTable, rows: DataFrame) -> DataFrame:
     """Rows shuffled so that a partition is written by few tasks, and a big one by several.
 
     A rebalance, unlike a repartition by the same column, lets Spark cut a day or year that
-    holds much of the data into pieces of the advisory size and merge small ones. An Iceberg
-    table asks Spark for its own shuffle and order, so its rows are left as they are.
+    holds much of the data into pieces of the advisory size and merge small ones. A year is dealt
+    by month, so that the files of a large year hold few months each, and replacing days touches
+    few files. An Iceberg table asks Spark for its own shuffle and order, so its rows are left as
+    they are.
     """
     if table.is_iceberg:
         return rows
-    if table.has_year_column:
-        rows = rows.withColumn(YEAR_COLUMN, F.year("date"))
-    return rows.hint("rebalance", table.partition_column)
+    if not table.has_year_column:
+        return rows.hint("rebalance", table.partition_column)
+    dated = rows.withColumn(YEAR_COLUMN, F.year("date")).withColumn("_month", F.trunc("date", "month"))
+    return dated.hint("rebalance", YEAR_COLUMN, "_month").drop("_month")
 
 
 def sorted_for_write(table: FeedTable, rows: DataFrame) -> DataFrame:
@@ -145,16 +158,15 @@ def replace_window(
     rows: DataFrame,
     start: datetime.date,
     stop: datetime.date | None = None,
-    rewrite_years: bool = False,
 ) -> int:
     """Make the table's rows of `[start, stop)` those of `rows` in it; returns how many.
 
     Running it again changes nothing. Days of the window without new rows end up empty; without a
-    `stop` the window has no end. Rows without a date belong to no window and are not loaded. A
-    Parquet table by year is refused unless `rewrite_years` is set, as all of each year that the
-    window touches is written again.
+    `stop` the window has no end. Rows without a date belong to no window and are not loaded. Of a
+    Parquet table by year only the files that hold rows of the window are written again, without
+    those; all others stay as they are.
     """
-    return replace_counted(spark, table, rows, start, stop, rewrite_years)["n_rows"]
+    return replace_counted(spark, table, rows, start, stop)["n_rows"]
 
 
 def replace_counted(
@@ -163,7 +175,6 @@ def replace_counted(
     rows: DataFrame,
     start: datetime.date,
     stop: datetime.date | None = None,
-    rewrite_years: bool = False,
     wanted: Column | None = None,
     metrics: dict[str, Column] | None = None,
 ) -> dict:
@@ -175,8 +186,8 @@ def replace_counted(
     """
     if stop is not None and stop <= start:
         raise ValueError(f"no days from {start} to {stop}")
-    if table.has_year_column and not rewrite_years:
-        raise ValueError(f"{table.name} is by year: set rewrite_years to write whole years again")
+    if table.batched:
+        raise ValueError(f"{table.name} is loaded in batches; its windows cannot be replaced")
     inside = F.coalesce(day_range(start, stop), F.lit(False))
     new = rows.withColumn("_new", inside if wanted is None else inside & wanted)
     asked = {"n_rows": F.count_if("_new"), **(metrics or {})}
@@ -186,7 +197,7 @@ def replace_counted(
         ready = sorted_for_write(table, ready.select(*TYPED_SCHEMA.names))
         ready.writeTo(table.name).overwrite(day_range(start, stop))
         return counted.get
-    _require_managed(spark, table)
+    require_managed(spark, table)
     if table.by == "day":
         return _replace_days(spark, table, new, asked, start, stop)
     return _replace_in_years(spark, table, new, asked, start, stop)
@@ -196,76 +207,145 @@ def _observed(rows: DataFrame, counted: Observation, metrics: dict[str, Column])
     return rows.observe(counted, *[m.alias(name) for name, m in metrics.items()])
 
 
-def _require_managed(spark: SparkSession, table: FeedTable) -> None:
+def require_managed(spark: SparkSession, table: FeedTable) -> None:
     # dropping a partition of an external table would leave its files for a later append to find
     if spark.catalog.getTable(table.name).tableType != "MANAGED":
-        raise ValueError(f"{table.name} is not a managed table; its windows cannot be replaced")
+        raise ValueError(f"{table.name} is not a managed table; its rows cannot be replaced")
 
 
 def _replace_days(spark, table, new, metrics, start, stop) -> dict:
     counted = Observation()
     days = F.collect_set(F.when(F.col("_new"), F.col("date")))
     ready = _observed(arranged(table, new), counted, {**metrics, "_days": days}).where("_new")
-    overwrite_partitions(spark, table, ready)
+    overwrite_files(spark, table, ready)
     result = counted.get
-    written = {day.isoformat() for day in result.pop("_days")}
+    written = set(result.pop("_days"))
+    add_partitions(spark, table, [(day,) for day in written])
+    names = {day.isoformat() for day in written}
     end = stop.isoformat() if stop else "9999-99"
-    existing = _partition_values(spark, table)
-    stale = [d for d in existing if start.isoformat() <= d < end and d not in written]
-    _drop_partitions(spark, table, stale)
+    existing = partition_values(spark, table)
+    stale = [d for d, *_ in existing if start.isoformat() <= d < end and d not in names]
+    drop_partitions(spark, table, [(day,) for day in stale])
     return result
 
 
 def _replace_in_years(spark, table, new, metrics, start, stop) -> dict:
-    """A year partition also holds days outside the window, which are written back with it.
+    """The files that hold rows of the window are written again without these, and the new rows."""
+    finish_replacements(spark, table)
+    current = spark.table(table.name).where(F.col(YEAR_COLUMN) >= start.year)
+    if stop is not None:
+        last = stop - datetime.timedelta(days=1)
+        current = current.where(F.col(YEAR_COLUMN) <= last.year)
+    inside = F.coalesce(day_range(start, stop), F.lit(False))
+    touched = files_with(current.where(inside))
+    kept = rows_of(current, touched).where(~inside)
+    return rewrite(spark, table, touched, kept, new, metrics)
+
 
-    A dynamic overwrite may read what it replaces: it moves its files in when all are written.
+def rewrite(
+    spark: SparkSession,
+    table: FeedTable,
+    touched: list[str],
+    kept: DataFrame,
+    new: DataFrame,
+    metrics: dict[str, Column],
+) -> dict:
+    """Let the files `touched` go, for their rows `kept` and those rows of `new` with `_new` set.
+
+    Returns `metrics`, aggregates over all of `new`, taken in the stage that writes. Partitions
+    that are new are added to the catalog by name, and those left without a file are dropped.
     """
-    existing = {int(y) for y in _partition_values(spark, table) if y.isdigit()}
-    last = (stop - datetime.timedelta(days=1)).year if stop else max(existing, default=start.year)
-    current = spark.table(table.name).where(F.col(YEAR_COLUMN).between(start.year, last))
-    inside = F.coalesce(day_range(start, stop), F.lit(False))
-    counted = Observation()
-    kept = F.col("_kept")
+    column, stays = table.partition_column, F.col("_kept")
     merged = (
-        current.where(~inside).drop(YEAR_COLUMN)
+        kept.select(*TYPED_SCHEMA.names)
         .withColumn("_kept", F.lit(True))
         .unionByName(new.withColumn("_kept", F.lit(False)), allowMissingColumns=True)
-    )
-    # a kept row has nulls for the marks of new ones, which no aggregate counts
-    years = F.collect_set(F.when(kept | F.col("_new"), F.col(YEAR_COLUMN)))
-    ready = _observed(arranged(table, merged), counted, {**metrics, "_years": years})
-    overwrite_partitions(spark, table, ready.where(kept | F.col("_new")))
+    )
+    # a kept row has nulls for the marks of new ones, which no aggregate counts; a null partition
+    # is noted as such
+    written = F.collect_set(F.when(stays | F.col("_new"), F.struct(F.col(column).alias("value"))))
+    counted = Observation()
+    ready = _observed(arranged(table, merged), counted, {**metrics, "_written": written})
+    ready = sorted_for_write(table, ready.where(stays | F.col("_new")))
+    location = table_location(spark, table.name)
+    columns = [F.col(f.name).cast(f.dataType) for f in spark.table(table.name).schema]
+    swap_files(spark, location, touched, ready.select(*columns), table.partition_columns)
     result = counted.get
-    written = set(result.pop("_years"))
-    gone = [y for y in existing if start.year <= y <= last and y not in written]
-    _drop_partitions(spark, table, [str(y) for y in gone])
+    add_partitions(spark, table, [(row["value"],) for row in result.pop("_written")])
+    _drop_emptied(spark, table, location, touched)
+    spark.catalog.refreshTable(table.name)
     return result
 
 
-def overwrite_partitions(spark: SparkSession, table: FeedTable, ready: DataFrame) -> None:
+def _drop_emptied(spark, table, location, gone: Iterable[str]) -> None:
+    """Drop the partitions of files that went, where no file is left."""
+    column = table.partition_column
+    values = {partition_of(path, column) for path in gone} - {None}
+    emptied = [
+        value
+        for value in values
+        if not files.names_in(spark, files.child(spark, location, f"{column}={value}"))
+    ]
+    drop_partitions(spark, table, [(value,) for value in emptied])
+
+
+def finish_replacements(spark: SparkSession, table: FeedTable) -> None:
+    """Bring a replacement that was broken off while files were swapped to its end.
+
+    Every replacement and upsert does so first. Partitions that it had not told the catalog of are
+    found by listing, which is needed after such a break only.
+    """
+    if finish_swaps(spark, table_location(spark, table.name)):
+        spark.catalog.recoverPartitions(table.name)
+        spark.catalog.refreshTable(table.name)
+
+
+def overwrite_files(spark: SparkSession, table: FeedTable, ready: DataFrame) -> None:
     """Overwrite exactly the partitions that `ready` has rows for, whatever the session's mode.
 
     An insert into a table takes the mode from the session; a write of files takes it as an option
-    of its own. So the files are written where the table keeps them, and the catalog is told.
+    of its own. So the files are written where the table keeps them, and the caller tells the
+    catalog which partitions these are: nothing lists the table.
     """
-    described = spark.sql(f"DESCRIBE EXTENDED {table.name}").where("col_name = 'Location'")
-    location = described.select("data_type").first()[0]
     columns = [F.col(f.name).cast(f.dataType) for f in spark.table(table.name).schema]
     rows = sorted_for_write(table, ready).select(*columns)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*table.partition_columns).parquet(location)
-    spark.catalog.recoverPartitions(table.name)
+    writer.partitionBy(*table.partition_columns).parquet(table_location(spark, table.name))
+
+
+# Partitions in one statement to the catalog.
+_AT_ONCE = 500
+
+
+def _specs(table: FeedTable, partitions: list[tuple]) -> Iterable[str]:
+    """Partition specs in SQL, as many at a time as one statement takes."""
+
+    def value(v) -> str:
+        return "null" if v is None or v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'"
+
+    specs = [
+        "PARTITION ("
+        + ", ".join(f"{c}={value(v)}" for c, v in zip(table.partition_columns, p, strict=True))
+        + ")"
+        for p in partitions
+    ]
+    for first in range(0, len(specs), _AT_ONCE):
+        yield " ".join(specs[first : first + _AT_ONCE]), ", ".join(specs[first : first + _AT_ONCE])
+
+
+def add_partitions(spark: SparkSession, table: FeedTable, partitions: list[tuple]) -> None:
+    """Tell the catalog of written partitions, by name, and readers of their new files."""
+    for spaced, _ in _specs(table, partitions):
+        spark.sql(f"ALTER TABLE {table.name} ADD IF NOT EXISTS {spaced}")
     spark.catalog.refreshTable(table.name)
 
 
-def _partition_values(spark: SparkSession, table: FeedTable) -> list[str]:
-    """Values of the partition column, from the catalog: one per day or year."""
-    shown = spark.sql(f"SHOW PARTITIONS {table.name}").collect()
-    return [row.partition.split("=", 1)[1] for row in shown]
+def drop_partitions(spark: SparkSession, table: FeedTable, partitions: list[tuple]) -> None:
+    for _, listed in _specs(table, partitions):
+        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {listed}")
 
 
-def _drop_partitions(spark: SparkSession, table: FeedTable, values: list[str]) -> None:
-    if values:
-        specs = ", ".join(f"PARTITION ({table.partition_column}='{v}')" for v in values)
-        spark.sql(f"ALTER TABLE {table.name} DROP IF EXISTS {specs}")
+def partition_values(spark: SparkSession, table: FeedTable) -> list[tuple[str, ...]]:
+    """Values of the partition columns as text, from the catalog: one per partition."""
+    shown = spark.sql(f"SHOW PARTITIONS {table.name}").collect()
+    return [tuple(x.split("=", 1)[1] for x in row.partition.split("/")) for row in shown]

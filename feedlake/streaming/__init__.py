@@ -1,3 +1,8 @@
-from feedlake.streaming.incremental import load_batch, load_new_files, report_new_rejects
+from feedlake.streaming.incremental import (
+    compact_batches,
+    load_batch,
+    load_new_files,
+    report_new_rejects,
+)
 
-__all__ = ["load_batch", "load_new_files", "report_new_rejects"]
+__all__ = ["compact_batches", "load_batch", "load_new_files", "report_new_rejects"]

@@ -1,13 +1,26 @@
-"""Loading a stage as it grows: every staged file is loaded once, however often this runs."""
+"""Loading a stage as it grows: every staged file is loaded once, however often this runs.
+
+A batch's rows lie in partitions of its own, one per day, so that a batch that is repeated replaces
+what it wrote. `compact_batches` merges a day's partitions of batches that will not be repeated.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from feedlake import files
 from feedlake.operators.typed import rejects
 from feedlake.plans.jobs import LoadReport, marked_rows
-from feedlake.plans.tables import FeedTable, arranged, create_if_absent, overwrite_partitions
+from feedlake.plans.tables import (
+    FeedTable,
+    add_partitions,
+    arranged,
+    create_if_absent,
+    drop_partitions,
+    overwrite_files,
+    partition_values,
+)
 from feedlake.schema import BATCH_COLUMN, WIRE_SCHEMA
 from feedlake.sources.staged import staged_schema
 
@@ -31,9 +44,78 @@ def load_batch(table: FeedTable, wire: DataFrame, batch: int) -> LoadReport:
         F.count_if(~F.col("_corrupt")).alias("n_rows"),
         F.coalesce(F.sum("_bad"), F.lit(0)).alias("n_bad_values"),
         F.count_if("_corrupt").alias("n_corrupt_lines"),
+        F.collect_set(F.when(~F.col("_corrupt"), F.struct("date"))).alias("_days"),
     )
-    overwrite_partitions(wire.sparkSession, table, ready.where(~F.col("_corrupt")))
-    return LoadReport(**counted.get)
+    spark = wire.sparkSession
+    overwrite_files(spark, table, ready.where(~F.col("_corrupt")))
+    found = counted.get
+    # the batch's own partitions, by name: what the table held before is not looked at
+    add_partitions(spark, table, [(row["date"], batch) for row in found.pop("_days")])
+    return LoadReport(**found)
+
+
+def merged_number(batch: int) -> int:
+    """The number of a partition that holds all batches up to `batch`; it is below zero."""
+    return -1 - batch
+
+
+def _covers(number: int) -> int:
+    """The last batch that a partition's number stands for."""
+    return number if number >= 0 else -1 - number
+
+
+def last_committed(spark: SparkSession, checkpoint: str) -> int | None:
+    """The last batch that a checkpoint has done; no batch up to it is ever repeated."""
+    names = files.names_in(spark, files.child(spark, checkpoint, "commits"))
+    return max((int(name) for name in names if name.isdigit()), default=None)
+
+
+def compact_batches(
+    spark: SparkSession, table: FeedTable, checkpoint: str, most: int = 1
+) -> int:
+    """Merge the partitions of every day that has over `most` of them; returns how many days.
+
+    Only batches that `checkpoint` has committed are merged, as others may be repeated. A merged
+    partition's number says up to which batch it holds the day's rows. It is written whole, then
+    added to the catalog, then those that it holds are dropped; if that breaks off, the next call
+    drops them. In between a reader may see rows twice: Parquet tables have no snapshots.
+    """
+    last = last_committed(spark, checkpoint)
+    if last is None:
+        return 0
+    days: dict[str, list[int]] = {}
+    for day, number in partition_values(spark, table):
+        if _covers(int(number)) <= last:
+            days.setdefault(day, []).append(int(number))
+    _drop_merged(spark, table, days)
+    large = {day: numbers for day, numbers in days.items() if len(numbers) > most}
+    if not large:
+        return 0
+    null = "__HIVE_DEFAULT_PARTITION__"
+    named = F.col("date").isin([day for day in large if day != null])
+    chosen = named | F.col("date").isNull() if null in large else named
+    done = F.when(F.col(BATCH_COLUMN) < 0, -1 - F.col(BATCH_COLUMN)).otherwise(F.col(BATCH_COLUMN))
+    rows = spark.table(table.name).where(chosen & (done <= last))
+    into = merged_number(last)
+    merged = arranged(table, rows.withColumn(BATCH_COLUMN, F.lit(into).cast("long")))
+    # the catalog names a table's partitions, so a folder that it does not name is not read
+    overwrite_files(spark, table, merged)
+    add_partitions(spark, table, [(day, into) for day in large])
+    _drop_merged(spark, table, {day: [*numbers, into] for day, numbers in large.items()})
+    spark.catalog.refreshTable(table.name)
+    return len(large)
+
+
+def _drop_merged(spark: SparkSession, table: FeedTable, days: dict[str, list[int]]) -> None:
+    """Drop every partition whose rows its day's last merged one holds; `days` keeps the others."""
+    gone = []
+    for day, numbers in days.items():
+        merged = [n for n in numbers if n < 0]
+        upto = max(map(_covers, merged), default=-1)
+        held = [n for n in numbers if _covers(n) <= upto and n != merged_number(upto)]
+        gone += [(day, n) for n in held]
+        days[day] = [n for n in numbers if n not in held]
+    drop_partitions(spark, table, gone)
 
 
 def load_new_files(
@@ -42,11 +124,13 @@ def load_new_files(
     table: FeedTable,
     checkpoint: str,
     max_files: int | None = None,
+    most_partitions: int | None = None,
 ) -> LoadReport:
     """Load the files staged since the last run into a `batched` table; returns what they held.
 
     Progress is kept in `checkpoint`, so a run that fails can be started again: the batch that it
-    was at is repeated under the same number. `max_files` bounds the files of one batch.
+    was at is repeated under the same number. `max_files` bounds the files of one batch. With
+    `most_partitions`, days that have more are compacted at the end: see `compact_batches`.
     """
     if not table.batched:
         raise ValueError(f"{table.name} keeps no batch numbers")
@@ -57,6 +141,8 @@ def load_new_files(
     )
     stream = stream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     stream.start().awaitTermination()
+    if most_partitions is not None:
+        compact_batches(spark, table, checkpoint, most_partitions)
     return LoadReport(
         sum(r.n_rows for r in reports),
         sum(r.n_bad_values for r in reports),

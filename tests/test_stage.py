@@ -103,10 +103,10 @@ def test_a_windowed_load_accounts_for_every_line(spark, tmp_path, database, by):
     table = FeedTable(f"{database}.t", by)
     window = datetime.date(2024, 1, 1), datetime.date(2024, 1, 8)
     for _ in range(2):
-        report = replace_from_stage(spark, str(stage), table, *window, rewrite_years=True)
+        report = replace_from_stage(spark, str(stage), table, *window)
         assert report == LoadReport(2, 3, 1, n_without_date=2, n_outside_window=1)
         assert spark.table(table.name).count() == 2
-    open_report = replace_from_stage(spark, str(stage), table, window[0], rewrite_years=True)
+    open_report = replace_from_stage(spark, str(stage), table, window[0])
     assert (open_report.n_rows, open_report.n_outside_window) == (3, 0)
 
 

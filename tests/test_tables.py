@@ -13,6 +13,8 @@ from feedlake.plans import (
     read_window,
     replace_window,
 )
+from feedlake.plans import swaps
+from feedlake.plans.tables import finish_replacements
 from feedlake.schema import TYPED_SCHEMA, WIRE_SCHEMA
 
 D = datetime.date
@@ -107,7 +109,7 @@ def test_replacing_a_window_is_repeatable_and_leaves_the_rest(spark, database, b
     new = rows_on(spark, *days, vtoll=9)
     for _ in range(2):
         window = D(2023, 12, 31), D(2024, 1, 2)
-        assert replace_window(spark, table, new, *window, rewrite_years=True) == 2
+        assert replace_window(spark, table, new, *window) == 2
         assert content(spark, table) == [(days[0], 1), (days[1], 9), (days[2], 9), (days[3], 1)]
 
 
@@ -116,7 +118,7 @@ def test_days_without_new_rows_end_up_empty(spark, database, by):
     days = [D(2023, 12, 31), D(2024, 1, 1), D(2024, 1, 2), D(2024, 1, 3)]
     table = made(spark, database, by, *days)
     new = rows_on(spark, D(2024, 1, 2), vtoll=9)
-    replace_window(spark, table, new, D(2023, 12, 31), D(2024, 1, 3), rewrite_years=True)
+    replace_window(spark, table, new, D(2023, 12, 31), D(2024, 1, 3))
     assert content(spark, table) == [(D(2024, 1, 2), 9), (D(2024, 1, 3), 1)]
     append(spark, table, rows_on(spark, D(2024, 1, 1)))
     assert spark.table(table.name).where("date = DATE'2024-01-01'").count() == 1
@@ -126,10 +128,10 @@ def test_days_without_new_rows_end_up_empty(spark, database, by):
 def test_replacing_with_nothing_empties_the_window(spark, database, by):
     table = made(spark, database, by, D(2023, 5, 1), None)
     year = D(2023, 1, 1), D(2024, 1, 1)
-    assert replace_window(spark, table, rows_on(spark), *year, rewrite_years=True) == 0
+    assert replace_window(spark, table, rows_on(spark), *year) == 0
     assert content(spark, table) == [(None, 1)]
     one = rows_on(spark, D(2023, 1, 1))
-    assert replace_window(spark, table, one, D(2023, 1, 1), D(2024, 1, 1), rewrite_years=True) == 1
+    assert replace_window(spark, table, one, D(2023, 1, 1), D(2024, 1, 1)) == 1
 
 
 @pytest.mark.parametrize("by", ["day", "year"])
@@ -137,7 +139,7 @@ def test_a_replacement_may_read_the_table_itself(spark, database, by):
     table = made(spark, database, by, D(2024, 1, 1), D(2024, 1, 2))
     changed = spark.table(table.name).withColumn("vehicles_vtoll", F.lit(2))
     day = D(2024, 1, 1), D(2024, 1, 2)
-    replace_window(spark, table, changed.drop("date_year"), *day, rewrite_years=True)
+    replace_window(spark, table, changed.drop("date_year"), *day)
     assert content(spark, table) == [(D(2024, 1, 1), 2), (D(2024, 1, 2), 1)]
 
 
@@ -162,21 +164,70 @@ def test_the_overwrite_mode_of_the_session_does_not_matter(spark, database):
     assert spark.conf.get(setting).lower() == "static"
 
 
-def test_a_year_table_is_rewritten_by_consent_only(spark, database):
-    table = made(spark, database, "year", D(2024, 1, 1))
-    with pytest.raises(ValueError, match="rewrite_years"):
-        replace_window(spark, table, rows_on(spark), D(2024, 1, 1), D(2024, 1, 2))
-
-
 @pytest.mark.parametrize("by", ["day", "year"])
 def test_a_window_without_an_end(spark, database, by):
     days = [D(2022, 12, 31), D(2023, 1, 1), D(2024, 6, 1), None]
     table = made(spark, database, by, *days)
     new = rows_on(spark, D(2023, 5, 1), vtoll=9)
-    assert replace_window(spark, table, new, D(2023, 1, 1), rewrite_years=True) == 1
+    assert replace_window(spark, table, new, D(2023, 1, 1)) == 1
     assert content(spark, table) == [(None, 1), (D(2022, 12, 31), 1), (D(2023, 5, 1), 9)]
 
 
+def files_of(spark, table):
+    found = spark.table(table.name).select("_metadata.file_path", "_metadata.file_size", "date")
+    return {(r.file_path, r.file_size): r.date for r in found.collect()}
+
+
+def test_files_outside_the_window_stay_as_they_are(spark, database):
+    """Four appends are four files of a year; two hold days of the window."""
+    table = made(spark, database, "year", D(2024, 1, 1), D(2024, 1, 2))
+    for days in ([D(2024, 3, 1)], [D(2024, 3, 2), D(2024, 8, 1)], [D(2024, 8, 2)], [D(2023, 3, 1)]):
+        append(spark, table, rows_on(spark, *days))
+    before = files_of(spark, table)
+    new = rows_on(spark, D(2024, 3, 2), D(2024, 3, 5), vtoll=9)
+    assert replace_window(spark, table, new, D(2024, 3, 1), D(2024, 4, 1)) == 2
+    assert content(spark, table) == [
+        (D(2023, 3, 1), 1), (D(2024, 1, 1), 1), (D(2024, 1, 2), 1), (D(2024, 3, 2), 9),
+        (D(2024, 3, 5), 9), (D(2024, 8, 1), 1), (D(2024, 8, 2), 1),
+    ]
+    after = files_of(spark, table)
+    march = {f for f, day in before.items() if day.month == 3 and day.year == 2024}
+    touched = {f for f in before if f[0] in {name for name, _ in march}}
+    stay = {f for f, day in before.items() if day in (D(2023, 3, 1), D(2024, 8, 2), D(2024, 1, 1))}
+    assert stay <= after.keys() and not (touched - stay) & after.keys()
+
+
+def test_an_emptied_year_is_dropped_and_a_new_one_added(spark, database):
+    table = made(spark, database, "year", D(2023, 5, 1), D(2024, 5, 1))
+    replace_window(spark, table, rows_on(spark, D(2025, 1, 1)), D(2024, 1, 1), D(2026, 1, 1))
+    shown = spark.sql(f"SHOW PARTITIONS {table.name}").collect()
+    assert sorted(r.partition for r in shown) == ["date_year=2023", "date_year=2025"]
+    assert content(spark, table) == [(D(2023, 5, 1), 1), (D(2025, 1, 1), 1)]
+
+
+@pytest.mark.parametrize("step", ["write_lines", "move", "delete"])
+def test_a_broken_swap_is_finished_or_never_happened(spark, database, monkeypatch, step):
+    table = made(spark, database, "year", D(2024, 1, 1), D(2024, 1, 2), None)
+    append(spark, table, rows_on(spark, D(2025, 1, 1)))
+    window, new = (D(2024, 1, 1), D(2025, 6, 1)), rows_on(spark, D(2024, 1, 1), D(2026, 1, 1), vtoll=9)
+
+    def broken(*args):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(swaps.files, step, broken)
+        with pytest.raises(OSError, match="stopped"):
+            replace_window(spark, table, new, *window)
+    if step == "write_lines":  # not decided: nothing has changed
+        assert content(spark, table) == [(None, 1), *((d, 1) for d in (D(2024, 1, 1), D(2024, 1, 2), D(2025, 1, 1)))]
+    else:
+        finish_replacements(spark, table)
+        assert content(spark, table) == [(None, 1), (D(2024, 1, 1), 9)]
+    for _ in range(2):
+        assert replace_window(spark, table, new, *window) == 1
+        assert content(spark, table) == [(None, 1), (D(2024, 1, 1), 9)]
+
+
 def test_external_tables_are_not_replaced(spark, database, tmp_path):
     table = FeedTable(f"{database}.ext")
     spark.sql(f"{create_statement(table)} LOCATION '{tmp_path}/ext'")
