@@ -13,23 +13,29 @@ from feedlake.plans.tables import (
     create_if_absent,
     create_raw,
     create_statement,
+    finish_replacements,
     read_window,
     replace_window,
 )
+from feedlake.plans.upserts import UpsertReport, newest_per_key, upsert
 
 __all__ = [
     "FeedTable",
     "LoadReport",
+    "UpsertReport",
     "append",
     "append_stage",
     "create_if_absent",
     "create_raw",
     "create_statement",
+    "finish_replacements",
     "footprint",
     "load_feed",
+    "newest_per_key",
     "read_window",
     "replace_from_stage",
     "replace_window",
     "stage_measure",
     "stage_rejects",
+    "upsert",
 ]

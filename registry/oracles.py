@@ -143,6 +143,14 @@ ORACLES = {
            CAST(sum(vehicles_vtoll + CASE WHEN date >= DATE '1997-12-20'
                 AND date < DATE '1998-02-10' THEN 1 ELSE 0 END) AS BIGINT) AS vtoll
     FROM Y GROUP BY date""",
+    "upsert_window": f"""WITH {MONTH},
+    corrected AS (
+        SELECT * REPLACE (CAST(vehicles_vtoll + 1 AS INT) AS vehicles_vtoll) FROM T
+        WHERE date >= DATE '2024-01-08' AND date < DATE '2024-01-15' AND direction = 'I')
+    SELECT {MONTH_COLUMNS} FROM corrected
+    UNION ALL SELECT {MONTH_COLUMNS} FROM (SELECT * REPLACE ('9' || plaza_id AS plaza_id) FROM corrected)
+    UNION ALL SELECT {MONTH_COLUMNS} FROM T
+    WHERE NOT (date >= DATE '2024-01-08' AND date < DATE '2024-01-15' AND direction = 'I')""",
     "read_window_year": f"""WITH {YEARS}
     SELECT {MONTH_COLUMNS} FROM Y WHERE date >= DATE '1998-12-28' AND date < DATE '1999-01-04'""",
     "incremental_stage": f"WITH {MONTH} SELECT date, {SUMS} FROM T GROUP BY date",

@@ -35,6 +35,7 @@ from feedlake.plans import (
     replace_window,
     stage_measure,
     stage_rejects,
+    upsert,
 )
 from feedlake.sources import (
     decode_json,
@@ -346,10 +347,28 @@ def replace_window_year(spark, sf_dir):
         "vehicles_vtoll", F.col("vehicles_vtoll") + 1
     )
     start, stop = datetime.date(1997, 12, 20), datetime.date(1998, 2, 10)
-    replace_window(spark, loaded, corrected, start, stop, rewrite_years=True)
+    replace_window(spark, loaded, corrected, start, stop)
     return _sums(spark.table(loaded.name), "date")
 
 
+def _corrections(spark, sf_dir):
+    """Of a week's rows in direction I: a corrected one, an older one, and one of another plaza."""
+    rows = typed_rows(month_feed(spark, sf_dir, *WEEK)).where("direction = 'I'")
+    tolls = F.col("vehicles_vtoll")
+    right = rows.withColumn("vehicles_vtoll", tolls + 1).withColumn("revision", F.lit(2))
+    old = rows.withColumn("vehicles_vtoll", tolls + 100).withColumn("revision", F.lit(1))
+    other = right.withColumn("plaza_id", F.concat(F.lit("9"), "plaza_id"))
+    return right.unionByName(old).unionByName(other)
+
+
+def upsert_window(spark, sf_dir):
+    """Late corrections and new rows, put into a loaded table twice."""
+    loaded = _month_table(spark, sf_dir)
+    for _ in range(2):
+        upsert(spark, loaded, _corrections(spark, sf_dir), newest="revision")
+    return spark.table(loaded.name)
+
+
 def read_window_year(spark, sf_dir):
     loaded = _queried_table(spark, years_feed(spark, sf_dir), "year")
     return read_window(spark, loaded, datetime.date(1998, 12, 28), datetime.date(1999, 1, 4))
@@ -364,7 +383,7 @@ def incremental_stage(spark, sf_dir):
     load_new_files(spark, stage, loaded, checkpoint)
     feed.where(~first).write.mode("append").json(stage)
     load_new_files(spark, stage, loaded, checkpoint)
-    load_new_files(spark, stage, loaded, checkpoint)
+    load_new_files(spark, stage, loaded, checkpoint, most_partitions=1)
     return _sums(spark.table(loaded.name), "date")
 
 
@@ -446,6 +465,7 @@ QUERIES = {
     "load_rejects": load_rejects,
     "replace_window": replace_window_day,
     "replace_window_year": replace_window_year,
+    "upsert_window": upsert_window,
     "read_window_year": read_window_year,
     "incremental_stage": incremental_stage,
     "sql_on_table": sql_on_table,
