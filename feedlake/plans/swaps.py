@@ -1,4 +1,4 @@
-"""Copy-on-write: some files of a Parquet table are replaced by new ones, the others stay as they are.
+"""Copy-on-write: some files of a Parquet table are replaced by new ones, the others stay.
 
 The new files are written in a folder beside the partitions that no reader looks into. Then a list
 of the files to go is put there, in one piece, and from then on the swap is decided: new files are
@@ -28,7 +28,7 @@ def table_location(spark: SparkSession, name: str) -> str:
 
 
 def files_with(rows: DataFrame) -> list[str]:
-    """Names of the files that `rows`, a filtered table, has rows in; Spark's statistics skip most."""
+    """Names of the files that `rows`, a filtered table, has rows in; statistics skip most."""
     return [row[0] for row in rows.select("_metadata.file_path").distinct().collect()]
 
 

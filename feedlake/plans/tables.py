@@ -102,8 +102,9 @@ def arranged(table: FeedTable, rows: DataFrame) -> DataFrame:
         return rows
     if not table.has_year_column:
         return rows.hint("rebalance", table.partition_column)
-    dated = rows.withColumn(YEAR_COLUMN, F.year("date")).withColumn("_month", F.trunc("date", "month"))
-    return dated.hint("rebalance", YEAR_COLUMN, "_month").drop("_month")
+    dated = rows.withColumn(YEAR_COLUMN, F.year("date"))
+    by_month = dated.withColumn("_month", F.trunc("date", "month"))
+    return by_month.hint("rebalance", YEAR_COLUMN, "_month").drop("_month")
 
 
 def sorted_for_write(table: FeedTable, rows: DataFrame) -> DataFrame:

@@ -68,7 +68,8 @@ def upsert(
         years = F.col(YEAR_COLUMN).between(first.year, last.year)
         near = near & (years | F.col(YEAR_COLUMN).isNull() if undated else years)
     hit = whole.where(near).select("_metadata.file_path", _key()).join(keys, "_key", "left_semi")
-    touched = {r.file_path: r.n for r in hit.groupBy("file_path").agg(F.count("*").alias("n")).collect()}
+    per_file = hit.groupBy("file_path").agg(F.count("*").alias("n"))
+    touched = {r.file_path: r.n for r in per_file.collect()}
     kept = rows_of(whole, [*touched]).withColumn("_key", _key()).join(keys, "_key", "left_anti")
     marked = new.withColumn("_new", F.lit(True))
     counted = rewrite(

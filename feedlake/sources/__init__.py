@@ -8,6 +8,7 @@ from feedlake.sources.paged import (
     DEFAULT_PAGE_SIZE,
     PagedFeed,
     RequestFeed,
+    SeekFeed,
     read_feed,
     register_feed,
 )
@@ -18,6 +19,7 @@ __all__ = [
     "Layout",
     "PagedFeed",
     "RequestFeed",
+    "SeekFeed",
     "decode_json",
     "encode_json",
     "read_feed",

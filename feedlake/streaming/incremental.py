@@ -6,6 +6,9 @@ what it wrote. `compact_batches` merges a day's partitions of batches that will
 
 from __future__ import annotations
 
+import datetime
+import json
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,7 @@ from feedlake.plans.tables import (
     partition_values,
 )
 from feedlake.schema import BATCH_COLUMN, WIRE_SCHEMA
+from feedlake.sources.paged import DEFAULT_PAGE_SIZE
 from feedlake.sources.staged import staged_schema
 
 
@@ -143,6 +147,61 @@ def load_new_files(
     stream.start().awaitTermination()
     if most_partitions is not None:
         compact_batches(spark, table, checkpoint, most_partitions)
+    return _total(reports)
+
+
+def days_done(spark: SparkSession, checkpoint: str) -> datetime.date | None:
+    """The day up to which a stream of a feed's days is read, by its checkpoint."""
+    last = last_committed(spark, checkpoint)
+    if last is None:
+        return None
+    noted = files.read_lines(spark, files.child(spark, checkpoint, f"offsets/{last}"))
+    return datetime.date.fromisoformat(json.loads(noted[-1])["day"])
+
+
+def load_new_days(
+    spark: SparkSession,
+    name: str,
+    table: FeedTable,
+    checkpoint: str,
+    first: datetime.date,
+    stop: datetime.date,
+    max_days: int | None = None,
+    max_tasks: int | None = None,
+    page_size: int = DEFAULT_PAGE_SIZE,
+) -> LoadReport:
+    """Load the days of a registered feed up to `stop` that no run before has loaded.
+
+    The table is a `batched` one. The first run begins with the day `first`; where a run ended is
+    kept in `checkpoint`, so the next goes on from there, and one that fails is repeated under the
+    same batch number. A `stop` that lies behind is no step back. `max_days` bounds the days of a
+    batch, so that a long backlog is loaded in several.
+    """
+    if not table.batched:
+        raise ValueError(f"{table.name} keeps no batch numbers")
+    create_if_absent(spark, table)
+    reports = []
+    while True:
+        done = days_done(spark, checkpoint) or first
+        upto = max(done, stop)
+        if max_days is not None:
+            upto = min(upto, done + datetime.timedelta(days=max_days))
+        reader = spark.readStream.format(name).option("pageSize", page_size)
+        reader = reader.option("minRuns", spark.sparkContext.defaultParallelism)
+        if max_tasks is not None:
+            reader = reader.option("maxRuns", max_tasks)
+        days = reader.option("start", first.isoformat()).option("stop", upto.isoformat()).load()
+        stream = days.writeStream.foreachBatch(
+            lambda wire, batch: reports.append(load_batch(table, wire, batch))
+        )
+        stream = stream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+        stream.start().awaitTermination()
+        # a batch that a run before had planned comes first, with the end that it had then
+        if (days_done(spark, checkpoint) or first) >= stop:
+            return _total(reports)
+
+
+def _total(reports: list[LoadReport]) -> LoadReport:
     return LoadReport(
         sum(r.n_rows for r in reports),
         sum(r.n_bad_values for r in reports),

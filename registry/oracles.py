@@ -148,7 +148,8 @@ ORACLES = {
         SELECT * REPLACE (CAST(vehicles_vtoll + 1 AS INT) AS vehicles_vtoll) FROM T
         WHERE date >= DATE '2024-01-08' AND date < DATE '2024-01-15' AND direction = 'I')
     SELECT {MONTH_COLUMNS} FROM corrected
-    UNION ALL SELECT {MONTH_COLUMNS} FROM (SELECT * REPLACE ('9' || plaza_id AS plaza_id) FROM corrected)
+    UNION ALL SELECT {MONTH_COLUMNS}
+    FROM (SELECT * REPLACE ('9' || plaza_id AS plaza_id) FROM corrected)
     UNION ALL SELECT {MONTH_COLUMNS} FROM T
     WHERE NOT (date >= DATE '2024-01-08' AND date < DATE '2024-01-15' AND direction = 'I')""",
     "read_window_year": f"""WITH {YEARS}

@@ -75,7 +75,7 @@ def test_limits_cap_no_tasks(spark):
 # calls that move rows, and where a bounded number of them may
 BOUNDED = {
     # one name per partition, and one per file that a replacement writes again
-    ".collect(": ["feedlake/plans/tables.py", "feedlake/plans/swaps.py", "feedlake/plans/upserts.py"],
+    ".collect(": [f"feedlake/plans/{name}.py" for name in ("tables", "swaps", "upserts")],
     "to_pylist": [],
     "mkdtemp": [],
     "tempfile": [],

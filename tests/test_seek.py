@@ -1,0 +1,209 @@
+"""Feeds that are read by key, and feeds as streams of days."""
+
+import datetime
+import itertools
+import uuid
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
+from pyspark.sql.types import StructType
+
+from feedlake.plans import FeedTable
+from feedlake.schema import WIRE_SCHEMA
+from feedlake.sources import RequestFeed, SeekFeed, read_feed, register_feed
+from feedlake.sources.paged import key_runs
+from feedlake.streaming import days_done, load_new_days
+
+D = datetime.date
+SCHEMA = StructType().add("day", "date").add("id", "long").add("label", "string")
+
+
+def seek_service(folder, per_day, arrivals=0):
+    """A service over records in a file; every page that is asked for brings `arrivals` new ones.
+
+    New records come at the beginning, in the middle and at the end of the keys, as files, so that
+    all tasks see them.
+    """
+    base = [(D(2024, 1, 1) + datetime.timedelta(days=k), 10 * i)
+            for k, n in enumerate(per_day) for i in range(1, n + 1)]
+    folder.mkdir(exist_ok=True)
+
+    def within(key, low, high, after):
+        """Is a key in a range whose bounds may be the first parts of a key only?"""
+        return (
+            (low is None or key[: len(low)] >= low)
+            and (high is None or key[: len(high)] < high)
+            and (after is None or key > after)
+        )
+
+    def records(start, stop):
+        late = [tuple(p.name.split("_")[:2]) for p in folder.iterdir()]
+        keys = {*base, *((D.fromisoformat(day), int(i)) for day, i in late)}
+        return sorted(
+            k for k in keys if (start is None or k[0] >= start) and (stop is None or k[0] < stop)
+        )
+
+    def histogram(start, stop):
+        days = itertools.groupby(records(start, stop), key=lambda k: k[0])
+        out = []
+        for day, keys in days:
+            keys = list(keys)
+            # a large day is two ranges
+            out += [((day,), len(keys))] if len(keys) < 20 else [
+                ((day,), len(keys) // 2),
+                ((day, keys[len(keys) // 2][1]), len(keys) - len(keys) // 2),
+            ]
+        return out
+
+    def fetch(start, stop, low, high, after, limit):
+        found = [k for k in records(start, stop) if within(k, low, high, after)][:limit]
+        for _ in range(arrivals):
+            day, i = base[uuid.uuid4().int % len(base)]
+            (folder / f"{day}_{i + 1 + uuid.uuid4().int % 8}_{uuid.uuid4().hex}").touch()
+        return [{"day": day, "id": i, "label": str(i)} for day, i in found]
+
+    return base, histogram, fetch
+
+
+def registered(spark, feed):
+    name = f"feed_{uuid.uuid4().hex}"
+    register_feed(spark, name, feed)
+    return name
+
+
+@given(st.lists(st.integers(0, 50), max_size=40), st.integers(1, 12), st.integers(1, 12))
+def test_runs_of_keys_cover_all_of_them(rows, min_runs, max_runs):
+    histogram = [((k,), n) for k, n in enumerate(rows)]
+    runs = key_runs(histogram, min_runs, max_runs)
+    assert len(runs) <= max(max_runs, 1) and bool(runs) == bool(histogram)
+    if runs:
+        assert runs[0][0] is None and runs[-1][1] is None
+        assert all(a[1] == b[0] for a, b in itertools.pairwise(runs))
+
+
+@pytest.mark.parametrize("page_size", [1, 7, 1000])
+def test_every_row_is_read_once(spark, tmp_path, page_size):
+    base, histogram, fetch = seek_service(tmp_path / "late", [3, 0, 40, 1, 9])
+    name = registered(spark, SeekFeed(SCHEMA, ["day", "id"], histogram, fetch, "day"))
+    rows = read_feed(spark, name, page_size=page_size).collect()
+    assert sorted((r.day, r.id) for r in rows) == base and rows[0].label == str(rows[0].id)
+    window = read_feed(spark, name, D(2024, 1, 2), D(2024, 1, 4), page_size, columns=["id"])
+    assert window.columns == ["id"] and window.count() == 40
+    assert read_feed(spark, name, D(2025, 1, 1)).count() == 0
+
+
+def test_rows_that_arrive_between_pages_shift_nothing(spark, tmp_path):
+    base, histogram, fetch = seek_service(tmp_path / "late", [5, 30, 12], arrivals=3)
+    feed = SeekFeed(SCHEMA, ["day", "id"], histogram, fetch, "day")
+    rows = read_feed(spark, registered(spark, feed), page_size=4, max_tasks=3).collect()
+    keys = [(r.day, r.id) for r in rows]
+    arrived = len(list((tmp_path / "late").iterdir()))
+    known = [k for k in keys if k in set(base)]
+    assert arrived > 20 and sorted(known) == base
+    # a feed that is read by offsets loses and repeats rows under the same arrivals
+    def count_rows(start, stop):
+        return len(base)
+
+    def by_offset(start, stop, limit, offset):
+        return fetch(start, stop, None, None, None, offset + limit)[offset:]
+
+    paged = RequestFeed(SCHEMA, count_rows, by_offset)
+    rows = read_feed(spark, registered(spark, paged), page_size=4, max_tasks=1).collect()
+    assert sorted((r.day, r.id) for r in rows if (r.day, r.id) in set(base)) != base
+
+
+def test_filters_reach_the_feed(spark, tmp_path, conf):
+    conf("spark.sql.python.filterPushdown.enabled", "true")
+    base, histogram, fetch = seek_service(tmp_path / "late", [3, 4, 5])
+
+    def narrow(start, stop, *rest):
+        assert start == D(2024, 1, 2)
+        return fetch(start, stop, *rest)
+
+    feed = SeekFeed(SCHEMA, ["day", "id"], histogram, narrow, "day")
+    rows = read_feed(spark, registered(spark, feed)).where("day >= DATE'2024-01-02'")
+    assert rows.count() == 9
+
+
+def test_pages_out_of_order_fail_the_read(spark, tmp_path):
+    base, histogram, fetch = seek_service(tmp_path / "late", [30])
+    for bad in (
+        lambda *a: fetch(*a)[::-1],
+        lambda start, stop, low, high, after, limit: fetch(start, stop, low, high, None, limit),
+        lambda *a: {"error": "busy"},
+    ):
+        name = registered(spark, SeekFeed(SCHEMA, ["day", "id"], histogram, bad))
+        with pytest.raises(PySparkException):
+            read_feed(spark, name, page_size=4).collect()
+    name = registered(spark, SeekFeed(SCHEMA, ["day", "id"], histogram, fetch))
+    with pytest.raises(PySparkException, match="no page numbers"):
+        read_feed(spark, name, page_column="page").collect()
+
+
+# --- streams of days ----------------------------------------------------------------------
+
+
+def wire_feed(folder, per_day=3):
+    """A feed of the wire schema that notes its requests, and that fails where a file says so."""
+    folder.mkdir(exist_ok=True)
+
+    def records(start, stop):
+        days = [start + datetime.timedelta(days=k) for k in range((stop - start).days)]
+        return [
+            dict(zip(WIRE_SCHEMA.names, ("21", f"{d}T00:00:00.000", str(h), "I", "1", "2")))
+            for d in days for h in range(per_day)
+        ]
+
+    def fetch(start, stop, limit, offset):
+        if (folder / "fail").exists() and offset >= per_day:
+            raise OSError("503")
+        (folder / f"asked-{start}-{stop}-{uuid.uuid4().hex}").touch()
+        return records(start, stop)[offset : offset + limit]
+
+    return RequestFeed(WIRE_SCHEMA, lambda a, b: len(records(a, b)), fetch)
+
+
+def loaded(spark, table):
+    rows = spark.table(table.name).groupBy("date").count().collect()
+    return {r["date"].day: r["count"] for r in rows}
+
+
+def test_a_run_resumes_where_the_last_ended(spark, tmp_path, database):
+    notes, progress = tmp_path / "notes", str(tmp_path / "progress")
+    table = FeedTable(f"{database}.t", batched=True)
+    name = registered(spark, wire_feed(notes))
+
+    def run(stop, **more):
+        for note in notes.iterdir():
+            note.rename(tmp_path / note.name)
+        return load_new_days(spark, name, table, progress, D(2024, 1, 1), stop, **more).n_rows
+
+    assert days_done(spark, progress) is None
+    assert run(D(2024, 1, 4)) == 9 and loaded(spark, table) == {1: 3, 2: 3, 3: 3}
+    assert days_done(spark, progress) == D(2024, 1, 4)
+    # nothing new: nothing is asked for
+    assert run(D(2024, 1, 4)) == 0 and not list(notes.iterdir())
+    assert run(D(2024, 1, 2)) == 0 and days_done(spark, progress) == D(2024, 1, 4)
+    assert run(D(2024, 1, 6)) == 6
+    assert all("asked-2024-01-04-2024-01-06" in n.name for n in notes.iterdir())
+    assert run(D(2024, 1, 11), max_days=2) == 15
+    assert loaded(spark, table) == {day: 3 for day in range(1, 11)}
+    batches = spark.table(table.name).select("load_batch").distinct().count()
+    assert batches == 5
+
+
+def test_a_batch_that_failed_is_read_again(spark, tmp_path, database):
+    notes, progress = tmp_path / "notes", str(tmp_path / "progress")
+    table = FeedTable(f"{database}.t", batched=True)
+    name = registered(spark, wire_feed(notes))
+    load_new_days(spark, name, table, progress, D(2024, 1, 1), D(2024, 1, 2), page_size=3)
+    (notes / "fail").touch()
+    with pytest.raises(PySparkException):
+        load_new_days(spark, name, table, progress, D(2024, 1, 1), D(2024, 1, 4), page_size=3)
+    assert loaded(spark, table) == {1: 3} and days_done(spark, progress) == D(2024, 1, 2)
+    (notes / "fail").rename(tmp_path / "mended")
+    # the failed batch keeps its end, which a later run goes beyond
+    report = load_new_days(spark, name, table, progress, D(2024, 1, 1), D(2024, 1, 5), page_size=3)
+    assert report.n_rows == 9 and loaded(spark, table) == {1: 3, 2: 3, 3: 3, 4: 3}

@@ -209,7 +209,8 @@ def test_an_emptied_year_is_dropped_and_a_new_one_added(spark, database):
 def test_a_broken_swap_is_finished_or_never_happened(spark, database, monkeypatch, step):
     table = made(spark, database, "year", D(2024, 1, 1), D(2024, 1, 2), None)
     append(spark, table, rows_on(spark, D(2025, 1, 1)))
-    window, new = (D(2024, 1, 1), D(2025, 6, 1)), rows_on(spark, D(2024, 1, 1), D(2026, 1, 1), vtoll=9)
+    window = D(2024, 1, 1), D(2025, 6, 1)
+    new = rows_on(spark, D(2024, 1, 1), D(2026, 1, 1), vtoll=9)
 
     def broken(*args):
         raise OSError("stopped")
@@ -219,7 +220,8 @@ def test_a_broken_swap_is_finished_or_never_happened(spark, database, monkeypatc
         with pytest.raises(OSError, match="stopped"):
             replace_window(spark, table, new, *window)
     if step == "write_lines":  # not decided: nothing has changed
-        assert content(spark, table) == [(None, 1), *((d, 1) for d in (D(2024, 1, 1), D(2024, 1, 2), D(2025, 1, 1)))]
+        days = D(2024, 1, 1), D(2024, 1, 2), D(2025, 1, 1)
+        assert content(spark, table) == [(None, 1), *((day, 1) for day in days)]
     else:
         finish_replacements(spark, table)
         assert content(spark, table) == [(None, 1), (D(2024, 1, 1), 9)]
