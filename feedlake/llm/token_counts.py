@@ -13,6 +13,7 @@ Sections cover the text, so the counts of a document add up to its tokens.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -25,6 +26,15 @@ from feedlake.llm.text import blocks
 
 RULES = ("first", "last", "most")
 
+# The end of patterns that leave a run of blanks whole but for its last one, if a word follows. Of
+# such a run the encoder's search fails beyond about a million.
+BLANK_RUNS = r"\s+(?!\S)|\s+"
+
+# Runs of so many characters with the property White_Space (fixed values) are encoded as pieces.
+_LONG_RUN = re.compile(
+    "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{100000,}"
+)
+
 
 def load_encoding(path: str, pattern: str) -> tiktoken.Encoding:
     """An encoding from a file of base64 tokens and ranks; no special tokens."""
@@ -33,6 +43,22 @@ def load_encoding(path: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode_text(encoding: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids of a whole text, also where runs of blanks are longer than the encoder's search takes.
+
+    Such a run is cut where the pattern cuts it: before its last blank, which may belong to the next
+    word, or not at all at the text's end. No piece before it looks further than to the run.
+    """
+    ids, done = [], 0
+    if encoding._pat_str.endswith(BLANK_RUNS):
+        for run in _LONG_RUN.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            ids += encoding.encode_ordinary(text[done : run.start()])
+            ids += encoding._encode_single_piece(text[run.start() : end].encode())
+            done = end
+    return ids + encoding.encode_ordinary(text[done:])
+
+
 def token_lengths(encoding: tiktoken.Encoding) -> np.ndarray:
     """Bytes of every token, by id."""
     lengths = np.zeros(encoding.n_vocab, np.int64)
@@ -71,7 +97,9 @@ def section_tokens(
 
     Columns: `doc_id, section, start_byte, n_bytes, n_tokens, n_crossing, doc_tokens`: a row for
     each line, numbered from 0; `n_crossing` of its tokens reach over one of its bounds. A null or
-    empty text is one section without tokens. Repeated rows are each returned. No shuffle.
+    empty text is one section without tokens. Texts of any length and with any runs are encoded
+    whole, if `pattern` ends like `BLANK_RUNS`; with others the encoder may fail on a million blanks
+    in a row. Repeated rows are each returned. No shuffle.
     """
     if rule not in RULES:
         raise ValueError(f"a token is attributed by one of {RULES}, not by {rule}")
@@ -86,7 +114,7 @@ def section_tokens(
             owner, columns = [], [[] for _ in names[1:]]
             for i in range(len(rows)):
                 body = data[bounds[i] : bounds[i + 1]]
-                ids = encoding.encode_ordinary(body.tobytes().decode())
+                ids = encode_text(encoding, body.tobytes().decode())
                 token_ends = np.cumsum(lengths[ids]) if ids else np.empty(0, np.int64)
                 ends = line_ends(body)
                 starts = np.concatenate([[0], ends[:-1]])

@@ -1,4 +1,5 @@
 import bisect
+import re
 
 import numpy as np
 import public_tokenizers
@@ -7,8 +8,17 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from feedlake.llm.token_counts import RULES, attributed, line_ends, load_encoding, section_tokens
+from feedlake.llm import token_counts
+from feedlake.llm.token_counts import (
+    RULES,
+    attributed,
+    encode_text,
+    line_ends,
+    load_encoding,
+    section_tokens,
+)
 
+ENCODINGS = []
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -63,6 +73,31 @@ def test_the_rules_differ_on_a_crossing_token(spark):
         section_tokens(docs, PATH, public_tokenizers.PATTERN, "any")
 
 
+def test_runs_of_any_length_are_encoded(spark):
+    million = 2_000_000
+    texts = [c * million for c in " \na1#"] + ["a" + " " * million + "b\n" + "\t" * million + "c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {}
+    for r in section_tokens(docs, PATH, public_tokenizers.PATTERN).where("section = 0").collect():
+        found[r.doc_id] = r.doc_tokens
+    encoding = load_encoding(PATH, public_tokenizers.PATTERN)
+    tokens = {i: encode_text(encoding, t) for i, t in enumerate(texts)}
+    assert found == {i: len(ids) for i, ids in tokens.items()}
+    assert all(encoding.decode(tokens[i]) == t for i, t in enumerate(texts))
+
+
+@settings(deadline=None, max_examples=300)
+@given(st.lists(st.sampled_from([*" \n\xa0\u3000a#\x1cé", "\t\t", "  ", "B1", "'s"]), max_size=14))
+def test_cut_runs_give_the_encoders_ids(parts):
+    text = "".join(parts)
+    encoding = load_encoding(PATH, public_tokenizers.PATTERN) if not ENCODINGS else ENCODINGS[0]
+    ENCODINGS[:] = [encoding]
+    short = re.compile(token_counts._LONG_RUN.pattern.replace("100000", "2"))
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(token_counts, "_LONG_RUN", short)
+        assert encode_text(encoding, text) == encoding.encode_ordinary(text)
+
+
 def test_awkward_rows(awkward, empty):
     rows = section_tokens(awkward, PATH, public_tokenizers.PATTERN).collect()
     assert sorted((r.section, r.n_tokens, r.n_bytes) for r in rows if r.doc_id in (1, 2)) == [
