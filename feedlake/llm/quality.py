@@ -1,9 +1,10 @@
 """Quality rules as a short-circuit cascade (7).
 
-Each rule looks at a few measures of a text. On a sample, the cost of every rule's measures and the
-share of texts that it rejects are estimated; rules then run in the order of rejections per cost,
-each only over the texts that no earlier rule has rejected. The order changes the time, never the
-verdict, which is that no rule rejects.
+Each rule looks at a few measures of a text. Every task draws a sample of its rows as it goes, and
+estimates on it the cost of every rule's measures and the share of texts that the rule rejects;
+rules run in the order of rejections per cost, each only over the texts that no earlier rule has
+rejected. The order changes the time, never the verdict, which is that no rule rejects. Nothing is
+read twice for the sample, and none of it leaves the task.
 """
 
 from __future__ import annotations
@@ -15,15 +16,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField
 
 from feedlake.llm.text import SPACED, Words, mixed, span_hashes, with_columns
 
-# Texts of the sample that costs are estimated on, and the longest that is sent to the driver for
-# it. Both bound what reaches the driver; no verdict depends on them.
-SAMPLE_ROWS = 512
-SAMPLE_CHARS = 1 << 16
+# One in so many rows is drawn for the sample.
+SAMPLE_EVERY = 16
 
 # Symbols that are counted.
 SYMBOLS = "#*$%&|<>"
@@ -174,22 +172,31 @@ BASE = (too_short(), repetitive())
 RULES = (*BASE, odd_words(), symbols(), repeated_lines())
 
 
-def estimated_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
-    """The rules by rejections per second on a sample of `docs`."""
-    # drawn over all rows by a hash of where they are; of a very long text the beginning
-    begin = F.substring(F.coalesce("text", F.lit("")), 1, SAMPLE_CHARS).alias("text")
-    drawn = docs.select(begin, F.xxhash64(F.monotonically_increasing_id()).alias("draw"))
-    drawn = drawn.orderBy("draw").limit(SAMPLE_ROWS).select("text")
-    texts = [row.text.encode() for row in drawn.collect()]
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
-    gain = {}
-    for rule in rules:
-        block = Block(data, bounds)
-        began = time.perf_counter()
-        rejected = rule.rejects(*(MEASURES[m](block) for m in rule.measures))
-        gain[rule] = rejected.sum() / (time.perf_counter() - began)
-    return tuple(sorted(rules, key=gain.get, reverse=True))
+class Estimates:
+    """What the rules cost and reject, on a sample of the rows that a task has come to."""
+
+    def __init__(self, rules: tuple[Rule, ...]):
+        self.rules = rules
+        self.seconds, self.rejected = dict.fromkeys(rules, 0.0), dict.fromkeys(rules, 0)
+        self.rows = 0
+
+    def learn(self, block: Block) -> None:
+        """Run every rule over the rows of a block that are drawn."""
+        drawn = (np.arange(len(block)) + self.rows) % SAMPLE_EVERY == 0
+        self.rows += len(block)
+        if not drawn.any():
+            return
+        sample = block.rows(drawn)
+        for rule in self.rules:
+            began = time.perf_counter()
+            rejected = rule.rejects(*(MEASURES[m](sample) for m in rule.measures))
+            self.seconds[rule] += time.perf_counter() - began
+            self.rejected[rule] += int(rejected.sum())
+
+    def order(self) -> tuple[Rule, ...]:
+        """The rules by rejections per second; before any row is drawn, as they are given."""
+        gain = {rule: self.rejected[rule] / (self.seconds[rule] or 1) for rule in self.rules}
+        return tuple(sorted(self.rules, key=gain.get, reverse=True))
 
 
 def judge(block: Block, order: tuple[Rule, ...], known: dict[str, np.ndarray]) -> np.ndarray:
@@ -227,6 +234,24 @@ def first_failed(
     return found
 
 
+def passing(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, verdict: str = "kept"
+) -> DataFrame:
+    """`docs` with a boolean column `verdict`: true where no rule rejects the row.
+
+    A null or empty text has no words. All columns of `docs` stay; one that is called as the verdict
+    is replaced. Repeated rows are judged each for itself. No shuffle.
+    """
+    estimates = Estimates(rules)
+
+    def compute(data: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+        block = Block(data, bounds)
+        estimates.learn(block)
+        return [pa.array(judge(block, estimates.order(), {}) < 0)]
+
+    return with_columns(docs, [StructField(verdict, BooleanType())], compute)
+
+
 def quality_cascade(
     docs: DataFrame,
     rules: tuple[Rule, ...] = RULES,
@@ -234,18 +259,20 @@ def quality_cascade(
 ) -> DataFrame:
     """`docs` with `failed_rule` (null: kept) and the asked `measures` of every row.
 
-    A row is rejected if any rule rejects it; `failed_rule` names the first of `rules`. A
-    null or empty text has no words. All columns of `docs` stay; one that is called as an output
-    column is replaced. Repeated rows are judged each for itself. No shuffle.
+    The verdict is that of `passing`. `failed_rule` names the first of `rules` that rejects a row,
+    for which rejected rows are also tried by rules that the cascade need not have come to. Measures
+    that are asked for are taken of every row. Null, empty and repeated rows and other columns are
+    treated as there; columns that are called as an output column are replaced.
     """
-    order = estimated_order(docs, rules)
     own = [StructField("failed_rule", StringType()), *(StructField(m, LongType()) for m in measures)]
     names = np.array([r.name for r in rules] + [None], dtype=object)
+    estimates = Estimates(rules)
 
     def compute(data: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
         block = Block(data, bounds)
+        estimates.learn(block)
         known = {m: MEASURES[m](block) for m in measures}
-        failed = names[first_failed(block, rules, order, known)]
+        failed = names[first_failed(block, rules, estimates.order(), known)]
         return [pa.array(failed, pa.string()), *(pa.array(known[m], pa.int64()) for m in measures)]
 
     return with_columns(docs, own, compute)

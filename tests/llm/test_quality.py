@@ -4,7 +4,18 @@ from collections import Counter
 
 import numpy as np
 
-from feedlake.llm.quality import MEASURES, RULES, SYMBOLS, Block, estimated_order, judge, quality_cascade
+from feedlake.llm.quality import (
+    MEASURES,
+    RULES,
+    SAMPLE_EVERY,
+    SYMBOLS,
+    Block,
+    Estimates,
+    first_failed,
+    judge,
+    passing,
+    quality_cascade,
+)
 
 LONG = " ".join(f"word{i}" for i in range(200))
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -50,22 +61,31 @@ def test_the_order_of_rules_changes_no_verdict():
     assert len(verdicts) == 1 and 0 < sum(next(iter(verdicts))) < 203
 
 
-def test_the_failed_rule_is_the_first_given_whatever_the_order(spark, monkeypatch):
-    from feedlake.llm import quality
-
+def test_the_failed_rule_is_the_first_given_whatever_the_order(spark):
     texts = ["# $ " * 10, "# $ " * 80, "w" * 2000, "ab cd\n" * 60, LONG, ""]
-    docs = spark.createDataFrame([(t,) for t in texts], "text string")
     want = {"# $ " * 10: "too_short", "# $ " * 80: "repetitive", "w" * 2000: "too_short",
             "ab cd\n" * 60: "repetitive", LONG: None, "": "too_short"}
+    names = [r.name for r in RULES] + [None]
     for order in (RULES, RULES[::-1]):
-        monkeypatch.setattr(quality, "estimated_order", lambda docs, rules, order=order: order)
-        assert {r.text: r.failed_rule for r in quality_cascade(docs).collect()} == want
-
-
-def test_the_sample_is_drawn_over_all_rows(spark):
-    short, bad = " ".join(f"word{i}" for i in range(60)), "# $ " * 80
-    docs = spark.createDataFrame([(short,)] * 600 + [(bad,)] * 1400, "text string").coalesce(1)
-    assert estimated_order(docs)[0].name != "too_short"
+        found = first_failed(block(texts), RULES, order, {})
+        assert {t: names[k] for t, k in zip(texts, found)} == want
+    docs = spark.createDataFrame([(t,) for t in texts * 20], "text string")
+    assert {r.text: r.failed_rule for r in quality_cascade(docs).collect()} == want
+    assert {r.text: r.kept for r in passing(docs).collect()} == {t: want[t] is None for t in want}
+
+
+def test_the_sample_is_drawn_over_all_rows_of_a_task():
+    """Only later rows are bad in a way, which the order of the rules follows."""
+    estimates, short = Estimates(RULES), " ".join(f"word{i}" for i in range(60))
+    assert estimates.order() == RULES
+    estimates.learn(block([short] * 300))
+    estimates.learn(block(["# $ " * 80] * 300))
+    assert estimates.rows == 600 and max(estimates.rejected.values()) <= 600 / SAMPLE_EVERY
+    assert estimates.order()[0].name != "too_short"
+    drawn = Estimates(RULES)
+    for k in range(SAMPLE_EVERY * 2):  # blocks of one row each
+        drawn.learn(block(["x"]))
+    assert drawn.rejected[RULES[0]] == 2
 
 
 def test_awkward_rows(awkward, empty):
