@@ -210,7 +210,12 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, whose text holds no window of an item."""
+    """The rows of `docs`, all columns, whose text holds no window of an item.
+
+    Null and empty texts hold none and stay; repeated rows stay or go together.
+    """
     hits = benchmark_hits(docs, benchmark).where(F.col("n_hit") > 0)
-    hit = settle(hits.select(F.col("text_hash").alias("_hit_text")).distinct(), "contaminated")
-    return docs.join(hit, text_hash() == F.col("_hit_text"), "left_anti")
+    hit = settle(hits.select("text_hash").distinct(), "contaminated")
+    rows = docs.select(F.struct("*").alias("row")).withColumn("text_hash", text_hash("row.text"))
+    held = hit.withColumnRenamed("text_hash", "hit")
+    return rows.join(held, F.col("text_hash") == F.col("hit"), "left_anti").select("row.*")

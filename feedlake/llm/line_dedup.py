@@ -61,29 +61,34 @@ def without_boilerplate(
     host: str = "source",
     most_percent: int = MOST_PERCENT,
     least_pages: int = LEAST_PAGES,
+    dropped: str = "n_dropped",
 ) -> DataFrame:
-    """`docs` with boilerplate lines taken out of `text`, and `n_dropped` lines.
+    """`docs` with boilerplate lines taken out of `text`, and how many lines were, as `dropped`.
 
     The kept lines stay as they are and in order; blank lines stay. A null text stays null. All
-    other columns stay; one called n_dropped is replaced. Repeated rows are each returned.
+    other columns stay, whatever they are called; one called as `dropped` is replaced. Repeated rows
+    are each returned.
 
     A host's boilerplate is a short list: with at most so many lines a page, no more than that over
     the ratio can exceed it. The lists are written first, so Spark knows their size when it chooses
     between a broadcast and a shuffle by host, whose skewed partitions it splits.
     """
     found = settle(boilerplate(docs, host, most_percent, least_pages), "boilerplate")
-    found = found.toDF("_host", "_lines")
-    joined = docs.drop("n_dropped").join(found, F.col(host).eqNullSafe(F.col("_host")), "left")
-    lines = F.split("text", "\n", -1)
-    listed = F.coalesce("_lines", F.array().cast("array<bigint>"))
+    found = found.toDF("of_host", "listed")
+    kept_names = [c for c in docs.columns if c.lower() != dropped.lower()]
+    row = F.col("row")
+    joined = docs.select(F.struct(*(f"`{c}`" for c in kept_names)).alias("row")).join(
+        found, row[host].eqNullSafe(F.col("of_host")), "left"
+    )
+    lines = F.split(row["text"], "\n", -1)
+    listed = F.coalesce("listed", F.array().cast("array<bigint>"))
     stays = F.filter(
         lines, lambda line: ~F.coalesce(F.array_contains(listed, _line_key(line)), F.lit(False))
     )
-    kept = F.when(F.col("_lines").isNull(), lines).otherwise(stays)
+    kept = F.when(F.col("listed").isNull(), lines).otherwise(stays)
     columns = [
-        F.array_join(kept, "\n").alias(c) if c == "text" else F.col(f"`{c}`")
-        for c in docs.columns
-        if c.lower() != "n_dropped"
+        (F.array_join(kept, "\n") if c == "text" else row[c]).alias(c) for c in kept_names
     ]
-    dropped = F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).cast("long")
-    return joined.select(*columns, dropped.alias("n_dropped"))
+    n_dropped = F.coalesce(F.size(lines) - F.size(kept), F.lit(0)).cast("long")
+    # as one struct, in which no name can stand for another column
+    return joined.select(F.struct(*columns, n_dropped.alias(dropped)).alias("row")).select("row.*")

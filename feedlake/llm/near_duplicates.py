@@ -357,8 +357,12 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     repeats.
     """
     kept = near_duplicates(docs.select("doc_id", "text"), percent).where("kept")
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    marked = docs.withColumn("_text_hash", text_hash())
-    same = marked["doc_id"].eqNullSafe(kept["_id"]) & marked["_text_hash"].eqNullSafe(kept["_hash"])
-    stays = marked.join(kept, same, "left_semi")
-    return stays.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    kept = kept.select(F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash"))
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").alias("id"),
+        text_hash().alias("hash"),
+    )
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & F.col("hash").eqNullSafe(F.col("kept_hash"))
+    stays = rows.join(kept.distinct(), same, "left_semi")
+    return stays.dropDuplicates(["id", "hash"]).select("row.*")

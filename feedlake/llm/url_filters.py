@@ -65,8 +65,9 @@ def filtered_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """`captures` with `host, pattern, action, blocked`: the entry that decides each capture.
 
     `captures` has `url` and a `fetched_on` date. Without an entry that holds, or without a host or
-    a date, pattern and action are null and the capture is not blocked. All other columns stay; ones
-    called like an output column are replaced. Repeated rows are each returned.
+    a date, pattern and action are null and the capture is not blocked. All other columns stay,
+    whatever they are called; ones called like an output column are replaced. Repeated rows are each
+    returned.
     """
     held = settle(intervals(entries), "intervals")
     # an open interval ends with the last capture, and none need start before the first
@@ -79,7 +80,9 @@ def filtered_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
     own = {"host", "pattern", "action", "blocked"}
     kept = [c for c in captures.columns if c.lower() not in own]
     # one question per host and day, however many captures ask it
-    named = captures.select(*[f"`{c}`" for c in kept], host_of().alias("host"))
+    named = captures.select(
+        F.struct(*[f"`{c}`" for c in kept]).alias("row"), host_of().alias("host"), "fetched_on"
+    )
     asked = named.where("host is not null and fetched_on is not null")
     asked = asked.select("host", "fetched_on").distinct()
     tried = asked.select(
@@ -93,13 +96,13 @@ def filtered_captures(captures: DataFrame, entries: DataFrame) -> DataFrame:
         .groupBy("host", "fetched_on")
         .agg(F.max_by(F.struct("pattern", "action"), F.length("pattern")).alias("entry"))
         .select(
-            F.col("host").alias("_host"), F.col("fetched_on").alias("_day"),
+            F.col("host").alias("of_host"), F.col("fetched_on").alias("of_day"),
             "entry.pattern", "entry.action",
         )
     )
-    same = (F.col("host") == F.col("_host")) & (F.col("fetched_on") == F.col("_day"))
+    same = (F.col("host") == F.col("of_host")) & (F.col("fetched_on") == F.col("of_day"))
     return named.join(answers, same, "left").select(
-        *[f"`{c}`" for c in kept],
+        "row.*",
         "host",
         "pattern",
         "action",

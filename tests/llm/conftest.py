@@ -20,7 +20,9 @@ TEXTS = [
 def awkward(spark):
     """Documents with every awkward value, and columns called like helpers and outputs."""
     rows = spark.createDataFrame(TEXTS, "doc_id bigint, text string").repartition(3)
-    names = ["row", "class", "score", "failed_rule", "n_dropped", "start", "length", "host", "_id"]
+    names = ["row", "class", "score", "failed_rule", "n_dropped", "start", "length", "host", "_id",
+             "kept", "id", "hash", "_lines", "_host", "_day", "_hit_text", "_text_hash", "hit",
+             "listed", "of_host", "text_hash", "own", "part", "word"]
     return rows.select(
         "*",
         F.lit("en").alias("lang"),

@@ -39,12 +39,23 @@ def test_boilerplate_is_relative_to_the_host(spark):
     assert sum(r.text.startswith("menu\nown") for r in rows) == 4
 
 
-def test_awkward_rows(awkward, empty):
+def test_awkward_rows(spark, awkward, empty):
     cleaned = without_boilerplate(awkward, least_pages=1)
     assert set(cleaned.columns) == set(awkward.columns)
     rows = {(r.doc_id, r.text, r.n_dropped) for r in cleaned.collect()}
     assert (1, None, 0) in rows and (2, "", 0) in rows and (3, " \n\t ", 0) in rows
     assert cleaned.count() == 9 and without_boilerplate(empty).count() == 0
+    other = without_boilerplate(awkward, least_pages=1, dropped="gone")
+    own = other.select("n_dropped", "_lines", "_host", "`a.b`").distinct().collect()
+    assert [tuple(r) for r in own] == [("own",) * 4]
+    captures = awkward.withColumn("url", F.lit("http://a.b/")).withColumn(
+        "fetched_on", F.lit("2024-01-02").cast("date")
+    )
+    entries = spark.createDataFrame([("a.b", D(2024, 1, 1), "block")],
+                                    "pattern string, listed_on date, action string")
+    found = filtered_captures(captures, entries)
+    own = found.select("blocked", "host", "_host", "_day", "of_host", "`a.b`").distinct().collect()
+    assert [tuple(r) for r in own] == [(True, "a.b", "own", "own", "own", "own")]
 
 
 def captured(spark, rows, entries):
