@@ -1,0 +1,204 @@
+"""The pipeline's stages and `run`, each against plain Python."""
+
+import itertools
+import os
+import random
+import re
+import sys
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+from test_packing import Tokenizer
+from test_quality import measured
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+import corpus_pipeline  # noqa: E402
+from feedlake.llm.line_dedup import BLANK  # noqa: E402
+
+SPACED = re.compile(r"[^\x20\x09-\x0D]+")
+ALPHANUMERIC = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def quality_rules(rows):
+    def passes(text):
+        words, chars, symbols, lines, again, repeated = measured(text or "")
+        return not (
+            words < 50 or 100 * repeated > 50 * words or chars < 2 * words or chars > 16 * words
+            or 100 * symbols > 10 * words or 100 * again > 60 * lines
+        )
+
+    return [r for r in rows if passes(r[1])]
+
+
+def line_dedup(rows):
+    pages = defaultdict(set)
+    for _, text, _, source, _ in rows:
+        pages[source].add(text or "")
+    often = {}
+    for source, texts in pages.items():
+        held = Counter(line for t in texts for line in {x.strip(BLANK) for x in t.split("\n")})
+        often[source] = {
+            x for x, n in held.items() if x and n >= 5 and 100 * n > 10 * len(texts)
+        }
+    out = []
+    for doc_id, text, lang, source, n_chars in rows:
+        lines = (text or "").split("\n")
+        left = [x for x in lines if x.strip(BLANK) not in often[source]]
+        if len(left) < len(lines):
+            text = "\n".join(left)
+            n_chars = len(text)
+        out.append((doc_id, text, lang, source, n_chars))
+    return out
+
+
+def near_dedup(rows):
+    """Of rows with equal id and text one stays, so they are merged first."""
+    rows = list({r[:2]: r for r in rows}.values())
+    sets = []
+    for _, text, *_ in rows:
+        words = SPACED.findall((text or "").translate(LOWER))
+        grams = {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+        sets.append(grams or ({tuple(words)} if words else set()))
+    label = list(range(len(rows)))
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+            label[root(i)] = root(j)
+    least = {}
+    for i, (doc_id, *_) in enumerate(rows):
+        key = float("inf") if doc_id is None else doc_id
+        least[root(i)] = min(least.get(root(i), key), key)
+    return [
+        r for i, r in enumerate(rows)
+        if not sets[i] or least[root(i)] == (float("inf") if r[0] is None else r[0])
+    ]
+
+
+def decontamination(rows, items):
+    windows = set()
+    for text in items:
+        words = ALPHANUMERIC.findall((text or "").translate(LOWER))
+        windows |= {tuple(words[i : i + 10]) for i in range(max(1, len(words) - 9)) if words}
+    sizes = {len(w) for w in windows}
+
+    def hit(text):
+        words = ALPHANUMERIC.findall((text or "").translate(LOWER))
+        return any(
+            tuple(words[i : i + n]) in windows for n in sizes for i in range(len(words) - n + 1)
+        )
+
+    return [r for r in rows if not hit(r[1])]
+
+
+def check_packing(rows, packed):
+    """Every id of every document lies in one piece, and no sequence is overfull or has gaps."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    tokenizer.encode_special_tokens = True
+    want = Counter()
+    for doc_id, text, *_ in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        want[doc_id, len(ids)] += 1
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in packed:
+        by_doc[r.doc_id, r.doc_tokens].append((r.start, r.length))
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    assert by_doc.keys() == want.keys()
+    for (_, size), pieces in by_doc.items():
+        assert sum(n for _, n in pieces) % size == 0
+    for (key, size), count in want.items():
+        assert sum(n for _, n in by_doc[key, size]) == count * size
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 4096
+
+
+def corpus():
+    rng = random.Random(11)
+    words = [f"word{i}" for i in range(500)] + ["Éa", "日本", "Mixed"]
+    texts = [" ".join(rng.choices(words, k=rng.choice([10, 49, 50, 80, 120]))) for _ in range(70)]
+    texts += [t + " tail" for t in texts[:10]] + texts[:8] + ["ab ab ab " * 30, "# $ " * 40, "w" * 900]
+    items = [" ".join(rng.choices(words, k=25)) for _ in range(4)] + ["shorter than ten", None, ""]
+    for k in range(12):
+        t = texts[20 + k].split(" ")
+        t[3:3] = items[k % 3].split(" ")[k % 5 :]
+        texts.append(" ".join(t))
+    texts.append(texts[30] + " Shorter THAN ten")
+    rows = []
+    for i, text in enumerate(texts):
+        source = rng.choice(["a", "b", None])
+        lines = text.replace(" ", "\n", 2) if i % 7 == 0 else text
+        if i % 2 and source == "a":
+            lines = "Menu of a\n" + lines + "\n  Menu of a \n\nown"
+        rows.append((rng.randrange(10**6), lines, "en", source, len(lines)))
+    rows += [(None, texts[1], "en", "a", 5), (7, None, "en", "a", None), (8, "", None, None, 0)]
+    rows += [rows[4], rows[4], (9, "  \n ", "en", "b", 4)]
+    return rows, items
+
+
+@pytest.fixture(scope="module")
+def given(spark, tmp_path_factory):
+    rows, items = corpus()
+    folder = str(tmp_path_factory.mktemp("tables"))
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    bench.selectExpr("cast(item_id as string) AS item_id", "text").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.createDataFrame(rows, COLUMNS)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    return rows, items, folder
+
+
+def plain(df):
+    return Counter(map(tuple, df.collect()))
+
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.mark.parametrize("name", ["quality_rules", "line_dedup", "near_dedup", "decontamination"])
+def test_a_filtering_stage(spark, given, name):
+    rows, items, folder = given
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(3)
+    want = globals()[name](rows, items) if name == "decontamination" else globals()[name](rows)
+    found = STAGES[name](spark, docs, folder)
+    assert found.dtypes == docs.dtypes
+    assert plain(found) == Counter(want)
+    assert Counter(want) != Counter(rows)
+
+
+def test_the_last_stage(spark, given):
+    rows, _, folder = given
+    docs = spark.createDataFrame(rows, COLUMNS)
+    check_packing(rows, corpus_pipeline.packing(spark, docs, folder).collect())
+
+
+def test_all_stages_in_a_row(spark, given):
+    rows, items, folder = given
+    left = decontamination(near_dedup(line_dedup(quality_rules(rows))), items)
+    assert 20 < len(left) < len(rows)
+    check_packing(left, corpus_pipeline.run(spark, folder).collect())
+
+
+def test_awkward_rows_pass_every_stage(spark, given, awkward, empty):
+    """The caller's columns come back as they were, also where they are called like helpers."""
+    _, _, folder = given
+    own = [c for c in awkward.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, awkward, folder)
+        assert found.columns == awkward.columns, name
+        rows = found.collect()
+        assert rows and all(r[c] == "own" for r in rows for c in own), name
+        assert stage(spark, empty, folder).count() == 0, name
+        assert stage(spark, awkward.select("doc_id", "text"), folder).columns == ["doc_id", "text"]
+    assert corpus_pipeline.packing(spark, awkward, folder).count() >= 9
+    assert corpus_pipeline.packing(spark, empty, folder).count() == 0
