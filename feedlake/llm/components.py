@@ -14,7 +14,7 @@ def _star(edges: DataFrame, small: bool) -> DataFrame:
     if small:
         both = both.where("a > b")
     least = both.groupBy("a").agg(F.min("b").alias("least"))
-    least = least.select("a", F.least("a", "least").alias("least"))
+    least = settle(least.select("a", F.least("a", "least").alias("least")), "least")
     linked = both.join(least, "a")
     wanted = linked if small else linked.where("b > a")
     out = wanted.select(F.col("b").alias("a"), F.col("least").alias("b"))
@@ -30,8 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
     """`id, label` of every node of `edges(a, b)`; the label is the smallest id it can reach.
 
     Every round halves the longest way to the label or better. The edges are written between
-    rounds, and no node's links are gathered anywhere: minima are taken before the shuffle, and a
-    node with many links is a join with a skewed key, which Spark splits.
+    rounds, and no node's links are gathered anywhere: minima are taken before the shuffle and
+    written, so that the join with them reads both sides anew and Spark can split a node with many
+    links.
     """
     now = settle(edges.select("a", "b").where("a <> b").distinct(), "edges")
     before = None

@@ -208,12 +208,14 @@ def _central_stars(shared: DataFrame) -> DataFrame:
     """Pairs of each bucket's hub with its other classes.
 
     The hub is the class that meets most others over all buckets: of copies that were each changed a
-    little, the one nearest to what they were made from.
+    little, the one nearest to what they were made from. What is joined back to the buckets is
+    written first: then Spark can split a bucket that holds many classes.
     """
-    sizes = shared.groupBy("bucket").agg(F.count("*").alias("n"))
-    met = shared.join(sizes, "bucket").groupBy("class").agg(F.sum("n").alias("met"))
+    sizes = settle(shared.groupBy("bucket").agg(F.count("*").alias("n")), "sizes")
+    met = settle(shared.join(sizes, "bucket").groupBy("class").agg(F.sum("n").alias("met")), "met")
     ranked = shared.join(met, "class")
     hubs = ranked.groupBy("bucket").agg(F.max(F.struct("met", "class"))["class"].alias("hub"))
+    hubs = settle(hubs, "hubs")
     return (
         shared.join(hubs, "bucket")
         .where(F.col("hub") != F.col("class"))
@@ -228,7 +230,7 @@ def _unsettled(shared: DataFrame, labels: DataFrame) -> DataFrame:
         "bucket", "class", F.coalesce("label", "class").alias("label")
     )
     several = named.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    several = several.where("x <> y").select("bucket")
+    several = settle(several.where("x <> y").select("bucket"), "several")
     return named.join(several, "bucket").groupBy("class").agg(F.first("label").alias("label"))
 
 
@@ -257,7 +259,7 @@ def _rare_partners(sets: DataFrame, unsettled: DataFrame, percent: int) -> DataF
     a shingle's sets are mostly of one component, only the others look for partners.
     """
     spread = settle(_shingles(sets.join(unsettled, "class", "left_semi")), "shingles")
-    held = spread.groupBy("shingle").agg(F.count("*").alias("held"))
+    held = settle(spread.groupBy("shingle").agg(F.count("*").alias("held")), "held")
     ordered = (
         spread.join(held, "shingle")
         .groupBy("class")
@@ -274,8 +276,9 @@ def _rare_partners(sets: DataFrame, unsettled: DataFrame, percent: int) -> DataF
     prefix = settle(prefix.select("shingle", "class", "n", "at", "label"), "prefixes")
 
     sizes = prefix.groupBy("shingle", "label").agg(F.count("*").alias("k"))
-    main = sizes.groupBy("shingle").agg(F.max_by("label", "k").alias("main"))
+    main = settle(sizes.groupBy("shingle").agg(F.max_by("label", "k").alias("main")), "main")
     minor = prefix.join(main, "shingle").where(F.col("label") != F.col("main")).drop("main")
+    minor = settle(minor, "minor")
     a = minor.toDF("shingle", "a", "n_a", "at_a", "label_a")
     b = prefix.toDF("shingle", "b", "n_b", "at_b", "label_b")
     overlap = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
