@@ -1,3 +1,4 @@
+from feedlake.operators.drift import stage_drift
 from feedlake.operators.measures import (
     drilldown,
     per_default_window,
@@ -19,9 +20,10 @@ __all__ = [
     "limit_offset",
     "missing_days",
     "page_counts",
-    "record_total",
     "per_default_window",
+    "record_total",
     "rejects",
+    "stage_drift",
     "typed_rows",
     "weekly_run_dates",
 ]

@@ -1,3 +1,4 @@
+from feedlake.plans.backfills import backfill, read_ledger, windows
 from feedlake.plans.jobs import (
     LoadReport,
     append_stage,
@@ -25,6 +26,7 @@ __all__ = [
     "UpsertReport",
     "append",
     "append_stage",
+    "backfill",
     "create_if_absent",
     "create_raw",
     "create_statement",
@@ -32,10 +34,12 @@ __all__ = [
     "footprint",
     "load_feed",
     "newest_per_key",
+    "read_ledger",
     "read_window",
     "replace_from_stage",
     "replace_window",
     "stage_measure",
     "stage_rejects",
     "upsert",
+    "windows",
 ]

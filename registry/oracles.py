@@ -143,6 +143,25 @@ ORACLES = {
            CAST(sum(vehicles_vtoll + CASE WHEN date >= DATE '1997-12-20'
                 AND date < DATE '1998-02-10' THEN 1 ELSE 0 END) AS BIGINT) AS vtoll
     FROM Y GROUP BY date""",
+    "stage_drift": f"""WITH {YEARS},
+    staged AS (SELECT CAST(hour AS INT) AS hour, CAST(plaza_id AS INT) AS plaza FROM Y)
+    SELECT * FROM (
+        SELECT 'plaza_id' AS field, 'string' AS kind, count(*) AS n_values, true AS declared,
+               false AS conflict FROM staged
+        UNION ALL SELECT 'date', 'string', count(*), true, false FROM staged WHERE hour >= 6
+        UNION ALL SELECT 'hour', 'number', count(*), true, true FROM staged
+        UNION ALL SELECT 'direction', 'boolean', count(*), true, true FROM staged
+        UNION ALL SELECT 'vehicles_e_zpass', 'string', count(*), true, false FROM staged
+        UNION ALL SELECT 'vehicles_vtoll', 'absent', 0, true, false
+        UNION ALL SELECT 'note', 'string', count(*), false, false FROM staged WHERE hour < 12
+        UNION ALL SELECT 'lane', 'object', count(*), false, false FROM staged WHERE plaza > 25)
+    WHERE n_values > 0 OR kind = 'absent'""",
+    "backfill_ledger": f"""WITH {YEARS},
+    edges AS (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31',
+                          INTERVAL 366 DAY)) AS DATE) AS start),
+    spans AS (SELECT start, least(CAST(start + 366 AS DATE), DATE '2002-01-01') AS stop FROM edges)
+    SELECT start, stop, count(Y.date) AS n_rows, count(Y.date) AS n_held
+    FROM spans LEFT JOIN Y ON date >= start AND date < stop GROUP BY start, stop""",
     "upsert_window": f"""WITH {MONTH},
     corrected AS (
         SELECT * REPLACE (CAST(vehicles_vtoll + 1 AS INT) AS vehicles_vtoll) FROM T

@@ -19,6 +19,7 @@ from feedlake.operators import (
     page_counts,
     per_default_window,
     record_total,
+    stage_drift,
     typed_rows,
     weekly_run_dates,
 )
@@ -27,10 +28,12 @@ from feedlake.plans import (
     LoadReport,
     append,
     append_stage,
+    backfill,
     create_if_absent,
     create_raw,
     footprint,
     load_feed,
+    read_ledger,
     read_window,
     replace_window,
     stage_measure,
@@ -351,6 +354,43 @@ def replace_window_year(spark, sf_dir):
     return _sums(spark.table(loaded.name), "date")
 
 
+def stage_fields(spark, sf_dir):
+    """Fields of a stage that has drifted: one is new, one is a number, one is at times missing."""
+    feed = years_feed(spark, sf_dir)
+    plazas, hours = F.col("plaza_id").cast("int"), F.col("hour").cast("int")
+    drifted = feed.select(
+        "plaza_id",
+        F.when(hours >= 6, F.col("date")).alias("date"),
+        F.when(hours < 12, F.to_json(F.struct("hour"))).alias("note"),
+        hours.alias("hour"),
+        F.when(plazas > 25, F.struct("plaza_id", "direction")).alias("lane"),
+        (plazas % 2 == 0).alias("direction"),
+        "vehicles_e_zpass",
+    )
+    stage = scratch_path(spark, "stage")
+    write_stage(drifted, stage)
+    return stage_drift(spark, stage)
+
+
+def backfill_ledger(spark, sf_dir):
+    """A backfill year by year, twice: the second call finds all windows done."""
+    loaded = FeedTable(f"{scratch_database(spark)}.traffic_hourly", by="year")
+    stage, ledger = scratch_path(spark, "stage"), scratch_path(spark, "ledger")
+    for _ in range(2):
+        backfill(
+            spark, lambda a, b: years_feed(spark, sf_dir, a, b), stage, loaded, ledger, *ALL_YEARS
+        )
+    held = spark.table(loaded.name).groupBy("date").agg(F.count("*").alias("n"))
+    noted = read_ledger(spark, ledger).select("start", "stop", "n_rows")
+    inside = (F.col("date") >= F.col("start")) & (F.col("date") < F.col("stop"))
+    # few windows and a sum per day
+    return (
+        noted.join(held, inside, "left")
+        .groupBy("start", "stop", "n_rows")
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_held"))
+    )
+
+
 def _corrections(spark, sf_dir):
     """Of a week's rows in direction I: a corrected one, an older one, and one of another plaza."""
     rows = typed_rows(month_feed(spark, sf_dir, *WEEK)).where("direction = 'I'")
@@ -466,6 +506,8 @@ QUERIES = {
     "replace_window": replace_window_day,
     "replace_window_year": replace_window_year,
     "upsert_window": upsert_window,
+    "stage_drift": stage_fields,
+    "backfill_ledger": backfill_ledger,
     "read_window_year": read_window_year,
     "incremental_stage": incremental_stage,
     "sql_on_table": sql_on_table,

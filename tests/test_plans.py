@@ -74,8 +74,8 @@ def test_limits_cap_no_tasks(spark):
 
 # calls that move rows, and where a bounded number of them may
 BOUNDED = {
-    # one name per partition, and one per file that a replacement writes again
-    ".collect(": [f"feedlake/plans/{name}.py" for name in ("tables", "swaps", "upserts")],
+    # one name per partition, per file that a replacement writes again, per window that is done
+    ".collect(": [f"feedlake/plans/{n}.py" for n in ("tables", "swaps", "upserts", "backfills")],
     "to_pylist": [],
     "mkdtemp": [],
     "tempfile": [],
