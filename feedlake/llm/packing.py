@@ -25,6 +25,9 @@ from feedlake.llm.text import blocks, row_numbers
 from feedlake.llm.tokens import word_encoder
 from feedlake.workspace import settle
 
+# Bytes of text whose words are held as Python strings at a time.
+BLOCK_BYTES = 1 << 20
+
 WINDOW = 4096
 END_ID = 2
 
@@ -46,7 +49,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, ids: bool = Fa
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, done = word_encoder(tokenizer), 0
-        for rows, data, bounds in blocks(batches, "text"):
+        for rows, data, bounds in blocks(batches, "text", BLOCK_BYTES):
             owner, starts, lengths, totals, crcs, parts, bodies = [], [], [], [], [], [], []
             for i, body in enumerate(encoder.encode(data, bounds)):
                 body = np.append(body, np.uint32(END_ID))
