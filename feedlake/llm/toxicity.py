@@ -5,8 +5,10 @@ hashed into `2^BITS` places. Words are lower-cased (A-Z) runs of letters and dig
 a learning rate per coordinate, and its L1 term leaves a weight of exactly zero to all features that
 labels say little about, so the model is a short list of places and weights.
 
-The model is fitted on a sample of at most `MOST_ROWS` labelled rows, drawn by a hash of the id: a
-documented bound. Of an id that repeats, one row is in the sample. Scoring reads every text whole.
+The model is fitted on a sample of labelled rows, drawn by a hash of the id: the first `MOST_ROWS` in
+the order of that hash, or fewer, as many as hold `MOST_PLACES` features together. Both are
+documented bounds, of rows and of memory. Of an id that repeats, one row is in the sample. Scoring
+reads every text whole.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField
@@ -25,6 +28,7 @@ from feedlake.workspace import settle
 
 BITS = 22
 MOST_ROWS = 16_000
+MOST_PLACES = 64 << 20  # four bytes each in the task that trains
 
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 15.0, 0.1
 EPOCHS = 6
@@ -56,13 +60,28 @@ def features(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.concatenate([r for r, _ in parts]), places.astype(np.int64)
 
 
+def _smallest(known: DataFrame, most: int) -> DataFrame:
+    """Rows of `known` that hold its `most` smallest values of `order`, and few others.
+
+    Hashes are spread evenly, so a bound that twice as many should lie below is enough; if it is not,
+    it is raised. Thus no task has many rows to sort, however many labels there are.
+    """
+    total, wanted = known.count(), 2 * most
+    while wanted < total:
+        below = known.where(F.col("order") < int(-(2**63) + 2**64 * (wanted / total)))
+        if below.count() >= most:
+            return below
+        wanted *= 2
+    return known
+
+
 def _training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """`toxic, order, places` of the sampled labelled rows, one for each id that is drawn."""
     known = labels.where("doc_id is not null and toxic is not null")
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = F.xxhash64(F.col("doc_id").cast("string")).alias("order")
-    drawn = known.select("doc_id", "toxic", order).orderBy("order", "doc_id").limit(most)
-    drawn = settle(drawn, "drawn")
+    known = settle(known.select("doc_id", "toxic", order), "labelled")
+    drawn = settle(_smallest(known, most).orderBy("order", "doc_id").limit(most), "drawn")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, bounds in blocks(batches, "text"):
@@ -76,8 +95,8 @@ def _training_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
                 names=["toxic", "order", "places"],
             )
 
-    # at most `most` ids
-    chosen = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    # at most `most` ids, written, so that Spark knows their size
+    chosen = docs.select("doc_id", "text").join(drawn, "doc_id")
     # of several rows of an id one counts, whichever task they are in: the one of the smallest hash
     hashed = F.struct(F.xxhash64("text").alias("hash"), "text")
     chosen = chosen.groupBy("doc_id", "toxic", "order").agg(F.min(hashed).alias("least"))
@@ -107,19 +126,40 @@ def _fit(examples: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray
     return held, weight(held), float(weight(np.array([bias]))[0])
 
 
-def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
+def _examples(batches: Iterator[pa.RecordBatch], most: int) -> list[tuple[int, np.ndarray]]:
+    """Label and places of the first rows, as many as hold `most` places; at least one row.
+
+    The places are slices of the batches that came, not copies.
+    """
+    found, held = [], 0
+    for batch in batches:
+        lists = batch.column("places")
+        places, ends = lists.flatten().to_numpy(), np.cumsum(pc.list_value_length(lists))
+        first = 0
+        for toxic, end in zip(batch.column("toxic").to_numpy(), ends, strict=True):
+            held += int(end) - first
+            if found and held > most:
+                return found
+            found.append((int(toxic), places[first:end]))
+            first = int(end)
+    return found
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS, most_places: int = MOST_PLACES
+) -> Model:
     """A model of `labels(doc_id, toxic)` for the texts of `docs`.
 
     A document with several labels counts as toxic if one says so; labels without id or value are
-    left out. Without any labelled text the model knows nothing and scores 0.
+    left out. Without any labelled text the model knows nothing and scores 0. Rows are taken in the
+    order of their id's hash until there are `most`, or until the next would make over `most_places`
+    features.
     """
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [row for batch in batches for row in batch.to_pylist()]
-        rows.sort(key=lambda row: (row["order"], row["toxic"], len(row["places"])))
-        if not rows:
+        examples = _examples(batches, most_places)
+        if not examples:
             return
-        examples = [(row["toxic"], np.array(row["places"], np.int64)) for row in rows]
         places, weights, bias = _fit(examples)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(places, -1)), pa.array(np.append(weights, bias))],
@@ -128,7 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
 
     # one task by design: the sample is bounded, and each step depends on the last
     examples = _training_rows(docs, labels, most).repartition(1)
-    found = dict(examples.mapInArrow(train, "place bigint, weight double").collect())
+    ordered = examples.sortWithinPartitions("order", "toxic", F.size("places"))
+    found = dict(ordered.mapInArrow(train, "place bigint, weight double").collect())
     bias = found.pop(-1, None)
     if bias is None:
         return Model(np.empty(0, np.int64), np.empty(0), -np.inf)

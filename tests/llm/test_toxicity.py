@@ -97,3 +97,64 @@ def test_an_id_that_repeats_is_one_training_row(spark):
     assert len(rows) == 50 and len({r.order for r in rows}) == 50
     again = _training_rows(hot.union(docs).repartition(3), labels, 50).collect()
     assert sorted(map(str, rows)) == sorted(map(str, again))
+
+
+def test_training_equals_plain_ftrl():
+    from feedlake.llm import toxicity as t
+
+    rng = random.Random(7)
+    examples = [(int(rng.random() < 0.4), sorted(rng.sample(range(60), rng.randint(0, 12))))
+                for _ in range(400)]
+    z, n = {}, {}
+
+    def weight(i):
+        l1 = 0 if i == "bias" else t.L1
+        if abs(z.get(i, 0)) <= l1:
+            return 0.0
+        shrunk = z[i] - l1 if z[i] > 0 else z[i] + l1
+        return -shrunk / ((t.BETA + n[i] ** 0.5) / t.ALPHA + t.L2)
+
+    for _ in range(t.EPOCHS):
+        for toxic, places in examples:
+            at = [*places, "bias"]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - toxic
+            for i in at:
+                sigma = ((n.get(i, 0) + g * g) ** 0.5 - n.get(i, 0) ** 0.5) / t.ALPHA
+                z[i] = z.get(i, 0) + g - sigma * w[i]
+                n[i] = n.get(i, 0) + g * g
+    places, weights, bias = t._fit([(y, np.array(p, np.int32)) for y, p in examples])
+    expected = {i: weight(i) for i in z if i != "bias" and weight(i)}
+    assert dict(zip(places.tolist(), weights, strict=True)) == pytest.approx(expected)
+    assert expected and bias == pytest.approx(weight("bias"))
+
+
+@pytest.mark.parametrize(("most", "rows"), [(0, 1), (5, 2), (6, 4), (100, 5)])
+def test_training_rows_are_bounded_in_memory(most, rows):
+    import pyarrow as pa
+
+    from feedlake.llm.toxicity import _examples
+
+    lists = [[1, 2], [3, 4, 5], [6], [], [7, 8]]
+    whole = pa.RecordBatch.from_arrays(
+        [pa.array([1, 0, 1, 0, 1], pa.int32()), pa.array(lists, pa.list_(pa.int32()))],
+        names=["toxic", "places"],
+    )
+    for batches in ([whole], [whole.slice(0, 2), whole.slice(2)]):
+        found = _examples(iter(batches), most)
+        assert len(found) == rows  # an empty list always fits
+        assert [p.tolist() for _, p in found] == lists[: len(found)]
+
+
+def test_the_smallest_hashes_are_all_found(spark):
+    from pyspark.sql import functions as F
+
+    from feedlake.llm.toxicity import _smallest
+
+    known = spark.range(5000).withColumn("order", F.xxhash64("id"))
+    least = [r.order for r in known.orderBy("order").limit(100).collect()]
+    near = _smallest(known, 100)
+    assert near.count() < 500
+    assert [r.order for r in near.orderBy("order").limit(100).collect()] == least
+    # hashes that are all alike, and large
+    assert _smallest(known.withColumn("order", F.lit(2**62)), 100).count() == 5000
