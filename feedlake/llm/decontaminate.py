@@ -8,7 +8,9 @@ in a document and in an item, so no shared span of `WINDOW` words is missed.
 Document windows whose fingerprint is one of the items' (a bitmap of fixed size tells, and lets some
 others through) are joined with the items' windows on a 128-bit hash, which settles the hit and its
 extent. Windows are joined as distinct ones, so a passage that many items and many documents hold
-does not multiply; its items are attached to each document afterwards.
+does not multiply: a hit carries the name of a list of items, and each document's lists are attached
+to it once, afterwards. Pairs that share a fingerprint alone are not made, as a frequent one would
+make them for all its documents and items; the hash of the whole window stands for the extension.
 """
 
 from __future__ import annotations
@@ -182,21 +184,28 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     prints = bitmap(items, "print")
     marked = settle(_candidates(docs, prints, sizes or [WINDOW]), "windows")
 
-    windows = settle(items.groupBy(*_KEY).agg(F.collect_set("item").alias("items")), "windows")
-    hits = (
+    # windows with the same items share a list of them, which hits name by its hash
+    held = items.groupBy(*_KEY).agg(F.sort_array(F.collect_set("item")).alias("items"))
+    held = settle(held.withColumn("listed", F.md5(F.to_json("items").cast("binary"))), "held")
+    hits = settle(
         marked.where(F.size("windows") > 0)
         .select("row", F.inline("windows"))
-        .join(windows, _KEY)
-        .select("row", "start", (F.col("start") + F.col("size")).alias("end"), "items")
+        .join(held.select(*_KEY, "listed"), _KEY)
+        .select("row", "start", (F.col("start") + F.col("size")).alias("end"), "listed"),
+        "hits",
     )
-    per_row = (
-        settle(hits, "hits")
+    covered = hits.groupBy("row").agg(
+        F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")
+    )
+    lists = held.groupBy("listed").agg(F.first("items").alias("items"))
+    named = (
+        hits.select("row", "listed")
+        .distinct()
+        .join(lists, "listed")
         .groupBy("row")
-        .agg(
-            F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"),
-            F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        )
+        .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     )
+    per_row = covered.join(named, "row")
     none = F.array().cast("array<struct<start: bigint, end: bigint>>")
     spans = F.coalesce("spans", none)
     return marked.join(per_row, "row", "left").select(
