@@ -273,12 +273,12 @@ def rewrite(
     swap_files(spark, location, touched, ready.select(*columns), table.partition_columns)
     result = counted.get
     add_partitions(spark, table, [(row["value"],) for row in result.pop("_written")])
-    _drop_emptied(spark, table, location, touched)
+    drop_emptied(spark, table, location, touched)
     spark.catalog.refreshTable(table.name)
     return result
 
 
-def _drop_emptied(spark, table, location, gone: Iterable[str]) -> None:
+def drop_emptied(spark, table, location, gone: Iterable[str]) -> None:
     """Drop the partitions of files that went, where no file is left."""
     column = table.partition_column
     values = {partition_of(path, column) for path in gone} - {None}

@@ -171,6 +171,19 @@ ORACLES = {
     FROM (SELECT * REPLACE ('9' || plaza_id AS plaza_id) FROM corrected)
     UNION ALL SELECT {MONTH_COLUMNS} FROM T
     WHERE NOT (date >= DATE '2024-01-08' AND date < DATE '2024-01-15' AND direction = 'I')""",
+    "kept_sums": f"""WITH {MONTH},
+    held AS (
+        SELECT {MONTH_COLUMNS} FROM T
+        WHERE date < DATE '2024-01-13' OR date >= DATE '2024-01-18'
+        UNION ALL SELECT {MONTH_COLUMNS} FROM T
+        WHERE date >= DATE '2024-01-08' AND date < DATE '2024-01-13'
+        UNION ALL SELECT * REPLACE (vehicles_vtoll + 1 AS vehicles_vtoll)
+        FROM (SELECT {MONTH_COLUMNS} FROM T)
+        WHERE date >= DATE '2024-01-13' AND date < DATE '2024-01-18' AND direction = 'I')
+    SELECT date, plaza_id, direction, count(*) AS n_rows,
+           CAST(sum(vehicles_e_zpass) AS BIGINT) AS vehicles_e_zpass,
+           CAST(sum(vehicles_vtoll) AS BIGINT) AS vehicles_vtoll
+    FROM held GROUP BY ALL""",
     "read_window_year": f"""WITH {YEARS}
     SELECT {MONTH_COLUMNS} FROM Y WHERE date >= DATE '1998-12-28' AND date < DATE '1999-01-04'""",
     "incremental_stage": f"WITH {MONTH} SELECT date, {SUMS} FROM T GROUP BY date",

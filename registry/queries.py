@@ -24,13 +24,16 @@ from feedlake.operators import (
     weekly_run_dates,
 )
 from feedlake.plans import (
+    DailySums,
     FeedTable,
     LoadReport,
     append,
     append_stage,
+    append_summed,
     backfill,
     create_if_absent,
     create_raw,
+    create_sums,
     footprint,
     load_feed,
     read_ledger,
@@ -38,6 +41,7 @@ from feedlake.plans import (
     replace_window,
     stage_measure,
     stage_rejects,
+    summed_again,
     upsert,
 )
 from feedlake.sources import (
@@ -409,6 +413,20 @@ def upsert_window(spark, sf_dir):
     return spark.table(loaded.name)
 
 
+def kept_sums(spark, sf_dir):
+    """Daily sums kept beside a table through an append and a replacement of some days."""
+    loaded = _queried_table(spark, month_feed(spark, sf_dir), "day")
+    sums = DailySums(f"{scratch_database(spark)}.traffic_daily", loaded)
+    create_sums(spark, sums)
+    append_summed(spark, sums, typed_rows(month_feed(spark, sf_dir, *WEEK)))
+    days = datetime.date(2024, 1, 13), datetime.date(2024, 1, 18)
+    corrected = typed_rows(month_feed(spark, sf_dir, *days)).where("direction = 'I'")
+    corrected = corrected.withColumn("vehicles_vtoll", F.col("vehicles_vtoll") + 1)
+    with summed_again(spark, sums, *days):
+        replace_window(spark, loaded, corrected, *days)
+    return spark.table(sums.name).drop("date_year")
+
+
 def read_window_year(spark, sf_dir):
     loaded = _queried_table(spark, years_feed(spark, sf_dir), "year")
     return read_window(spark, loaded, datetime.date(1998, 12, 28), datetime.date(1999, 1, 4))
@@ -508,6 +526,7 @@ QUERIES = {
     "upsert_window": upsert_window,
     "stage_drift": stage_fields,
     "backfill_ledger": backfill_ledger,
+    "kept_sums": kept_sums,
     "read_window_year": read_window_year,
     "incremental_stage": incremental_stage,
     "sql_on_table": sql_on_table,
