@@ -20,8 +20,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 # handling of case and white space in context.
 _LATIN = 0x24F
 
-# Distinct words that one worker remembers; beyond it, it starts afresh.
-REMEMBERED = 1_000_000
+# Distinct words that one worker remembers, some 120 bytes each; beyond it, it starts afresh.
+REMEMBERED = 1 << 18
 
 
 def _class(kinds: str) -> str:
