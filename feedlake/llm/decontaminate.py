@@ -23,7 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedlake.llm.bitmap import bitmap, may_hold, text_hash
-from feedlake.llm.text import ALPHANUMERIC, LOWER, Words, blocks, mixed, rolled, row_numbers
+from feedlake.llm.text import (
+    ALPHANUMERIC,
+    LOWER,
+    Words,
+    blocks,
+    mixed,
+    rolled,
+    row_numbers,
+    settle_slices,
+)
 from feedlake.workspace import settle
 
 WINDOW = 10
@@ -179,10 +188,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     window. Both are empty for a document without hits. A null or empty text has no words. Repeated
     rows are each returned. An item without id counts as the item "". Without items nothing is hit.
     """
-    items = settle(_item_windows(benchmark), "items")
+    items = settle_slices(_item_windows(benchmark), "items")
     sizes = [row.size for row in items.select("size").distinct().collect()]  # WINDOW rows at most
     prints = bitmap(items, "print")
-    marked = settle(_candidates(docs, prints, sizes or [WINDOW]), "windows")
+    marked = settle_slices(_candidates(docs, prints, sizes or [WINDOW]), "windows")
 
     # windows with the same items share a list of them, which hits name by its hash
     held = items.groupBy(*_KEY).agg(F.sort_array(F.collect_set("item")).alias("items"))

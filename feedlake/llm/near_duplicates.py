@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from feedlake.llm.bitmap import bitmap, may_hold, text_hash
 from feedlake.llm.components import components
-from feedlake.llm.text import LOWER, SPACED, Words, blocks, mixed, rolled
+from feedlake.llm.text import LOWER, SPACED, Words, blocks, mixed, rolled, settle_slices
 from feedlake.workspace import settle
 
 SHINGLE = 5
@@ -256,7 +256,7 @@ def _rare_partners(sets: DataFrame, unsettled: DataFrame, percent: int) -> DataF
     with more shingles of its own than a link leaves room for is out before any pair is made. Where
     a shingle's sets are mostly of one component, only the others look for partners.
     """
-    spread = settle(_shingles(sets.join(unsettled, "class", "left_semi")), "shingles")
+    spread = settle_slices(_shingles(sets.join(unsettled, "class", "left_semi")), "shingles")
     held = spread.groupBy("shingle").agg(F.count("*").alias("held"))
     ordered = (
         spread.join(held, "shingle")
@@ -301,7 +301,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     nothing and are kept. Repeated rows are each returned, with the same answer. A row without id
     never names a component, unless none of its rows has an id; it is kept only then.
     """
-    rows = settle(_sketches(docs), "sketches")
+    rows = settle_slices(_sketches(docs), "sketches")
     classes = settle(
         rows.where("class is not null")
         .groupBy("class")
@@ -318,14 +318,14 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     shared = settle(bands.join(crowded, "bucket").select("bucket", "class"), "shared")
     signs = classes.join(shared.select("class").distinct(), "class", "left_semi")
     signs = settle(signs.select("class", "text_hash", "signs", "n"), "signs")
-    sets = settle(_sets_of(docs, signs.select("class", "text_hash")), "sets")
+    sets = settle_slices(_sets_of(docs, signs.select("class", "text_hash")), "sets")
 
     def linked(pairs: DataFrame) -> DataFrame:
         for x in ("a", "b"):
             own = signs.select("class", "signs", "n").toDF(x, f"{x}_signs", f"{x}_n")
             pairs = pairs.join(own, x)
         alike = _agreeing(pairs, percent)
-        return settle(_confirmed(alike, sets, percent), "links")
+        return settle_slices(_confirmed(alike, sets, percent), "links")
 
     edges = linked(_central_stars(shared))
     labels = settle(components(edges), "labels")

@@ -21,9 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedlake.llm.text import blocks, row_numbers
+from feedlake.llm.text import blocks, row_numbers, settle_slices
 from feedlake.llm.tokens import word_encoder
-from feedlake.workspace import settle
 
 # Bytes of text whose words are held as Python strings at a time.
 BLOCK_BYTES = 1 << 20
@@ -174,7 +173,7 @@ def pack(found: DataFrame, window: int = WINDOW, loose: float = LOOSE) -> DataFr
     Offsets of a window have no gap. Pieces may be cut further, into powers of two; every token
     stays in exactly one. Equal lengths are taken in row order. Empty input gives no rows.
     """
-    found = settle(found, "pieces")
+    found = settle_slices(found, "pieces")
     full = found.where(F.col("length") == window).select(
         "doc_id", "start", "length", "doc_tokens", "crc32",
         (2 * F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),

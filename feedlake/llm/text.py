@@ -15,9 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from feedlake.workspace import settle
+
 # Bytes of text that are worked on at a time; a longer text is a block of its own.
 BLOCK_BYTES = 2 << 20
 
+# Bytes of rows that Spark hands to a worker at a time; it would take 64 MB.
+SLICE_BYTES = 8 << 20
+_SLICES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _SHIFT = np.uint64(32)
@@ -53,19 +59,39 @@ def blocks(
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Pieces of the batches of about `max_bytes`, with the column's bytes and row bounds."""
     for batch in batches:
-        texts = pc.fill_null(batch.column(column), "").cast(pa.large_string())
-        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
-        body = texts.buffers()[2]
-        body = np.empty(0, np.uint8) if body is None else np.frombuffer(body, np.uint8)
-        first = 0
-        while first < len(texts):
-            last = int(np.searchsorted(bounds, bounds[first] + max_bytes, "right")) - 1
-            last = min(max(last, first + 1), len(texts))
-            part = bounds[first : last + 1]
-            yield batch.slice(first, last - first), body[part[0] : part[-1]], part - part[0]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        ends, first = np.cumsum(sizes.to_numpy(), dtype=np.int64), 0
+        while first < len(ends):
+            done = ends[first - 1] if first else 0
+            last = max(int(np.searchsorted(ends, done + max_bytes, "right")), first + 1)
+            rows = batch.slice(first, last - first)
+            # nulls are filled a piece at a time: filling them copies the texts
+            texts = pc.fill_null(rows.column(column), "").cast(pa.large_string())
+            bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(texts) + 1]
+            body = texts.buffers()[2]
+            body = np.empty(0, np.uint8) if body is None else np.frombuffer(body, np.uint8)
+            yield rows, body[bounds[0] : bounds[-1]], bounds - bounds[0]
             first = last
 
 
+def settle_slices(df: DataFrame, label: str) -> DataFrame:
+    """`settle` for a plan that hands texts or sets to Python, in slices of `SLICE_BYTES`.
+
+    A slice is held by the executor, and by the worker together with the one before, so its size
+    is most of what a task holds. The session's own setting is back when the rows are written.
+    """
+    conf = df.sparkSession.conf
+    before = conf.getAll.get(_SLICES)
+    conf.set(_SLICES, SLICE_BYTES)
+    try:
+        return settle(df, label)
+    finally:
+        if before is None:
+            conf.unset(_SLICES)
+        else:
+            conf.set(_SLICES, before)
+
+
 def with_columns(
     docs: DataFrame,
     own: list[StructField],
