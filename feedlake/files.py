@@ -16,8 +16,8 @@ def _at(spark: SparkSession, path: str):
 def child(spark: SparkSession, folder: str, name: str) -> str:
     """The URI of a name inside a folder, which may be given as a path or a URI."""
     jvm = spark._jvm
-    _, found = _at(spark, folder)
-    return jvm.org.apache.hadoop.fs.Path(found, name).toUri().toString()
+    system, found = _at(spark, folder)
+    return system.makeQualified(jvm.org.apache.hadoop.fs.Path(found, name)).toUri().toString()
 
 
 def names_in(spark: SparkSession, folder: str) -> list[str]:

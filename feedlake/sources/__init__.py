@@ -12,6 +12,12 @@ from feedlake.sources.paged import (
     read_feed,
     register_feed,
 )
+from feedlake.sources.published import (
+    drop_publications,
+    publications,
+    publish_stage,
+    read_published,
+)
 from feedlake.sources.staged import decode_json, encode_json, read_stage, write_stage
 
 __all__ = [
@@ -21,8 +27,12 @@ __all__ = [
     "RequestFeed",
     "SeekFeed",
     "decode_json",
+    "drop_publications",
     "encode_json",
+    "publications",
+    "publish_stage",
     "read_feed",
+    "read_published",
     "read_stage",
     "register_feed",
     "rows_between",

@@ -21,12 +21,12 @@ def write_stage(df: DataFrame, path: str) -> None:
 
 def read_stage(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: StructType = WIRE_SCHEMA,
     keep_corrupt: bool = False,
     multiline: bool = False,
 ) -> DataFrame:
-    """Staged rows with a declared schema: nothing is inferred and an absent column is NULL.
+    """Staged rows of a folder or of files, with a declared schema: nothing is inferred and an absent column is NULL.
 
     A file with one JSON array on a line reads as its rows, but one task parses it. A document
     spread over lines needs `multiline=True`. `keep_corrupt` adds the text of unreadable lines,

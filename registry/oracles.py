@@ -61,6 +61,9 @@ ORACLES = {
     "limit_offset": "SELECT * FROM events ORDER BY event_id LIMIT 1000 OFFSET 3000",
     "limit_offset_deep": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 2000 OFFSET 12000",
     "json_stage_scan": f"WITH {YEARS} {WIRE_YEARS}",
+    "published_stage": f"""WITH {YEARS}, staged AS ({WIRE_YEARS})
+    SELECT *, 1 AS number FROM staged
+    UNION ALL SELECT *, 2 AS number FROM staged WHERE direction = 'I'""",
     "json_decode": """
     SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k FROM events""",
     "json_encode": """

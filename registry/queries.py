@@ -47,6 +47,8 @@ from feedlake.plans import (
 from feedlake.sources import (
     decode_json,
     encode_json,
+    publish_stage,
+    read_published,
     read_stage,
     with_offsets,
     write_layout,
@@ -129,6 +131,15 @@ def json_stage_scan(spark, sf_dir):
     return read_stage(spark, stage)
 
 
+def published_stage(spark, sf_dir):
+    """Rows of a stage that was opened before it was published again, and those after."""
+    stage = scratch_path(spark, "stage")
+    publish_stage(years_feed(spark, sf_dir), stage)
+    before = read_published(spark, stage).withColumn("number", F.lit(1))
+    publish_stage(read_published(spark, stage).where("direction = 'I'"), stage)
+    return before.unionByName(read_published(spark, stage).withColumn("number", F.lit(2)))
+
+
 def json_decode(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return events.select("event_id", decode_json("props", "k int").getField("k").alias("k"))
@@ -498,6 +509,7 @@ QUERIES = {
     "limit_offset": limit_offset_top,
     "limit_offset_deep": limit_offset_deep,
     "json_stage_scan": json_stage_scan,
+    "published_stage": published_stage,
     "json_decode": json_decode,
     "json_encode": json_encode,
     "parquet_roundtrip": parquet_roundtrip,
